@@ -42,7 +42,7 @@ def outbox(bundle: DataFrame, base_url: str = "") -> DataFrame:
         each("gallery", lambda g, i: request(IMAGE, f"{i} + 1", image_path, g)),
     )) + ")"
     return bundle.select(
-        "page_id", F.col("activity.slug").alias("slug"), F.expr(f"inline({requests})")
+        "page_id", F.col("activity.slug").alias("slug"), F.expr(f"inline_outer({requests})")
     )
 
 

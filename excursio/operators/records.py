@@ -298,28 +298,35 @@ def gallery_items(linked: bool = True) -> Sql:
         f"array({clean('hero.category')}, {clean('hero.city')})", lambda t: f"{t} <> ''"
     )
 
-    def record(i: Sql, pos: Sql, base: Sql, labels: Sql) -> Sql:
+    # What all images of a page share is worked out once per page, not per image.
+    base = ids.gallery_base("_key")
+    page = struct(
+        base=base,
+        activity="_id" if linked else base,
+        shown="_shown",
+        tags=tags,
+        title=clean(fallback("seo.title", "_shown")),
+        about=clean(fallback("seo.metaDescription", prefix(FULL, 160))),
+        now="_now",
+    )
+
+    def record(p: Sql, i: Sql, pos: Sql) -> Sql:
         return struct(
-            id=f"{base} + {pos} + 1",
-            activity_id="_id" if linked else base,
+            id=f"{p}.base + {pos} + 1",
+            activity_id=f"{p}.activity",
             url=f"{i}.url",
-            title=fallback(f"{i}.alt", "_shown"),
-            description=fallback(f"{i}.caption", f"{i}.alt", "_shown"),
-            tags=labels,
-            meta_title=clean(fallback("seo.title", "_shown")),
-            meta_description=clean(fallback("seo.metaDescription", prefix(FULL, 160))),
+            title=fallback(f"{i}.alt", f"{p}.shown"),
+            description=fallback(f"{i}.caption", f"{i}.alt", f"{p}.shown"),
+            tags=f"{p}.tags",
+            meta_title=f"{p}.title",
+            meta_description=f"{p}.about",
             type=f"{i}.kind",
             order=f"{pos} + 1",
-            created_at="_now",
-            updated_at="_now",
+            created_at=f"{p}.now",
+            updated_at=f"{p}.now",
         )
 
-    return let(
-        ids.gallery_base("_key"),
-        lambda base: let(
-            tags, lambda labels: each(kept, lambda i, pos: record(i, pos, base, labels))
-        ),
-    )
+    return let(page, lambda p: each(kept, lambda i, pos: record(p, i, pos)))
 
 
 def _flat(rules: dict[str, Sql]) -> list:
@@ -344,7 +351,9 @@ def gallery(
     items = prepare(raw, settings, custom_id).select(
         "page_id", F.expr(gallery_items(linked)).alias("g")
     )
-    return items.select("page_id", F.inline("g"))
+    # The plain generator would make the optimizer filter on size(g) first and
+    # so work out every gallery twice.
+    return items.select("page_id", F.inline_outer("g")).filter("id IS NOT NULL")
 
 
 def bundle(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql | None = None) -> DataFrame:

@@ -47,6 +47,7 @@ def spark_facts(template: str, spark: SparkSession, sf_dir: str, *names: str) ->
     text = template
     for key, value in _SPARK.items():
         text = text.replace(f"<{key}>", value)
+    text = text.replace("{", "{{").replace("}", "}}")
     frames = {}
     for name in names:
         text = text.replace(f"<t:{name}>", "{" + name + "}")
