@@ -10,11 +10,11 @@ _WS_NO_BLANK = (
     r"\x{09}-\x{0D}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 )
 WS = f"[ {_WS_NO_BLANK}]"
-# The intersection turns printable ASCII away with one comparison instead of one
-# per range. Single blanks stay as they are, so ordinary prose is scanned but not
-# rebuilt.
-_QUICK = r"\x{00}-\x{20}\x{A0}-\x{FEFF}"
-_WS_TO_FIX = f"[{_QUICK}&&{WS}]{{2,}}|[{_QUICK}&&[{_WS_NO_BLANK}]]"
+# The intersection turns other characters away with one comparison instead of one
+# per range; a single blank stays as it is, so ordinary prose is scanned, not rebuilt.
+_ANY = r"[\x{00}-\x{20}\x{A0}-\x{3000}\x{FEFF}&&" + WS + "]"
+_WIDE = r"[\x{A0}-\x{3000}\x{FEFF}&&[" + _WS_NO_BLANK + "]]"
+_WS_TO_FIX = rf"(?:[\x{{09}}-\x{{0D}}]|{_WIDE}| (?={_ANY})){_ANY}*"
 
 
 def text(x: Sql) -> Sql:

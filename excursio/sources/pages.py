@@ -28,16 +28,16 @@ def read_pages(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location).select("page_id", "url", "html")
 
 
-def spread(pages: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str = "page_id") -> DataFrame:
     """Give every core work when the input has far fewer splits than cores.
 
     Only then: a large input already has many splits, and moving its markup
-    would be the most costly shuffle of the job.
+    would be the most costly shuffle of the job. ``key`` must be (nearly) unique.
     """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.isStreaming or pages.rdd.getNumPartitions() * 2 > cores:
-        return pages
-    return pages.repartition(cores, "page_id")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def page_rejects(pages: DataFrame) -> DataFrame:

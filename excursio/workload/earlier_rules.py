@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from excursio.settings import Settings
 from excursio.workload.listings import _O, _html, _t, listed, listing_raw
-from excursio.workload.registry import query
+from excursio.workload.registry import each_row, query
 
 V3 = Settings(rules="v3")
 
@@ -110,6 +110,6 @@ def place(spark, sf):
         CASE WHEN k % 3 = 1 THEN 'A ' || br ELSE 'It is ' || sz END AS answer FROM {_O}""",
 )
 def questions(spark, sf):
-    return earlier(spark, sf).select("page_id", F.explode("faq").alias("f")).select(
+    return each_row(earlier(spark, sf), "faq", "f").select(
         "page_id", "f.question", "f.answer"
     )

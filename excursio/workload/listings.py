@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from excursio.operators import page_fields as pf
 from excursio.settings import Settings
 from excursio.sources.pages import page_nodes, spread
-from excursio.workload.registry import oracle_facts, pick, query, spark_facts
+from excursio.workload.registry import each_row, oracle_facts, pick, query, spark_facts
 
 _K = "CAST(p_partkey AS <string>)"
 FACTS = f"""
@@ -155,12 +155,12 @@ PAGE = _html(
 
 
 def rendered(spark, sf, page: str = PAGE):
-    facts = spark_facts(FACTS, spark, sf, "part")
+    facts = spread(spark_facts(FACTS, spark, sf, "part"))
     return facts.select("page_id", "url", F.expr(page).alias("html"))
 
 
 def listing_raw(spark, sf, settings=Settings(), page: str = PAGE):
-    return pf.extract(page_nodes(spread(rendered(spark, sf, page))), settings)
+    return pf.extract(page_nodes(rendered(spark, sf, page)), settings)
 
 
 _O = f"({oracle_facts(FACTS, 'part')})"
@@ -199,7 +199,7 @@ def field_hero(spark, sf):
         unnest(list_value(1, 2)) AS sequence, unnest(list_value('H', '')) AS alt FROM {_O}""",
 )
 def field_hero_images(spark, sf):
-    return listing_raw(spark, sf).select("page_id", F.explode("hero.images").alias("i")).select(
+    return each_row(listing_raw(spark, sf), "hero.images", "i").select(
         "page_id", F.col("i.url").alias("image"), "i.sequence", "i.alt"
     )
 
@@ -291,9 +291,9 @@ def field_location(spark, sf):
         SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY page_id, name ORDER BY pos) = 1""",
 )
 def field_nearby(spark, sf):
-    cards = listing_raw(spark, sf).select("page_id", F.posexplode("nearbyAttractions").alias("p", "c"))
+    cards = each_row(listing_raw(spark, sf), "nearbyAttractions", "c")
     return cards.select(
-        "page_id", (F.col("p") + 1).alias("pos"), "c.name", "c.url", "c.image", "c.price",
+        "page_id", (F.col("pos") + 1).alias("pos"), "c.name", "c.url", "c.image", "c.price",
         "c.location", "c.rating",
     )
 
@@ -304,7 +304,7 @@ def field_nearby(spark, sf):
         unnest(list_value('In ' || city_seg, 'Size ' || sz)) AS answer FROM {_O} WHERE k % 5 <> 4""",
 )
 def field_faq(spark, sf):
-    return listing_raw(spark, sf).select("page_id", F.explode("faq").alias("f")).select(
+    return each_row(listing_raw(spark, sf), "faq", "f").select(
         "page_id", "f.question", "f.answer"
     )
 
@@ -326,7 +326,7 @@ def field_faq(spark, sf):
         FROM c WHERE url IS NOT NULL""",
 )
 def field_gallery(spark, sf):
-    return listing_raw(spark, sf).select("page_id", F.explode("gallery").alias("g")).select(
+    return each_row(listing_raw(spark, sf), "gallery", "g").select(
         "page_id", "g.url", "g.alt", "g.caption", "g.width", "g.height",
         F.col("g.sequence").cast("bigint").alias("sequence"),
     )
@@ -370,7 +370,7 @@ def field_social(spark, sf):
         unnest(list_value('16x16', '')) AS sizes FROM {_O}""",
 )
 def field_favicons(spark, sf):
-    return listing_raw(spark, sf).select("page_id", F.explode("seo.favicons").alias("f")).select(
+    return each_row(listing_raw(spark, sf), "seo.favicons", "f").select(
         "page_id", "f.rel", "f.href", "f.sizes"
     )
 
@@ -385,7 +385,9 @@ def field_favicons(spark, sf):
         FROM {_O}""",
 )
 def field_structured_data(spark, sf):
-    entries = listing_raw(spark, sf).select("page_id", F.explode("structuredData").alias("name", "v"))
+    entries = listing_raw(spark, sf).select(
+        "page_id", F.explode_outer("structuredData").alias("name", "v")
+    ).filter("name IS NOT NULL")
     return entries.select(
         "page_id", "name",
         F.expr("try_variant_get(v, '$.n', 'bigint')").alias("n"),

@@ -9,10 +9,11 @@ from excursio.operators import linkage, publish, records, report
 from excursio.schemas import RAW, parsed, raw_field
 from excursio.settings import Settings, WEEK
 from excursio.sources import records as record_source
+from excursio.sources.pages import spread
 from excursio.sources.sinks import latest_per_slug
 from excursio.workload.captured import category_sql
 from excursio.workload.registry import (
-    clean_sql, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
+    clean_sql, each_row, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
 )
 
 S = Settings(provider="Demo")
@@ -119,7 +120,7 @@ def raw_from_orders(spark, sf):
             scrapedAt="CASE WHEN k % 5 <> 0 THEN scraped END", pageUrl="url", totalImages="0"
         ),
     }
-    facts = spark_facts(FACTS, spark, sf, "orders")
+    facts = spread(spark_facts(FACTS, spark, sf, "orders"))
     return facts.select(
         *[F.expr(values.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in parsed(RAW).fields]
     )
@@ -303,7 +304,7 @@ def plan_properties(spark, sf):
         FROM p WHERE {clean_sql('n')} <> ''""",
 )
 def plan_pois(spark, sf):
-    return records.plan(raw_from_orders(spark, sf), S).select("page_id", F.explode("pois").alias("p")).select(
+    return each_row(records.plan(raw_from_orders(spark, sf), S), "pois", "p").select(
         "page_id", "p.name", "p.url", "p.image", "p.category", "p.admission", "p.poi_id"
     )
 
@@ -420,10 +421,12 @@ def bundle_metadata(spark, sf):
 
 @query(
     "bundle_gallery_order",
-    f"""{_ITEMS} SELECT page_id, string_agg(u, ' ' ORDER BY rank) AS urls, count(*) AS images FROM n GROUP BY page_id""",
+    f"""{_ITEMS} SELECT page_id, coalesce(urls, '') AS urls, coalesce(images, 0) AS images FROM o LEFT JOIN (
+        SELECT page_id, string_agg(u, ' ' ORDER BY rank) AS urls, count(*) AS images FROM n GROUP BY page_id)
+        USING (page_id)""",
 )
 def bundle_gallery_order(spark, sf):
-    return records.bundle(raw_from_orders(spark, sf), S).filter("size(gallery) > 0").select(
+    return records.bundle(raw_from_orders(spark, sf), S).select(
         "page_id", F.array_join("gallery.url", " ").alias("urls"),
         F.expr("CAST(size(gallery) AS BIGINT)").alias("images"),
     )
@@ -600,7 +603,7 @@ _JSON = """
        'https://c.example.com/' || event_id || '.jpg https://c.example.com/b.jpg' AS urls FROM events""",
 )
 def json_records(spark, sf):
-    raw = record_source.raw_from_json_text(spark_facts(_JSON, spark, sf, "events"))
+    raw = record_source.raw_from_json_text(spread(spark_facts(_JSON, spark, sf, "events")))
     b = records.bundle(raw, S)
     return b.select(
         "page_id", "activity.slug", "activity.name",

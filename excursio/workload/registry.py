@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +66,17 @@ def oracle_facts(template: str, *names: str) -> str:
     return text
 
 
+def each_row(df: DataFrame, items: str, name: str) -> DataFrame:
+    """One row per element, with ``pos``.
+
+    The outer form, because for the plain one the optimizer first filters on the
+    size of the array and so works out the array twice.
+    """
+    return df.select("page_id", F.posexplode_outer(items).alias("pos", name)).filter(
+        F.col(name).isNotNull()
+    )
+
+
 def hash32_sql(x: str) -> str:
     """Oracle form of the 32-bit hash."""
     return f"CAST('0x' || substr(md5({x}), 1, 8) AS BIGINT)"
