@@ -12,6 +12,7 @@ _ORIGIN = quote(r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)")
 _PARTS = quote(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)(\?[^#]*)?")
 # Already in the form a browser would print it.
 _PLAIN = quote(r"^https?://[a-z0-9.-]+/[A-Za-z0-9_~!$&'()*+,;=:@%/?#.-]*$")
+_PLAIN_PATH = quote(r"^/([A-Za-z0-9_~!$&'()*+,;=:@%?#.-][A-Za-z0-9_~!$&'()*+,;=:@%/?#.-]*)?$")
 _HTTP = "'(?i)^https?://'"
 # Characters that stay as they are in a path and in a query or fragment.
 _PATH_CHARS = "!#-;=?-_a-z|~"
@@ -65,12 +66,16 @@ def _drop_dots(p: Sql) -> Sql:
     return f"regexp_replace(concat('/', array_join({walked}, '/'), {slash}), '//$', '/')"
 
 
+def _host(root: Sql) -> Sql:
+    """Scheme and host the way a browser prints them: lower case, no usual port."""
+    ports = quote(r"^(http://.*):80$|^(https://.*):443$")
+    return f"regexp_replace(lower({root}), {ports}, '$1$2')"
+
+
 def _printed(u: Sql, given: Sql) -> Sql:
     """An absolute http(s) address the way a browser prints it."""
 
     def build(root: Sql) -> Sql:
-        ports = quote(r"^(http://.*):80$|^(https://.*):443$")
-        host = f"regexp_replace(lower({root}), {ports}, '$1$2')"
         rest = f"regexp_extract({u}, {quote(r'^[^?#]*(.*)$')}, 1)"
         walked = let(
             fallback(path(u), "'/'"),
@@ -79,46 +84,64 @@ def _printed(u: Sql, given: Sql) -> Sql:
         return when(
             f"{root} RLIKE {quote(r'^[A-Za-z]+://$|\s')}",
             given,
-            f"concat({host}, {_escape(walked, _PATH_CHARS)}, {_escape(rest, _REST_CHARS)})",
+            f"concat({_host(root)}, {_escape(walked, _PATH_CHARS)}, {_escape(rest, _REST_CHARS)})",
         )
 
     return let(origin(u), build)
 
 
-def absolute(url: Sql, base: Sql) -> Sql:
-    """Absolute address of ``url`` seen from ``base``.
+def base_parts(base: Sql) -> Sql:
+    """What relative addresses need of the page address, worked out once per page."""
+    return struct(
+        root=_host(origin(base)),
+        scheme=f"regexp_extract({base}, '^([^:/]+:)', 1)",
+        path=path(base),
+        query=query(base),
+        dir=f"regexp_replace({fallback(path(base), "'/'")}, '[^/]*$', '')",
+    )
+
+
+def absolute_from(url: Sql, b: Sql) -> Sql:
+    """Absolute address of ``url`` seen from a page with these ``base_parts``.
 
     '' for missing, ``data:`` and ``blob:`` addresses; what cannot be resolved
     comes back as it is.
     """
 
     def resolve(u: Sql) -> Sql:
-        here = fallback(path(base), "'/'")
         joined = case(
             (f"{u} RLIKE {_HTTP}", u),
-            (f"{u} LIKE '//%'", f"concat(regexp_extract({base}, '^([^:/]+:)', 1), {u})"),
-            (f"{u} LIKE '/%'", f"concat({origin(base)}, {u})"),
-            (f"{u} LIKE '?%'", f"concat({origin(base)}, {path(base)}, {u})"),
-            (f"{u} LIKE '#%'", f"concat({origin(base)}, {path(base)}, {query(base)}, {u})"),
-            other=f"concat({origin(base)}, regexp_replace({here}, '[^/]*$', ''), {u})",
+            (f"{u} LIKE '//%'", f"concat({b}.scheme, {u})"),
+            (f"{u} LIKE '/%'", f"concat({b}.root, {u})"),
+            (f"{u} LIKE '?%'", f"concat({b}.root, {b}.path, {u})"),
+            (f"{u} LIKE '#%'", f"concat({b}.root, {b}.path, {b}.query, {u})"),
+            other=f"concat({b}.root, {b}.dir, {u})",
         )
         as_is = (
             f"NOT {u} RLIKE {_HTTP} AND "
-            f"({u} RLIKE '^[A-Za-z][A-Za-z0-9+.-]*:' OR {origin(base)} = '')"
+            f"({u} RLIKE '^[A-Za-z][A-Za-z0-9+.-]*:' OR {b}.root = '')"
         )
         return when(as_is, u, let(joined, lambda j: _printed(j, u)))
 
     def choose(u: Sql) -> Sql:
         trimmed = f"regexp_replace({u}, {quote(r'^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]')}, '')"
+        dotted = f"contains({u}, '/.')"
         return case(
             (f"{u} = '' OR {u} LIKE 'data:%' OR {u} LIKE 'blob:%'", "''"),
-            (f"{u} RLIKE {_PLAIN} AND NOT contains({u}, '/.')", u),
+            # The two usual forms, already as they would be printed.
+            (f"{u} RLIKE {_PLAIN} AND NOT {dotted}", u),
+            (f"{u} RLIKE {_PLAIN_PATH} AND NOT {dotted} AND {b}.root <> ''", f"concat({b}.root, {u})"),
             other=let(trimmed, resolve),
         )
 
     return let(text(url), choose)
 
 
+def absolute(url: Sql, base: Sql) -> Sql:
+    """Absolute address of ``url`` seen from the address ``base``."""
+    return let(base_parts(base), lambda b: absolute_from(url, b))
+
+
 def srcset_pick(srcset: Sql) -> Sql:
     """Address of the candidate with the largest leading descriptor number.
 

@@ -21,7 +21,7 @@ from excursio.functions.text import (
     WS, collapse_ascii, contains, contains_any, contains_ci, fallback, filled, json_or_null,
     leading_int, leading_number, title_case,
 )
-from excursio.functions.urls import absolute, path_parts, srcset_pick
+from excursio.functions.urls import absolute_from, base_parts, path_parts, srcset_pick
 from excursio.operators.images import filter_images
 from excursio.schemas import BOOKABLE_DATES, RAW, parsed, raw_field
 from excursio.settings import IMAGE_LIMIT, Settings
@@ -29,7 +29,7 @@ from excursio.settings import IMAGE_LIMIT, Settings
 # Columns of a staged page row: the element kinds that several fields look at,
 # selected once.
 NODES, TEXT, URL = "nodes", "page_text", "url"
-PARTS, IMGS, METAS, LINKS = "_parts", "_imgs", "_metas", "_links"
+PARTS, BASE, IMGS, METAS, LINKS = "_parts", "_base", "_imgs", "_metas", "_links"
 ANCHORS, PARAGRAPHS, HEADINGS, WITH_ID = "_anchors", "_paragraphs", "_headings", "_with_id"
 _STAGED = {
     IMGS: tag("img"),
@@ -42,10 +42,16 @@ _STAGED = {
 }
 
 
+def absolute(url: Sql) -> Sql:
+    """Absolute address of a link on the page."""
+    return absolute_from(url, BASE)
+
+
 def stage(page_nodes: DataFrame) -> DataFrame:
     return page_nodes.select(
         "*",
         F.expr(path_parts(URL)).alias(PARTS),
+        F.expr(base_parts(URL)).alias(BASE),
         *[F.expr(select(NODES, test)).alias(name) for name, test in _STAGED.items()],
     )
 
@@ -80,7 +86,7 @@ def slug() -> Sql:
 def breadcrumbs() -> Sql:
     def crumb(part: Sql, i: Sql) -> Sql:
         to = f"concat('/', array_join(slice({PARTS}, 1, {i} + 1), '/'))"
-        return struct(text=title_case(part), url=absolute(to, URL))
+        return struct(text=title_case(part), url=absolute(to))
 
     return each(PARTS, crumb)
 
@@ -98,7 +104,7 @@ def cover_image() -> Sql:
 
 
 def source_of(img: Sql) -> Sql:
-    return absolute(fallback(attr(img, "src"), attr(img, "data-src")), URL)
+    return absolute(fallback(attr(img, "src"), attr(img, "data-src")))
 
 
 def _image(url: Sql, img: Sql, caption: Sql, sequence: Sql) -> Sql:
@@ -308,7 +314,7 @@ def location(rules: str = "v4") -> Sql:
             distinct_longer(texts_of(under(box, "span", "p")), 2),
             lambda t: f"{t} <> 'Location Details' AND NOT {contains(t, 'Get Directions')}",
         )
-        href = when(f"{to} IS NOT NULL", absolute(attr(to, "href"), URL))
+        href = when(f"{to} IS NOT NULL", absolute(attr(to, "href")))
         return let(
             href,
             lambda u: struct(
@@ -343,7 +349,7 @@ def nearby() -> Sql:
 
         return struct(
             name=fallback(attr(img, "alt"), first(parts)),
-            url=absolute(attr(a, "href"), URL),
+            url=absolute(attr(a, "href")),
             image=when(f"{img} IS NULL", "''", source_of(img)),
             price=having(lambda t: contains(t, "₹")),
             location=having(
@@ -423,7 +429,7 @@ def faq(rules: str = "v4") -> Sql:
 def gallery() -> Sql:
     def image(img: Sql) -> Sql:
         srcset = fallback(attr(img, "srcset"), attr(img, "data-srcset"))
-        picked = let(srcset, lambda s: when(f"{s} <> ''", absolute(srcset_pick(s), URL), "''"))
+        picked = let(srcset, lambda s: when(f"{s} <> ''", absolute(srcset_pick(s)), "''"))
         url = let(picked, lambda p: when(f"{p} <> ''", p, source_of(img)))
         return _image(url, img, attr(img, "title"), "0")
 
@@ -458,7 +464,7 @@ def favicons() -> Sql:
     return each(
         icons,
         lambda n: struct(
-            rel=attr(n, "rel"), href=absolute(attr(n, "href"), URL), sizes=attr(n, "sizes")
+            rel=attr(n, "rel"), href=absolute(attr(n, "href")), sizes=attr(n, "sizes")
         ),
     )
 
@@ -469,7 +475,7 @@ def seo() -> Sql:
     return struct(
         title=let(title, lambda n: collapse_ascii(content(TEXT, n))),
         metaDescription=meta(METAS, "description"),
-        canonical=let(canonical, lambda n: absolute(attr(n, "href"), URL)),
+        canonical=let(canonical, lambda n: absolute(attr(n, "href"))),
         robots=meta(METAS, "robots"),
         language=attr(first(NODES), "lang"),
         themeColor=meta(METAS, "theme-color"),

@@ -36,6 +36,7 @@ REPLACES = {
     "button": ({"button"}, {"td", "th"}),
 }
 SCOPE_END = frozenset("html table td th caption button object marquee applet template".split())
+BLOCKS = CLOSES_P | SCOPE_END
 FORMATTING = frozenset("a b big code em font i nobr s small span strike strong tt u".split())
 
 # Possessive repeats: no page makes these patterns back-track.
@@ -96,21 +97,24 @@ class PageTree:
 
     # -- building ----------------------------------------------------------
     def _open(self, tag: str, attrs: dict[str, str]) -> int:
-        up = self._stack[-1] if self._stack else -1
+        stack = self._stack
+        up = stack[-1] if stack else -1
         me = len(self.tag)
         self.tag.append(tag)
         self.parent.append(up)
-        self.depth.append(len(self._stack))
+        self.depth.append(len(stack))
         self.size.append(0)
         self.children.append(0)
         self.attrs.append(attrs)
         self.t0.append(self._length)
         self.t1.append(self._length)
         self._last_child.append(None)
-        self.prev_tag.append(self._last_child[up] if up >= 0 else None)
         if up >= 0:
+            self.prev_tag.append(self._last_child[up])
             self.children[up] += 1
             self._last_child[up] = tag
+        else:
+            self.prev_tag.append(None)
         self._push(me)
         return me
 
@@ -214,21 +218,27 @@ class PageTree:
                 self._enter_head()
             else:
                 self._enter_body()
-        if tag in REPLACES:
-            level = self._find(*REPLACES[tag])
+        replaced = REPLACES.get(tag)
+        if replaced and any(map(self._levels.get, replaced[0])):
+            level = self._find(*replaced)
             if level > 0:
                 self._pop_to(level)
         if tag in CLOSES_P:
-            level = self._find(("p",), SCOPE_END)
-            if level > 0:
-                self._pop_to(level)
-        if tag in HEADINGS and self.tag[self._stack[-1]] in HEADINGS:
-            self._pop_to(len(self._stack) - 1)
+            if self._levels.get("p"):
+                level = self._find(("p",), SCOPE_END)
+                if level > 0:
+                    self._pop_to(level)
+            if tag in HEADINGS and self.tag[self._stack[-1]] in HEADINGS:
+                self._pop_to(len(self._stack) - 1)
         self._open("img" if tag == "image" else tag, attrs)
         if tag in VOID:
-            self._pop_to(len(self._stack) - 1)
+            self._levels[self.tag[self._stack.pop()]].pop()
 
     def _end(self, tag: str) -> None:
+        top = len(self._stack) - 1
+        if top > 1 and self.tag[self._stack[top]] == tag:
+            self._pop_to(top)
+            return
         if tag in ("html", "body"):
             return
         if tag == "head":
@@ -241,7 +251,7 @@ class PageTree:
             if tag == "br":
                 return
         # An inline end tag does not reach out of the block it stands in.
-        stops = CLOSES_P | SCOPE_END if tag in FORMATTING else SCOPE_END - {tag}
+        stops = BLOCKS if tag in FORMATTING else SCOPE_END - {tag}
         wanted = HEADINGS if tag in HEADINGS else (tag,)
         level = self._find(wanted, stops)
         if level > (0 if self._body < 0 else 1):

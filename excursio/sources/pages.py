@@ -19,8 +19,9 @@ from excursio.sources.markup import PageTree
 for _module in ("excursio.sources.markup", __name__):
     cloudpickle.register_pickle_by_value(sys.modules[_module])
 
-# Output batches are cut by markup size, so a run of huge pages cannot pile up.
-_BATCH_CHARS = 16 << 20
+# Output batches are cut by markup size: a run of huge pages cannot pile up, and
+# Spark works on one batch while the next one is being parsed.
+_BATCH_CHARS = 1 << 20
 
 
 def read_pages(spark: SparkSession, location: str) -> DataFrame:

@@ -9,7 +9,8 @@ from excursio.functions.sql import let
 from excursio.functions.text import (
     clean, contains_ci, iso, leading_number, prefix, price_number, title_case,
 )
-from excursio.functions.urls import absolute, path_parts, response_key, srcset_pick
+from excursio.functions.urls import absolute, base_parts, path_parts, response_key, srcset_pick
+from excursio.operators import page_fields as pf
 from excursio.operators.linkage import id_collisions
 from excursio.workload.registry import (
     WS_SQL, clean_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table, title_sql,
@@ -218,9 +219,9 @@ def collisions(spark, sf):
 )
 def page_address(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
-    parts = pages.select("*", F.expr(path_parts("url")).alias("_parts"))
-    from excursio.operators import page_fields as pf
-
+    parts = pages.select(
+        "*", F.expr(path_parts("url")).alias(pf.PARTS), F.expr(base_parts("url")).alias(pf.BASE)
+    )
     return parts.select(
         "page_id",
         F.expr(pf.slug()).alias("slug"),
