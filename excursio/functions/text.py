@@ -75,21 +75,32 @@ def contains_ci(x: Sql, word: str) -> Sql:
     return contains(f"lower({x})", word)
 
 
+def _number(x: Sql, likely: str, pattern: str, group: int, kind: str) -> Sql:
+    """Part of a text as a number; null if there is none.
+
+    The guard keeps texts without a number away from the cast: a failing cast
+    costs an exception, and most texts that come here are empty.
+    """
+    found = f"regexp_extract({x}, {quote(pattern)}, {group})"
+    return when(f"{x} RLIKE {quote(likely)}", f"try_cast({found} AS {kind})")
+
+
 def price_number(x: Sql) -> Sql:
     """Leading number of a price text once all but digits and dots is gone."""
     digits = f"regexp_replace({x}, '[^0-9.]', '')"
-    return f"try_cast(regexp_extract({digits}, {quote(r'^[0-9]*\.?[0-9]*')}, 0) AS DOUBLE)"
+    amount = f"try_cast(regexp_extract({digits}, {quote(r'^[0-9]*\.?[0-9]*')}, 0) AS DOUBLE)"
+    return when(f"{x} RLIKE '[0-9]'", amount)
 
 
 def leading_number(x: Sql) -> Sql:
     """Leading decimal number with optional sign and exponent; null if none."""
     number = rf"^{WS}*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
-    return f"try_cast(regexp_extract({x}, {quote(number)}, 1) AS DOUBLE)"
+    return _number(x, rf"^{WS}*[+-]?\.?[0-9]", number, 1, "DOUBLE")
 
 
 def leading_int(x: Sql) -> Sql:
     """Leading integer as ``parseInt`` reads it; null if none."""
-    return f"try_cast(regexp_extract({x}, {quote(f'^{WS}*([+-]?[0-9]+)')}, 1) AS BIGINT)"
+    return _number(x, f"^{WS}*[+-]?[0-9]", f"^{WS}*([+-]?[0-9]+)", 1, "BIGINT")
 
 
 def iso(ts: Sql) -> Sql:
