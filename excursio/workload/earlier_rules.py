@@ -96,7 +96,7 @@ def lists(spark, sf):
 @query(
     "earlier_location",
     f"""SELECT page_id, 'Road ' || sz AS address, CAST(sz || '.5' AS DOUBLE) AS latitude,
-        -7.25 AS longitude FROM {_O}""",
+        CAST(-7.25 AS DOUBLE) AS longitude FROM {_O}""",
 )
 def place(spark, sf):
     return earlier(spark, sf).select(

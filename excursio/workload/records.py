@@ -217,7 +217,7 @@ def activity_lists(spark, sf):
 @query(
     "activity_price",
     f"""SELECT page_id, {_PRICE} AS final_price, {_PRICE} AS payable, {first_sql('currency', "'INR'")} AS currency,
-        CASE rating WHEN '4.5 of 5' THEN 4.5 WHEN ' 3' THEN 3 ELSE 0 END AS rating FROM {_O}""",
+        CAST(CASE rating WHEN '4.5 of 5' THEN 4.5 WHEN ' 3' THEN 3 ELSE 0 END AS DOUBLE) AS rating FROM {_O}""",
 )
 def activity_price(spark, sf):
     return records.activity(raw_from_orders(spark, sf), S).select(
@@ -509,7 +509,7 @@ def activity_gallery_join(spark, sf):
 
 @query(
     "activity_gallery_salted",
-    """SELECT u % 10 AS page_id, count(*) AS images, sum(event_id) AS ids FROM
+    """SELECT u % 10 AS page_id, count(*) AS images, CAST(sum(event_id) AS BIGINT) AS ids FROM
        (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS u, event_id FROM events) GROUP BY 1""",
 )
 def activity_gallery_salted(spark, sf):
@@ -526,8 +526,8 @@ def activity_gallery_salted(spark, sf):
 
 @query(
     "report_pages",
-    f"""SELECT page_id, slug, name, city, category, n_images AS n_images, coalesce(len(terms), 0) AS n_terms,
-        coalesce(len(details), 0) AS n_highlights, 0 AS n_exclusions, 2 AS n_nearbyattractions,
+    f"""SELECT page_id, slug, name, city, category, n_images AS n_images, CAST(coalesce(len(terms), 0) AS INTEGER) AS n_terms,
+        CAST(coalesce(len(details), 0) AS INTEGER) AS n_highlights, 0 AS n_exclusions, 2 AS n_nearbyattractions,
         CAST(min_price AS DOUBLE) AS min_price, lat AS latitude,
         (SELECT count(*) FROM lineitem WHERE l_orderkey = page_id) AS n_responses FROM {_O}""",
 )
@@ -598,8 +598,8 @@ _JSON = """
 @query(
     "json_records",
     """SELECT event_id AS page_id, 'e' || event_id AS slug, event_type AS name,
-       CASE event_id % 4 WHEN 0 THEN 75.5 WHEN 3 THEN 0 ELSE user_id END AS price,
-       CASE WHEN event_id % 3 = 0 THEN 1.5 ELSE 0 END AS latitude,
+       CAST(CASE event_id % 4 WHEN 0 THEN 75.5 WHEN 3 THEN 0 ELSE user_id END AS DOUBLE) AS price,
+       CAST(CASE WHEN event_id % 3 = 0 THEN 1.5 ELSE 0 END AS DOUBLE) AS latitude,
        'https://c.example.com/' || event_id || '.jpg https://c.example.com/b.jpg' AS urls FROM events""",
 )
 def json_records(spark, sf):
