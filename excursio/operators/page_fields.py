@@ -539,12 +539,13 @@ def field_rules(settings: Settings = Settings()) -> dict[str, Sql]:
 
 def extract(page_nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Raw record of every page: one projection, no shuffle."""
-    raw = stage(page_nodes).select(
-        "page_id", URL, *[F.expr(e).alias(n) for n, e in field_rules(settings).items()]
-    )
-    unset = {
-        n: null(raw_field(n).simpleString()) for n in ("timings", "rules", "thingsToDo")
-    } | {"metadata": page_metadata("gallery", settings)}
-    return raw.select("*", *[F.expr(e).alias(n) for n, e in unset.items()]).select(
-        *parsed(RAW).fieldNames()
+    rules = field_rules(settings) | {
+        "page_id": "page_id",
+        "url": URL,
+        "metadata": page_metadata("gallery", settings),
+    }
+    unset = {n: null(raw_field(n).simpleString()) for n in ("timings", "rules", "thingsToDo")}
+    fields = rules | unset
+    return stage(page_nodes).select(
+        *[F.expr(fields[n]).alias(n) for n in parsed(RAW).fieldNames()]
     )

@@ -378,3 +378,16 @@ def bundle(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql | Non
         F.col("_gallery").alias("gallery"),
         F.expr(meta.replace(f"size({plans})", "1")).alias("metadata"),
     )
+
+
+def split_bundles(bundle: DataFrame) -> dict[str, DataFrame]:
+    """Activity, plan and gallery tables out of written bundles.
+
+    Reads back what was worked out once; only the columns of the one table are
+    touched.
+    """
+    return {
+        "activity": bundle.select("page_id", "activity.*"),
+        "plan": bundle.select("page_id", F.inline("plans")),
+        "gallery": bundle.select("page_id", F.inline("gallery")),
+    }

@@ -13,8 +13,6 @@ from excursio.sources.pages import page_nodes, page_rejects, read_pages, spread
 from excursio.sources.records import read_responses
 from excursio.sources.sinks import write_bundles, write_table
 
-TABLES = ("activity", "plan", "gallery", "bundle", "outbox", "report")
-
 
 def raw_records(
     pages: DataFrame, captured: DataFrame | None = None, settings: Settings = Settings()
@@ -33,9 +31,10 @@ def build_catalogue(
 ) -> None:
     """Write raw records, the three linked tables, bundles, requests and reports.
 
-    Pages are parsed once: the raw table is written first and everything else
-    reads it back with only the columns it needs. A lost executor costs tasks,
-    not stages. ``out`` must be storage that all executors share.
+    Pages are parsed once and records worked out once: raw records are written
+    first, bundles from them next, and everything else reads those two back with
+    only the columns it needs. So a lost executor costs tasks, not the work
+    before them. ``out`` must be storage that all executors share.
     """
     pages = read_pages(spark, pages_at)
     captured = read_responses(spark, responses_at) if responses_at else None
@@ -48,12 +47,11 @@ def build_catalogue(
         latest = responses.api_latest(responses.api_keep(captured))
         write_table(responses.api_strip(latest), f"{out}/api_responses")
         kept = spark.read.parquet(f"{out}/api_responses")
-    write_table(records.activity(raw, settings), f"{out}/activity")
-    write_table(records.plan(raw, settings), f"{out}/plan")
-    write_table(records.gallery(raw, settings), f"{out}/gallery")
     write_table(records.bundle(raw, settings), f"{out}/bundle")
 
     bundles = spark.read.parquet(f"{out}/bundle")
+    for name, df in records.split_bundles(bundles).items():
+        write_table(df, f"{out}/{name}")
     write_table(outbox(bundles), f"{out}/outbox")
     write_bundles(bundles, f"{out}/bundle_json", by_slug)
     report = page_report(raw, kept)

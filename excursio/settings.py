@@ -70,6 +70,11 @@ class Settings:
         if self.rules not in ("v3", "v4"):
             raise ValueError(f"rules must be v3 or v4, not {self.rules!r}")
 
+    @classmethod
+    def for_now(cls, **values) -> Settings:
+        """Settings stamped with the present time."""
+        return cls(run_ts=datetime.now(timezone.utc), **values)
+
     @property
     def run_iso(self) -> str:
         utc = self.run_ts.astimezone(timezone.utc)

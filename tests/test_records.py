@@ -99,6 +99,16 @@ def test_rules_and_alt(spark):
     assert b.gallery[0].title == "N"
 
 
+def test_split_bundles_equals_the_single_tables(spark):
+    lines = spark.createDataFrame([(1, json.dumps(MUSEUM)), (2, "{}")], "page_id bigint, value string")
+    raw = raw_from_json_text(lines)
+    for name, df in records.split_bundles(records.bundle(raw)).items():
+        alone = getattr(records, name)(raw)
+        assert df.columns == alone.columns
+        as_text = "to_json(struct(*)) j"
+        assert sorted(df.selectExpr(as_text).collect()) == sorted(alone.selectExpr(as_text).collect())
+
+
 def test_caller_id(spark):
     assert bundles(spark, {}, custom_id="42").first().plans[0].id == 142
     generated = bundles(spark, {}).first().activity.id
