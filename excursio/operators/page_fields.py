@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from excursio.functions.arrays import (
-    distinct_longer, empty, first, first_by_key, map_last_wins, or_empty,
+    distinct_longer, first, first_by_key, map_last_wins, or_empty,
 )
 from excursio.functions.nodes import (
     Test, attr, attr_contains, attr_is, attr_starts, both, climb, content, either, has_attr,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from excursio.functions import ids
-from excursio.functions.arrays import clean_list, first, first_by_key, or_empty
+from excursio.functions.arrays import clean_list, first_by_key, or_empty
 from excursio.functions.sql import (
     Sql, all_of, any_of, case, coalesce, each, keep, let, null, quote, some, struct, when,
 )
@@ -136,7 +136,7 @@ def plan_pois() -> Sql:
             ),
         )
 
-    cards = f"coalesce(nearbyAttractions, array())"
+    cards = "coalesce(nearbyAttractions, array())"
     return keep(each(cards, poi), lambda p: f"{p}.name <> ''")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from excursio.functions.sql import null, struct
 from excursio.operators import linkage, publish, records, report
-from excursio.schemas import RAW, parsed, raw_field
+from excursio.schemas import RAW, parsed
 from excursio.settings import Settings, WEEK
 from excursio.sources import records as record_source
 from excursio.sources.pages import spread

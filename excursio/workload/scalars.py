@@ -13,7 +13,7 @@ from excursio.functions.urls import absolute, base_parts, path_parts, response_k
 from excursio.operators import page_fields as pf
 from excursio.operators.linkage import id_collisions
 from excursio.workload.registry import (
-    WS_SQL, clean_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table, title_sql,
+    clean_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table, title_sql,
 )
 
 # ---- white space, truncation, distinct ---------------------------------------------
