@@ -34,7 +34,7 @@ SPREAD = 3
 LEAST_DOCUMENTS = 50
 
 WORDS = r"array_remove(split({text}, '[ \\t\\n\\x0B\\f\\r]+'), '')"
-SPACES = r"' \t\n\u000B\f\r'"
+SPACES = r"' \t\n\u000B\u000C\r'"
 
 
 def measured(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFrame:
