@@ -16,6 +16,7 @@ table of chunks and the tokens of the batch.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Sequence
 
@@ -34,7 +35,7 @@ CHUNK = 64
 #: Symbols of a leaf of the tree.
 LEAF = 32
 #: Chunks that a worker remembers in each of two generations.
-REMEMBERED = 150_000
+REMEMBERED = 120_000
 
 #: Characters that str.split takes for white space, but the tokenizer does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -102,6 +103,7 @@ class Encoder:
     """A worker's tokenizer: whole chunks to ids, with a bounded table of those met."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core already
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -179,8 +181,8 @@ def encode_decode(text: Column, path: str) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         own, ids, back, lengths = encoder(path), [], [], [0]
         rows = texts.fill_null("").to_pylist()
-        for lo in range(0, len(rows), 64):
-            for raw in own.encode(rows[lo : lo + 64]):
+        for lo in range(0, len(rows), 32):
+            for raw in own.encode(rows[lo : lo + 32]):
                 values = np.frombuffer(raw, np.int32)
                 ids.append(values)
                 back.append(decoded(path, values.tolist()))

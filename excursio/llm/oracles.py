@@ -80,3 +80,14 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN words ON d.r = words.r LEFT JOIN items ON d.r = items.r
 """
+
+URL_FILTERS = r"""
+WITH r(rule_host, rule_path, rule_verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+    ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+p AS (SELECT row_number() OVER () AS n, page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT n, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p)
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict
+FROM u LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC) = 1
+"""

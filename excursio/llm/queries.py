@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from excursio.llm import bpe, decontamination, oracles, pii, quality_rules, simhash
+from excursio.llm import (
+    bpe, decontamination, lm_scoring, oracles, pii, quality_classifier, quality_rules, simhash, token_counts, url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +37,32 @@ def op1(spark, sf_dir):
     return q.select("doc_id", *[F.col(f"quality.{c}") for c in names])
 
 
+@query("op2_quality_classifier")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = quality_classifier.fitted(docs, table(spark, sf_dir, "labels"), may_learn=~quality_classifier.held_out(F.col("doc_id")))
+    df = quality_classifier.scored(docs, learnt)
+    return df.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+                     F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op3_lm_scoring")
+def op3(spark, sf_dir):
+    """Target: documents that labels call good and not toxic; background: all documents."""
+    good = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(
+        F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = docs.join(good, F.col("doc_id") == F.col("id"), "left").select("text", "good")
+    models = lm_scoring.fitted(marked, F.col("good"))
+    return lm_scoring.scored(docs, models).select("doc_id", "lm.*")
+
+
+@query("op4_token_counts")
+def op4(spark, sf_dir):
+    df = token_counts.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), path=public_tokenizers.path("piece_bpe_32k.model"))
+    return df.select("doc_id", "tokens.*")
+
+
 @query("op5_bootstrapped_pii")
 def op5(spark, sf_dir):
     df = pii.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -55,6 +83,18 @@ def op6(spark, sf_dir):
         F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"), decontamination.is_contaminated().alias("contaminated"))
 
 
+#: Host, path and verdict of the rules of op7.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+@query("op7_url_filters", oracles.URL_FILTERS)
+def op7(spark, sf_dir):
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    df = url_filters.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return df.select("page_id", "filter.*")
+
+
 @query("op9_simhash_near_duplicates")
 def op9(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one Arrow batch holds; a single longer row makes a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 #: Bytes of the words split off by white space: all but space and 0x09-0x0D.
 SPACE_SEPARATED = np.ones(256, bool)
@@ -46,7 +46,7 @@ def fresh(df: DataFrame, name: str) -> str:
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches by bytes, so that long texts do not pile up in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +123,7 @@ def hash_shingles(words: np.ndarray, size: int) -> np.ndarray:
     return splitmix(out)
 
 
-def in_parts(offsets: np.ndarray, most: int = 1 << 20):
+def in_parts(offsets: np.ndarray, most: int = 1 << 19):
     """Ranges (first, end) of consecutive texts of about so many bytes together."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
