@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from excursio.llm import (
-    bpe, decontamination, lm_scoring, oracles, pii, quality_classifier, quality_rules, simhash, token_counts, url_filters,
+    bpe, decontamination, lm_scoring, oracles, pii, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
+    url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +96,11 @@ def op7(spark, sf_dir):
     return df.select("page_id", "filter.*")
 
 
+@query("op8_substring_dedup")
+def op8(spark, sf_dir):
+    return substring_dedup.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op9_simhash_near_duplicates")
 def op9(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
