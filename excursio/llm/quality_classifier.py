@@ -27,11 +27,11 @@ from excursio.llm.shared import hash_words, in_parts, small_batches, splitmix, s
 DIMENSIONS = 1 << 18
 #: Labelled rows that are learnt from at most.
 SAMPLE = 20_000
-SHARDS = 8
-ROUNDS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+SHARDS = 4
+ROUNDS = 8
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.001, 0.1
 #: Factor on the mean feature vector.
-SCALE = 8.0
+SCALE = 60.0
 
 #: Kinds of bytes: 0 white space, 1 letters, digits and all beyond ASCII, 2 other signs.
 _KIND = np.full(256, 2, np.uint8)
@@ -76,9 +76,9 @@ def features(texts: pa.Array):
 
 
 def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """FTRL-Proximal weights of a state; the bias is not regularised."""
+    """FTRL-Proximal weights of a state whose last entry is the bias, which has no L1 term."""
     l1 = np.full(len(z), L1)
-    l1[_BIAS:] = 0
+    l1[-1] = 0
     return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
@@ -89,10 +89,8 @@ def trained(z: np.ndarray, n: np.ndarray, rows: list[tuple[np.ndarray, int]]) ->
         index, count = np.unique(own, return_counts=True)
         index = np.append(index, _BIAS)
         x = np.append(count * (SCALE / max(len(own), 1)), 1.0)
-        l1 = np.full(len(index), L1)
-        l1[-1] = 0
         zi, ni = z[index], n[index]
-        w = np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
+        w = weights(zi, ni)
         g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
         n[index] = ni + g * g
         z[index] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * w
