@@ -40,6 +40,11 @@ def attr_is(name: str, *values: str) -> Test:
     return lambda n: _among(attr_or_null(n, name), values)
 
 
+def attr_is_ci(name: str, *values: str) -> Test:
+    """For attributes whose values HTML compares without case; values in lower case."""
+    return lambda n: _among(f"lower({attr_or_null(n, name)})", values)
+
+
 def attr_starts(name: str, start: str) -> Test:
     return lambda n: f"startswith({attr(n, name)}, {quote(start)})"
 
@@ -86,6 +91,17 @@ def next_sibling(nodes: Sql, n: Sql) -> Sql:
     )
 
 
+def next_of(items: Sql) -> Sql:
+    """For every position of a page, which of the items comes at or after it (0-based); null behind the last."""
+    def repeat(pres: Sql) -> Sql:
+        return (
+            f"flatten(transform({pres}, (p, k) -> "
+            f"array_repeat(k, p - CASE WHEN k = 0 THEN -1 ELSE {pres}[k - 1] END)))"
+        )
+
+    return let(f"transform({items}, n -> n.pre)", repeat)
+
+
 def nearest(nodes: Sql, n: Sql, test: Test) -> Sql:
     """Innermost element around ``n`` that passes the test."""
     before = f"slice({nodes}, 1, {n}.pre)"

@@ -11,9 +11,10 @@ lambda never hides a variable that its body uses.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from contextvars import ContextVar
 
 Sql = str
-_depth = 0
+_depth: ContextVar[int] = ContextVar("depth", default=0)
 
 
 def quote(value: str) -> Sql:
@@ -22,13 +23,13 @@ def quote(value: str) -> Sql:
 
 
 def _lambda(body: Callable[..., Sql], arity: int) -> Sql:
-    global _depth
-    names = [f"v{_depth}", f"i{_depth}"][:arity]
-    _depth += 1
+    depth = _depth.get()
+    names = [f"v{depth}", f"i{depth}"][:arity]
+    mark = _depth.set(depth + 1)
     try:
         inner = body(*names)
     finally:
-        _depth -= 1
+        _depth.reset(mark)
     return f"{names[0]} -> {inner}" if arity == 1 else f"({', '.join(names)}) -> {inner}"
 
 

@@ -105,10 +105,19 @@ def leading_int(x: Sql) -> Sql:
 
 def iso(ts: Sql) -> Sql:
     """UTC timestamp as ISO text with milliseconds."""
-    utc = f"convert_timezone(current_timezone(), 'UTC', CAST({ts} AS TIMESTAMP_NTZ))"
+    # through microseconds since 1970: local time would be ambiguous when clocks change
+    utc = f"timestampadd(MICROSECOND, unix_micros({ts}), TIMESTAMP_NTZ'1970-01-01')"
     return f"date_format({utc}, {quote("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")})"
 
 
 def json_or_null(x: Sql) -> Sql:
-    """Parsed JSON, null where the text is not JSON."""
+    """Parsed JSON, null where the text is not JSON or exceeds what a VARIANT holds.
+
+    Of a key that an object repeats, the last value counts (see ``repeated_keys``).
+    """
     return f"try_parse_json({x})"
+
+
+def repeated_keys(spark) -> None:
+    """Let JSON objects repeat a key, as browsers do; to be called where JSON is parsed."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

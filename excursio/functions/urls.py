@@ -14,6 +14,7 @@ _PARTS = quote(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)(\?[^#]*)?")
 _PLAIN = quote(r"^https?://[a-z0-9.-]+/[A-Za-z0-9_~!$&'()*+,;=:@%/?#.-]*$")
 _PLAIN_PATH = quote(r"^/([A-Za-z0-9_~!$&'()*+,;=:@%?#.-][A-Za-z0-9_~!$&'()*+,;=:@%/?#.-]*)?$")
 _HTTP = "'(?i)^https?://'"
+_TRIMMED = r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]"
 # Characters that stay as they are in a path and in a query or fragment.
 _PATH_CHARS = "!#-;=?-_a-z|~"
 _REST_CHARS = "!#-;=?-~"
@@ -54,7 +55,7 @@ def _escape(s: Sql, chars: str) -> Sql:
 def _drop_dots(p: Sql) -> Sql:
     """Resolve ``.`` and ``..`` segments of an absolute path."""
     walked = fold(
-        f"slice(split({p}, '/'), 2, 1000000000)",
+        let(f"split({p}, '/')", lambda parts: f"slice({parts}, 2, size({parts}))"),
         "CAST(array() AS ARRAY<STRING>)",
         lambda acc, s: case(
             (f"{s} = '.'", acc),
@@ -90,6 +91,14 @@ def _printed(u: Sql, given: Sql) -> Sql:
     return let(origin(u), build)
 
 
+def printed(url: Sql) -> Sql:
+    """A page's own address the way a browser prints it."""
+    def choose(u: Sql) -> Sql:
+        return case((f"{u} RLIKE {_PLAIN} AND NOT contains({u}, '/.')", u), (f"{u} RLIKE {_HTTP}", _printed(u, u)), other=u)
+
+    return let(f"regexp_replace({url}, {quote(_TRIMMED)}, '')", choose)
+
+
 def base_parts(base: Sql) -> Sql:
     """What relative addresses need of the page address, worked out once per page."""
     return struct(
@@ -124,7 +133,7 @@ def absolute_from(url: Sql, b: Sql) -> Sql:
         return when(as_is, u, let(joined, lambda j: _printed(j, u)))
 
     def choose(u: Sql) -> Sql:
-        trimmed = f"regexp_replace({u}, {quote(r'^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]')}, '')"
+        trimmed = f"regexp_replace({u}, {quote(_TRIMMED)}, '')"
         dotted = f"contains({u}, '/.')"
         return case(
             (f"{u} = '' OR {u} LIKE 'data:%' OR {u} LIKE 'blob:%'", "''"),

@@ -13,8 +13,8 @@ SMALL_GROUP = 100_000
 
 
 def join_children(
-    parents: DataFrame, children: DataFrame, key: list[str], how: str = "inner",
-    salt: Column | None = None, small_group: int = SMALL_GROUP,
+    parents: DataFrame, children: DataFrame, key: list[str], salt: Column, how: str = "inner",
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Parents with each of their children, by ``key`` (unique among parents).
 
@@ -22,21 +22,22 @@ def join_children(
     once per salt and its children are dealt out over the salts, so no task gets
     the whole group; all other rows move once. ``how`` is ``inner`` or ``left``
     (parents without children stay). ``salt`` is a stable expression over a child,
-    so that a retried task deals the same way; by default all its columns.
+    so that a retried task deals the same way.
 
-    Counts the children once up front: the list of large parents has fewer than
-    LARGE_SHARE rows because each holds more than that share.
+    Nothing runs here: the children are counted per key in the plan, and their total
+    is a subquery of it. Fewer than LARGE_SHARE parents can hold more than that share.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    limit = max(small_group, children.count() // LARGE_SHARE)
+    counts = children.groupBy(*key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total")).scalar()
+    limit = F.greatest(F.lit(small_group), F.coalesce(F.floor(total / LARGE_SHARE), F.lit(0)))
     large = F.broadcast(
-        children.groupBy(*key)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > limit)
-        .select(*key, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
+        counts.select(*key, "_n", limit.alias("_limit"))
+        .filter(F.col("_n") > F.col("_limit"))
+        .select(*key, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias("_salts"))
     )
-    deal = F.xxhash64(*children.columns) if salt is None else F.xxhash64(salt)
+    deal = F.xxhash64(salt)
     dealt = (
         children.join(large, key, "left")
         .withColumn("_salt", F.coalesce(F.pmod(deal, F.col("_salts")).cast("int"), F.lit(0)))
@@ -58,16 +59,16 @@ def _prefixed(df: DataFrame, prefix: str, key: list[str]) -> DataFrame:
 
 
 def activity_plans(activity: DataFrame, plan: DataFrame) -> DataFrame:
-    """Activities with their plans (1:n)."""
+    """Activities with their plans: one of each per page, so a plain join."""
     parents = _prefixed(activity.withColumnRenamed("id", "activity_id"), "activity_", KEY)
-    return join_children(parents, _prefixed(plan, "plan_", KEY), KEY)
+    return parents.join(_prefixed(plan, "plan_", KEY), KEY)
 
 
 def activity_gallery(activity: DataFrame, gallery: DataFrame) -> DataFrame:
     """Activities with their images (1:n); activities without images stay."""
     parents = _prefixed(activity.withColumnRenamed("id", "activity_id"), "activity_", KEY)
     return join_children(
-        parents, _prefixed(gallery, "image_", KEY), KEY, "left", F.col("image_order")
+        parents, _prefixed(gallery, "image_", KEY), KEY, F.col("image_order"), "left"
     )
 
 

@@ -11,17 +11,17 @@ from excursio.functions.arrays import (
     distinct_longer, first, first_by_key, map_last_wins, or_empty,
 )
 from excursio.functions.nodes import (
-    Test, attr, attr_contains, attr_is, attr_starts, both, climb, content, either, has_attr,
-    inside, is_inside, meta, nearest, next_sibling, parent, select, select_first, tag, words,
+    Test, attr, attr_contains, attr_is, attr_is_ci, attr_starts, both, climb, content, either, has_attr,
+    inside, is_inside, meta, nearest, next_of, next_sibling, parent, select, select_first, tag, words,
 )
 from excursio.functions.sql import (
     Sql, any_of, coalesce, each, keep, let, null, quote, some, struct, when,
 )
 from excursio.functions.text import (
     WS, collapse_ascii, contains, contains_any, contains_ci, fallback, filled, json_or_null,
-    leading_int, leading_number, title_case,
+    leading_int, leading_number, repeated_keys, title_case,
 )
-from excursio.functions.urls import absolute_from, base_parts, path_parts, srcset_pick
+from excursio.functions.urls import absolute_from, base_parts, path_parts, printed, srcset_pick
 from excursio.operators.images import filter_images
 from excursio.schemas import BOOKABLE_DATES, RAW, parsed, raw_field
 from excursio.settings import IMAGE_LIMIT, Settings
@@ -48,6 +48,8 @@ def absolute(url: Sql) -> Sql:
 
 
 def stage(page_nodes: DataFrame) -> DataFrame:
+    repeated_keys(page_nodes.sparkSession)
+    page_nodes = page_nodes.withColumn(URL, F.expr(printed(URL)))
     return page_nodes.select(
         "*",
         F.expr(path_parts(URL)).alias(PARTS),
@@ -154,20 +156,21 @@ def _long_paragraphs(items: Sql, longer: int, without: tuple[str, ...] = ()) ->
 
 def leading_paragraphs(longer: int) -> Sql:
     """Paragraphs up to the first one that follows an ``h2`` or lies in one."""
-    def cut(h2s: Sql) -> Sql:
-        stops = each(
-            PARAGRAPHS,
-            lambda n: f"coalesce({n}.prev_tag = 'h2', false) OR "
-            + some(h2s, lambda h: is_inside(n, h)),
+    def first_in(h: Sql, upcoming: Sql) -> Sql:
+        return let(
+            f"get({upcoming}, {h}.pre + 1)",
+            lambda k: when(f"{PARAGRAPHS}[{k}].pre <= {h}.pre + {h}.size", k),
         )
+
+    def cut(upcoming: Sql) -> Sql:
+        after = f"CAST(array_position({each(PARAGRAPHS, lambda n: f"{n}.prev_tag <=> 'h2'")}, true) AS INT)"
+        within = f"array_min({each(keep(headings('h2'), lambda h: f'{h}.size > 0'), lambda h: first_in(h, upcoming))})"
         return let(
-            f"CAST(array_position({stops}, true) AS INT)",
-            lambda stop: when(
-                f"{stop} = 0", PARAGRAPHS, f"slice({PARAGRAPHS}, 1, greatest({stop} - 1, 0))"
-            ),
+            f"least(nullif({after}, 0) - 1, {within})",
+            lambda stop: when(f"{stop} IS NULL", PARAGRAPHS, f"slice({PARAGRAPHS}, 1, {stop})"),
         )
 
-    return _long_paragraphs(let(headings("h2"), cut), longer)
+    return _long_paragraphs(let(next_of(PARAGRAPHS), cut), longer)
 
 
 def description(rules: str = "v4") -> Sql:
@@ -226,10 +229,17 @@ def highlights(rules: str = "v4") -> Sql:
 
 def marked_items(longer: int, *alts: str) -> Sql:
     """First span beside each image with one of the alternative texts."""
-    def beside(img: Sql) -> Sql:
-        return let(parent(NODES, img), lambda box: first(under(box, "span")))
+    def found(spans: Sql, upcoming: Sql) -> Sql:
+        def beside(img: Sql) -> Sql:
+            def first_in(box: Sql) -> Sql:
+                span = f"get({spans}, get({upcoming}, {box}.pre + 1))"
+                return let(span, lambda s: when(f"{s}.pre <= {box}.pre + {box}.size", s))
+
+            return let(parent(NODES, img), first_in)
+
+        return keep(each(select(IMGS, attr_is("alt", *alts)), beside), lambda s: f"{s} IS NOT NULL")
 
-    spans = keep(each(select(IMGS, attr_is("alt", *alts)), beside), lambda s: f"{s} IS NOT NULL")
+    spans = let(select(NODES, tag("span")), lambda s: let(next_of(s), lambda n: found(s, n)))
     return distinct_longer(texts_of(spans), longer)
 
 
@@ -460,7 +470,7 @@ def twitter_card() -> Sql:
 
 
 def favicons() -> Sql:
-    icons = select(LINKS, attr_is("rel", "icon", "shortcut icon", "apple-touch-icon"))
+    icons = select(LINKS, attr_is_ci("rel", "icon", "shortcut icon", "apple-touch-icon"))
     return each(
         icons,
         lambda n: struct(
@@ -470,8 +480,9 @@ def favicons() -> Sql:
 
 
 def seo() -> Sql:
-    canonical = select_first(LINKS, attr_is("rel", "canonical"))
-    title = select_first(NODES, tag("title"))
+    canonical = select_first(LINKS, attr_is_ci("rel", "canonical"))
+    # a drawing can have a title of its own
+    title = first(keep(select(NODES, tag("title")), lambda n: f"{nearest(NODES, n, tag('svg'))} IS NULL"))
     return struct(
         title=let(title, lambda n: collapse_ascii(content(TEXT, n))),
         metaDescription=meta(METAS, "description"),
@@ -494,7 +505,7 @@ def structured_data() -> Sql:
     def entry(n: Sql, i: Sql) -> Sql:
         return let(json_or_null(content(TEXT, n)), lambda v: struct(key=key(v, i), value=v))
 
-    scripts = select(NODES, both(tag("script"), attr_is("type", "application/ld+json")))
+    scripts = select(NODES, both(tag("script"), attr_is_ci("type", "application/ld+json")))
     # JSON null has no properties to read, so it counts as unreadable.
     read = keep(
         each(scripts, entry), lambda e: f"{e}.value IS NOT NULL AND NOT is_variant_null({e}.value)"

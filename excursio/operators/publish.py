@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from excursio.functions.sql import Sql, each, quote, struct
-from excursio.functions.text import fallback, json_or_null
+from excursio.functions.sql import Sql, quote
+from excursio.functions.text import fallback, json_or_null, repeated_keys
 
 # The three stages of the publishing service.
 ACTIVITY, PLAN, IMAGE = 1, 2, 3
@@ -25,29 +25,42 @@ def as_json(x: Sql) -> Sql:
 
 
 def outbox(bundle: DataFrame, base_url: str = "") -> DataFrame:
-    """Requests in publishing order: slug, stage, n. One pass over the bundles."""
+    """Requests of every bundle: slug, stage, n, in no order.
+
+    One pass per stage over the columns it needs. Plans and images become rows
+    before they become JSON, so no task holds all bodies of a bundle.
+    """
     base = quote(base_url.rstrip("/"))
 
-    def request(stage: int, n: Sql, path: Sql, body: Sql) -> Sql:
-        return struct(
-            stage=str(stage), n=n, method="'POST'", url=f"concat({base}, {path})",
-            body=as_json(body),
+    def request(rows: DataFrame, stage: int, path: Sql) -> DataFrame:
+        return rows.select(
+            "page_id", "slug", F.lit(stage).alias("stage"), F.col("n").cast("int").alias("n"),
+            F.lit("POST").alias("method"), F.expr(f"concat({base}, {path})").alias("url"),
+            F.expr(as_json("item")).alias("body"),
+        )
+
+    def items(column: str) -> DataFrame:
+        # The outer generator keeps the optimizer from working the list out twice.
+        rows = bundle.select(
+            "page_id", F.col("activity.slug").alias("slug"), F.posexplode_outer(column).alias("n", "item")
         )
+        return rows.filter("n IS NOT NULL").withColumn("n", F.col("n") + 1)
 
-    plan_path = f"concat({quote(ACTIVITY_PATH + '/')}, activity.slug, {quote(PLAN_QUERY)})"
-    image_path = f"concat({quote(IMAGE_PATH)}, activity.slug, '/imageInfo')"
-    requests = "concat(" + ", ".join((
-        f"array({request(ACTIVITY, '1', quote(ACTIVITY_PATH), 'activity')})",
-        each("plans", lambda p, i: request(PLAN, f"{i} + 1", plan_path, p)),
-        each("gallery", lambda g, i: request(IMAGE, f"{i} + 1", image_path, g)),
-    )) + ")"
-    return bundle.select(
-        "page_id", F.col("activity.slug").alias("slug"), F.expr(f"inline_outer({requests})")
+    plan_path = f"concat({quote(ACTIVITY_PATH + '/')}, slug, {quote(PLAN_QUERY)})"
+    image_path = f"concat({quote(IMAGE_PATH)}, slug, '/imageInfo')"
+    whole = bundle.select(
+        "page_id", F.col("activity.slug").alias("slug"), F.lit(1).alias("n"), F.col("activity").alias("item")
+    )
+    return (
+        request(whole, ACTIVITY, quote(ACTIVITY_PATH))
+        .union(request(items("plans"), PLAN, plan_path))
+        .union(request(items("gallery"), IMAGE, image_path))
     )
 
 
 def normalise(results: DataFrame) -> DataFrame:
     """Add ``ok``, the JSON body (or the text under ``raw``) and a detail text."""
+    repeated_keys(results.sparkSession)
     data = f"coalesce({json_or_null('body')}, to_variant_object(named_struct('raw', body)))"
     detail = fallback(
         "try_variant_get(data, '$.slug', 'string')", "try_variant_get(data, '$.detail', 'string')"

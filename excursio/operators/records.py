@@ -27,18 +27,20 @@ TRUE, FALSE, ZERO, NO_TEXT = "true", "false", "0", "''"
 NO_MAP = "CAST(map() AS MAP<STRING, STRING>)"
 
 
-def map_category(category: Sql, name: Sql, slug: Sql, rules) -> Sql:
-    """First rule one of whose words occurs in category, name or slug."""
-    def choose(t: Sql) -> Sql:
-        def hit(word: str) -> Sql:
-            return all_of(contains(t, w) for w in word.split("&"))
-
-        return case(
-            *[(any_of(hit(w) for w in words), quote(to)) for to, words in rules],
-            other=quote(CATEGORY_FALLBACK),
-        )
+def category_text(category: Sql, name: Sql, slug: Sql) -> Sql:
+    """What the category rules look at."""
+    return f"lower(concat({text(category)}, ' ', {text(name)}, ' ', {text(slug)}))"
+
 
-    return let(f"lower(concat({text(category)}, ' ', {text(name)}, ' ', {text(slug)}))", choose)
+def map_category(sought: Sql, rules) -> Sql:
+    """First rule one of whose words occurs in the text; of a tuple, all words must."""
+    def hit(word: str | tuple[str, ...]) -> Sql:
+        return all_of(contains(sought, w) for w in ((word,) if isinstance(word, str) else word))
+
+    return case(
+        *[(any_of(hit(w) for w in words), quote(to)) for to, words in rules],
+        other=quote(CATEGORY_FALLBACK),
+    )
 
 
 def prepare(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql | None = None) -> DataFrame:
@@ -47,11 +49,12 @@ def prepare(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql | No
     ``custom_id`` is an expression for a caller's activity id; null or 0 means
     that one is derived from the page address.
     """
-    key = fallback("url", "slug")
+    key = fallback("url", "slug", "CAST(page_id AS STRING)")
     raw = raw.select("*", F.expr(key).alias("_key"), F.expr(clean("hero.name")).alias("_name"))
+    raw = raw.select("*", F.expr(category_text("hero.category", "_name", "slug")).alias("_sought"))
     steps: dict[str, Sql] = {
         "_id": ids.caller_or(custom_id, ids.activity_id("_key")),
-        "_category": map_category("hero.category", "_name", "slug", settings.category_rules),
+        "_category": map_category("_sought", settings.category_rules),
         "_tags": clean_list("hero.tags"),
         "_listed": price_number("get(ticketPrices.prices, 0)"),
         "_currency": fallback("ticketPrices.currency", quote(settings.currency)),
@@ -359,24 +362,24 @@ def gallery(
 def bundle(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql | None = None) -> DataFrame:
     """Activity, plans, gallery and metadata of each page, without a shuffle."""
     prepared = prepare(raw, settings, custom_id).select(
-        "*", F.expr(gallery_items()).alias("_gallery")
+        "*", F.expr(gallery_items()).alias("_gallery"),
+        F.expr(f"array({struct(**plan_rules(settings))})").alias("_plans"),
     )
-    plans = f"array({struct(**plan_rules(settings))})"
     meta = struct(
         provider=quote(settings.provider),
         source_url=text("url"),
         slug=text("slug"),
         scraped_at=fallback("metadata.scrapedAt", quote(settings.run_iso)),
         generated_at=quote(settings.run_iso),
-        total_plans=f"size({plans})",
+        total_plans="size(_plans)",
         total_gallery_images="size(_gallery)",
     )
     return prepared.select(
         "page_id",
         F.expr(struct(**activity_rules(settings))).alias("activity"),
-        F.expr(plans).alias("plans"),
+        F.col("_plans").alias("plans"),
         F.col("_gallery").alias("gallery"),
-        F.expr(meta.replace(f"size({plans})", "1")).alias("metadata"),
+        F.expr(meta).alias("metadata"),
     )
 
 

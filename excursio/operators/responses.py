@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from excursio.functions.sql import quote
-from excursio.functions.text import contains, contains_any, json_or_null
+from excursio.functions.text import contains, contains_any, json_or_null, repeated_keys
 from excursio.functions.urls import response_key
 from excursio.schemas import BOOKABLE_DATES, raw_field
 from excursio.settings import API_DATES_KEY, API_KEY_JUNK, API_URL_JUNK, Settings
 
 
-def api_keep(responses: DataFrame) -> DataFrame:
-    """Readable JSON responses of wanted addresses, with ``key`` and ``data``.
-
-    ``.js`` in an address also refuses ``.json`` files.
-    """
+def _wanted(responses: DataFrame) -> DataFrame:
+    """JSON responses of wanted addresses; ``.js`` in an address also refuses ``.json`` files."""
+    repeated_keys(responses.sparkSession)
     wanted = responses.filter(
         F.expr(f"contains(content_type, 'application/json') AND NOT {contains_any('url', API_URL_JUNK)}")
     )
@@ -27,7 +25,20 @@ def api_keep(responses: DataFrame) -> DataFrame:
         "status",
         F.expr(response_key("url")).alias("key"),
         F.expr(json_or_null("body")).alias("data"),
-    ).filter("key IS NOT NULL AND data IS NOT NULL")
+    )
+
+
+def api_keep(responses: DataFrame) -> DataFrame:
+    """Readable JSON responses of wanted addresses, with ``key`` and ``data``."""
+    return _wanted(responses).filter("key IS NOT NULL AND data IS NOT NULL")
+
+
+def api_rejects(responses: DataFrame) -> DataFrame:
+    """Wanted responses that ``api_keep`` leaves out, with the reason."""
+    reason = "CASE WHEN data IS NULL THEN 'body is not JSON or too large' ELSE 'address without host' END"
+    return _wanted(responses).filter("key IS NULL OR data IS NULL").select(
+        "page_id", "seq", "url", F.expr(reason).alias("reason")
+    )
 
 
 def api_latest(kept: DataFrame) -> DataFrame:

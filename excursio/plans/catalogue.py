@@ -27,26 +27,30 @@ def raw_records(
 
 def build_catalogue(
     spark: SparkSession, pages_at: str, out: str, responses_at: str | None = None,
-    settings: Settings = Settings(), by_slug: bool = False,
+    settings: Settings = Settings(), by_slug: bool = False, partitions: int | None = None,
 ) -> None:
     """Write raw records, the three linked tables, bundles, requests and reports.
 
     Pages are parsed once and records worked out once: raw records are written
     first, bundles from them next, and everything else reads those two back with
     only the columns it needs. So a lost executor costs tasks, not the work
-    before them. ``out`` must be storage that all executors share.
+    before them. ``out`` must be storage that all executors share. ``partitions``
+    deals the pages out first, for inputs of few splits.
     """
     pages = read_pages(spark, pages_at)
     captured = read_responses(spark, responses_at) if responses_at else None
     write_table(page_rejects(pages), f"{out}/page_rejects")
-    write_table(raw_records(spread(pages), captured, settings), f"{out}/raw")
-
-    raw = spark.read.parquet(f"{out}/raw")
-    kept = None
+    raw, kept = extract(page_nodes(spread(pages, partitions)), settings), None
     if captured is not None:
-        latest = responses.api_latest(responses.api_keep(captured))
-        write_table(responses.api_strip(latest), f"{out}/api_responses")
-        kept = spark.read.parquet(f"{out}/api_responses")
+        # bodies are parsed, sorted and moved once; pricing and the kept responses read the outcome
+        write_table(responses.api_latest(responses.api_keep(captured)), f"{out}/api_latest")
+        write_table(responses.api_rejects(captured), f"{out}/api_rejects")
+        latest = spark.read.parquet(f"{out}/api_latest")
+        kept = responses.api_strip(latest)
+        write_table(responses.api_pricing(latest), f"{out}/pricing")
+        raw = responses.merge_pricing(raw, spark.read.parquet(f"{out}/pricing"), settings)
+    write_table(raw, f"{out}/raw")
+    raw = spark.read.parquet(f"{out}/raw")
     write_table(records.bundle(raw, settings), f"{out}/bundle")
 
     bundles = spark.read.parquet(f"{out}/bundle")

@@ -81,7 +81,8 @@ RAW_JSON = """
     metadata STRUCT<scrapedAt: STRING, pageUrl: STRING, totalImages: INT>,
     timings STRUCT<openingTime: STRING, closingTime: STRING, closedDays: STRING,
         lastEntry: STRING, bestVisitingTime: STRING>,
-    rules ARRAY<STRING>, thingsToDo ARRAY<STRING>
+    rules ARRAY<STRING>, thingsToDo ARRAY<STRING>,
+    apiResponses MAP<STRING, VARIANT>
 """
 
 

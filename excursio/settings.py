@@ -22,7 +22,7 @@ CATEGORY_RULES = (
     ("religious-sites", ("temple", "shrine", "church", "mosque", "spiritual",
                          "religious", "aarti", "kashi")),
     ("historical-monuments", ("monument", "fort", "palace", "heritage", "history", "culture")),
-    ("theme-parks", ("theme&park",)),  # both words
+    ("theme-parks", (("theme", "park"),)),  # both words
     ("parks", ("park",)),
     ("gardens", ("garden",)),
     ("zoos", ("zoo", "safari", "wildlife")),

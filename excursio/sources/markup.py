@@ -37,6 +37,8 @@ REPLACES = {
 }
 SCOPE_END = frozenset("html table td th caption button object marquee applet template".split())
 BLOCKS = CLOSES_P | SCOPE_END
+# Elements in which a slash at the end of a tag closes it.
+FOREIGN = frozenset(("svg", "math"))
 FORMATTING = frozenset("a b big code em font i nobr s small span strike strong tt u".split())
 
 # Possessive repeats: no page makes these patterns back-track.
@@ -157,9 +159,7 @@ class PageTree:
         above = len(self._stack) - level - 1
         if level < 0 or above == 0:
             return level
-        if above > 50:
-            return level if self._top(stops) <= level else -1
-        return -1 if any(self.tag[n] in stops for n in self._stack[level + 1:]) else level
+        return level if self._top(stops) <= level else -1
 
     # -- reading -----------------------------------------------------------
     def _characters(self, text: str) -> None:
@@ -170,7 +170,7 @@ class PageTree:
         self._say(unescape(text) if "&" in text else text)
 
     def _read(self, html: str) -> None:
-        at = 0
+        at = hidden = 0
         while True:
             start = html.find("<", at)
             mark = _MARK.match(html, start) if start >= 0 else None
@@ -182,19 +182,34 @@ class PageTree:
                 start = html.find("<", start + 1)
                 mark = _MARK.match(html, start) if start >= 0 else None
             if start < 0:
-                if at < len(html):
+                if at < len(html) and not hidden:
                     self._characters(html[at:])
                 return
-            if start > at:
+            if start > at and not hidden:
                 self._characters(html[at:start])
             at = mark.end()
             end_tag, start_tag, inside = mark.groups()
-            if end_tag:
+            if hidden:
+                # Content of a template is no part of the page.
+                tag = (end_tag or start_tag or "").lower()
+                if tag == "template":
+                    hidden += -1 if end_tag else 1
+                elif start_tag and tag in RAW:
+                    stop = _RAW_END[tag].search(html, at)
+                    at = stop.end() if stop else len(html)
+            elif end_tag:
                 self._end(end_tag.lower())
             elif start_tag:
                 tag = start_tag.lower()
+                foreign = bool(self._levels.get("svg") or self._levels.get("math"))
                 self._start(tag, _attributes(inside) if inside else {})
-                if tag in RAW:
+                if tag == "template":
+                    self._pop_to(len(self._stack) - 1)
+                    hidden = 1
+                elif (foreign or tag in FOREIGN) and inside.endswith("/"):
+                    if self.tag[self._stack[-1]] == tag:
+                        self._pop_to(len(self._stack) - 1)
+                elif tag in RAW and not (foreign and tag == "title"):
                     stop = _RAW_END[tag].search(html, at)
                     raw = html[at: stop.start() if stop else len(html)]
                     self._say(unescape(raw) if tag in DECODED and "&" in raw else raw)

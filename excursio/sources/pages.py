@@ -29,16 +29,13 @@ def read_pages(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.parquet(location).select("page_id", "url", "html")
 
 
-def spread(df: DataFrame, key: str = "page_id") -> DataFrame:
-    """Give every core work when the input has far fewer splits than cores.
+def spread(df: DataFrame, partitions: int | None = None, key: str = "page_id") -> DataFrame:
+    """Deal the rows to so many partitions; without a number they stay where they are.
 
-    Only then: a large input already has many splits, and moving its markup
-    would be the most costly shuffle of the job. ``key`` must be (nearly) unique.
+    For inputs of few splits and many cores. It moves all markup, which on a large
+    input would be the most costly shuffle of the job. ``key`` must be (nearly) unique.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, key)
+    return df if partitions is None else df.repartition(partitions, key)
 
 
 def page_rejects(pages: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from excursio.functions.sql import Sql, each, struct, when
-from excursio.functions.text import fallback
+from excursio.functions.text import repeated_keys
 from excursio.schemas import API_RESPONSES, RAW, RAW_JSON, parsed
 
 
@@ -45,7 +45,7 @@ def _image(v: Sql) -> Sql:
 def settle(records: DataFrame) -> DataFrame:
     """Records as they stand in JSON to raw records.
 
-    Without a ``page_id`` column the address stands in for it, hashed.
+    They come with the ``page_id`` that stands for the record; it must be unique.
     """
     hero = struct(
         **{f: f"hero.{f}" for f in ("name", "city", "category", "coverImage")},
@@ -71,33 +71,54 @@ def settle(records: DataFrame) -> DataFrame:
     settled = {
         "hero": hero, "gallery": each("gallery", _image), "ticketPrices": tickets, "location": place,
     }
-    page_id = "page_id" if "page_id" in records.columns else f"xxhash64({fallback('url', 'slug')})"
-    fields = []
-    for f in parsed(RAW).fields:
-        e = page_id if f.name == "page_id" else settled.get(f.name, f.name)
-        fields.append(F.expr(e).cast(f.dataType).alias(f.name))
-    return records.select(*fields)
+    return records.select(
+        *[F.expr(settled.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in parsed(RAW).fields]
+    )
+
 
+def kept_responses(records: DataFrame) -> DataFrame:
+    """The captured responses inside JSON records, one row each: page_id, key, url, status, data."""
+    rows = records.select("page_id", F.explode("apiResponses").alias("key", "r"))
+    return rows.select(
+        "page_id", "key", F.expr("try_variant_get(r, '$.url', 'string')").alias("url"),
+        F.expr("try_variant_get(r, '$.status', 'int')").alias("status"),
+        F.expr("variant_get(r, '$.data')").alias("data"),
+    )
 
-def read_raw_json(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame]:
-    """Raw records from JSON files (one object per file), and the rejects.
+
+def read_raw_json(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw records from JSON files (one object per file), their responses, and the rejects.
 
     A record with neither ``hero`` nor ``slug`` is something else, for instance
-    a bundle; it would silently turn into defaults.
+    a bundle; it would silently turn into defaults. Records of one address stay apart: the
+    page_id stands for the file and the place in it, so write the frames before files change.
     """
-    files = spark.read.schema(parsed(RAW_JSON)).option("multiLine", True).json(location)
-    good = files.filter("hero IS NOT NULL OR slug IS NOT NULL")
-    bad = files.filter("hero IS NULL AND slug IS NULL").select(
-        "url", F.lit("no hero and no slug").alias("reason")
+    repeated_keys(spark)
+    schema = T.StructType([*parsed(RAW_JSON).fields, T.StructField("_damaged", T.StringType())])
+    options = {"multiLine": True, "columnNameOfCorruptRecord": "_damaged"}
+    files = spark.read.schema(schema).options(**options).json(location)
+    files = files.select("*", F.xxhash64("_metadata.file_path", F.monotonically_increasing_id()).alias("page_id"))
+    good = files.filter("_damaged IS NULL AND (hero IS NOT NULL OR slug IS NOT NULL)")
+    bad = files.filter("_damaged IS NOT NULL OR (hero IS NULL AND slug IS NULL)").select(
+        "url", F.expr("CASE WHEN _damaged IS NOT NULL THEN 'not JSON' ELSE 'no hero and no slug' END").alias("reason")
     )
-    return settle(good), bad
+    return settle(good), kept_responses(good), bad
 
 
-def raw_from_json_text(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Raw records from a column of JSON texts; other columns must not clash."""
-    kept = [c for c in lines.columns if c == "page_id"]
+def json_text_records(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Records as they stand in a column of JSON texts.
+
+    Without a ``page_id`` column, one stands for the text and the place of its row.
+    """
+    repeated_keys(lines.sparkSession)
+    page_id = F.col("page_id") if "page_id" in lines.columns else F.xxhash64(column, F.monotonically_increasing_id())
     record = F.from_json(F.col(column), parsed(RAW_JSON))
-    return settle(lines.select(*kept, record.alias("_r")).select(*kept, "_r.*"))
+    return lines.select(page_id.alias("page_id"), record.alias("_r")).select("page_id", "_r.*")
+
+
+def raw_from_json_text(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Raw records from a column of JSON texts."""
+    return settle(json_text_records(lines, column))
 
 
 def read_bundles(

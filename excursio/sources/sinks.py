@@ -25,7 +25,7 @@ def latest_per_slug(bundle: DataFrame) -> DataFrame:
     """One bundle per slug: the last one captured, ties by page number.
 
     ``max_by`` combines before the shuffle, so a slug that very many pages share
-    sends one bundle per task instead of all of them to one sort.
+    sends one bundle per task. Bundles are wide, so Spark sorts a task's rows to combine them.
     """
     named = bundle.select(
         F.expr(fallback("metadata.slug", "'output'")).alias("slug"),
@@ -41,8 +41,9 @@ def latest_per_slug(bundle: DataFrame) -> DataFrame:
 def write_bundles(bundle: DataFrame, location: str, directories: bool = False) -> None:
     """Write the latest bundle of each slug as JSON.
 
-    ``directories`` gives every slug its own directory and replaces only the
-    slugs of this run; without it all bundles go into one set of JSON-lines files.
+    All bundles go into one set of JSON-lines files. ``directories`` gives every slug
+    its own directory instead and replaces only the slugs of this run: for small
+    catalogues, as each slug costs a directory, a file and a partition to commit.
     """
     body = F.expr(as_json("struct(activity, plans, gallery, metadata)")).alias("value")
     latest = latest_per_slug(bundle)

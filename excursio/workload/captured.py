@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from excursio.functions.nodes import attr
 from excursio.operators import page_fields as pf
 from excursio.operators import records, report
-from excursio.settings import CATEGORY_RULES, Settings
+from excursio.settings import Settings
 from excursio.sources.pages import page_nodes, page_rejects, read_pages, spread
-from excursio.workload.registry import clean_sql, first_sql, query, title_sql
+from excursio.workload.registry import clean_sql, cores, first_sql, query, title_sql
 
 # Oracle form of a page without comments, scripts and styles.
 _BARE = (
@@ -27,15 +27,38 @@ def decode_sql(x: str) -> str:
     return plain
 
 
+# The category words written out once more, so that a wrong one in the settings shows.
+_CATEGORY_WORDS = """
+museums: museum gallery
+religious-sites: temple shrine church mosque spiritual religious aarti kashi
+historical-monuments: monument fort palace heritage history culture
+theme-parks: theme&park
+parks: park
+gardens: garden
+zoos: zoo safari wildlife
+beaches: beach
+islands: island
+rivers: river boat ganges ghat
+mountains: mountain
+hills: hill
+lakes: lake
+water-sports: water diving kayak rafting
+tours: tour walk sightseeing expedition
+sports: sport outdoor trek
+transportation: transport taxi cab transfer
+entertainment: show event entertainment leisure music
+"""
+
+
 def category_sql(category: str, name: str, slug: str) -> str:
     """Oracle form of the category rules."""
     text = f"lower(coalesce({category}, '') || ' ' || coalesce({name}, '') || ' ' || coalesce({slug}, ''))"
     arms = " ".join(
         "WHEN " + " OR ".join(
             "(" + " AND ".join(f"contains({text}, '{w}')" for w in word.split("&")) + ")"
-            for word in words
+            for word in words.split()
         ) + f" THEN '{to}'"
-        for to, words in CATEGORY_RULES
+        for to, words in (line.split(":") for line in _CATEGORY_WORDS.strip().splitlines())
     )
     return f"CASE {arms} ELSE 'attractions' END"
 
@@ -45,7 +68,7 @@ def raw_pages(spark, sf, settings=Settings()):
 
 
 def nodes(spark, sf):
-    return page_nodes(spread(read_pages(spark, f"{sf}/pages.parquet")))
+    return page_nodes(spread(read_pages(spark, f"{sf}/pages.parquet"), cores(spark)))
 
 
 _H1 = clean_sql(decode_sql("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')"))
@@ -66,11 +89,17 @@ _PARAGRAPHS = f"""
 
 @query(
     "page_rejects",
-    "SELECT page_id, url, CASE WHEN url IS NULL THEN 'no url' ELSE 'no html' END AS reason "
-    "FROM pages WHERE url IS NULL OR html IS NULL",
+    """SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN url END AS url,
+        CASE WHEN page_id % 3 = 0 THEN 'no url' ELSE 'no html' END AS reason
+        FROM pages WHERE page_id % 3 = 0 OR page_id % 5 = 0""",
 )
 def rejects(spark, sf):
-    return page_rejects(read_pages(spark, f"{sf}/pages.parquet"))
+    """A third of the pages without address, a fifth without markup."""
+    pages = read_pages(spark, f"{sf}/pages.parquet")
+    return page_rejects(pages.select(
+        "page_id", F.expr("CASE WHEN page_id % 3 <> 0 THEN url END AS url"),
+        F.expr("CASE WHEN page_id % 5 <> 0 THEN html END AS html"),
+    ))
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from excursio.operators import page_fields as pf
 from excursio.settings import Settings
 from excursio.sources.pages import page_nodes, spread
-from excursio.workload.registry import each_row, oracle_facts, pick, query, spark_facts
+from excursio.workload.registry import cores, each_row, oracle_facts, pick, query, spark_facts
 
 _K = "CAST(p_partkey AS <string>)"
 FACTS = f"""
@@ -62,13 +62,13 @@ HEAD = _html(
     "CASE WHEN k % 3 = 0 THEN " + _t("""<META NAME=description CONTENT='See {nm}'>""") + " ELSE '' END",
     _t("""<meta name="twitter:card" content="summary"><meta property="twitter:site" content="@{br}">"""
        """<meta name="twitter:card" content="card {ks}">"""),
-    _t("""<link rel="canonical" href="/c/{ks}"><link rel="icon" href="/f{sz}.ico" sizes="16x16">"""
+    _t("""<link rel="Canonical" href="/c/{ks}"><link rel="icon" href="/f{sz}.ico" sizes="16x16">"""
        """<link rel="mask-icon" href="/m.svg"><link rel="shortcut icon" href="s.ico">"""),
     _t("""<script type="application/ld+json">{'{'}"@type":"Place","n":{ks}}</script>"""),
     "CASE WHEN k % 2 = 0 THEN '<script type=\"application/ld+json\">{bad</script>' ELSE "
     "'<script type=\"application/ld+json\">{\"@type\":\"Thing\"}</script>' END",
     _t("""<script type="application/ld+json">{'{'}"@type":"Place","n":{ks}0}</script>"""),
-    _t("""<script type="application/ld+json">{'{'}"sz":{sz}}</script>"""),
+    _t("""<script type="Application/LD+JSON">{'{'}"sz":0,"sz":{sz}}</script>"""),
     "'<script>var a = \"<img src=x.jpg>\";</script></head>'",
 )
 
@@ -82,6 +82,8 @@ OVERVIEW = (
     + " END"
 )
 LISTS = _html(
+    _t("""<template><p>Hidden paragraph of {nm} that is long enough to be taken for text</p><img src="/hidden.jpg">"""
+       """<template><h3>Entry Ticket</h3></template><script>"</template>"</script><h2>FAQ</h2></template>"""),
     "CASE WHEN k % 4 <> 0 THEN "
     + _t("""<section id="highlights"><h2>Highlights</h2><ul><li>{nm}<li>{br} guide</li><li>abc</li>"""
          """<li> {nm} </li><li>{ty} tour</ul></section>""")
@@ -104,9 +106,9 @@ LISTS = _html(
 )
 PACKAGE = (
     "CASE WHEN k % 6 = 0 THEN '<h3>Nothing here</h3>' WHEN k % 6 = 1 THEN "
-    + _t("""<div class="outer"><i></i><b></b><div><h3>{nm} Package</h3></div><p>₹{price}.50</p></div>""")
+    + _t("""<div class="outer"><svg/><b></b><div><h3>{nm} Package</h3></div><p>₹{price}.50</p></div>""")
     + " ELSE "
-    + _t("""<div><h3>Entry  Ticket {br}</h3><p>₹ {price} now ₹ {price}</p><p>or ₹{sz}</p>"""
+    + _t("""<div><svg viewBox="0 0 1 1"><title>Icon</title><path d="M0"/><circle/></svg><h3>Entry  Ticket {br}</h3><p>₹ {price} now ₹ {price}</p><p>or ₹{sz}</p>"""
          """<ul class="highlightList"><li>Valid for {nm}</li><li>tiny</li></ul></div>""")
     + " END"
 )
@@ -125,7 +127,7 @@ NEARBY = (
          """<a href="/go/{ks}"><img alt="{nm}" data-src="/n/{ks}.jpg"><span>₹ {price}</span>"""
          """<span>{br} CITY</span><div>4.{sz} stars</div></a>"""
          """<a href="rel/{sz}"><p>{ty}</p><span>4.5</span><span>KOLKATA</span></a>"""
-         """<a href="/again"><span>{ty}</span></a><a href="#top"><p>No slash</p></a></div>""")
+         """<a href="/again"><svg/><span>{ty}</span></a><a href="#top"><p>No slash</p></a></div>""")
     + " END"
 )
 FAQ = (
@@ -155,7 +157,7 @@ PAGE = _html(
 
 
 def rendered(spark, sf, page: str = PAGE):
-    facts = spread(spark_facts(FACTS, spark, sf, "part"))
+    facts = spread(spark_facts(FACTS, spark, sf, "part"), cores(spark))
     return facts.select("page_id", "url", F.expr(page).alias("html"))
 
 

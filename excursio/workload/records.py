@@ -13,7 +13,7 @@ from excursio.sources.pages import spread
 from excursio.sources.sinks import latest_per_slug
 from excursio.workload.captured import category_sql
 from excursio.workload.registry import (
-    clean_sql, each_row, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
+    clean_sql, cores, each_row, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
 )
 
 S = Settings(provider="Demo")
@@ -120,7 +120,7 @@ def raw_from_orders(spark, sf):
             scrapedAt="CASE WHEN k % 5 <> 0 THEN scraped END", pageUrl="url", totalImages="0"
         ),
     }
-    facts = spread(spark_facts(FACTS, spark, sf, "orders"))
+    facts = spread(spark_facts(FACTS, spark, sf, "orders"), cores(spark))
     return facts.select(
         *[F.expr(values.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in parsed(RAW).fields]
     )
@@ -129,7 +129,7 @@ def raw_from_orders(spark, sf):
 # ---- oracle pieces -------------------------------------------------------------------
 
 _NAME = clean_sql("name")
-_KEY = first_sql("url", "slug")
+_KEY = first_sql("url", "slug", "CAST(page_id AS VARCHAR)")
 _ID = f"(1000000 + {hash32_sql(_KEY)} % 1000000000)"
 _CITY = clean_sql(first_sql("city", "'Kolkata'"))
 _PARSED = (
@@ -309,7 +309,7 @@ def plan_pois(spark, sf):
     )
 
 
-def _day_sql(key: str, full: str, n: int) -> str:
+def _day_sql(key: str, full: str) -> str:
     closed = (
         f"(contains(lower(coalesce(closed_days, '')), '{full}') OR "
         f"contains(lower(coalesce(closed_days, '')), '{key.lower()}'))"
@@ -328,7 +328,9 @@ def _day_sql(key: str, full: str, n: int) -> str:
 @query(
     "plan_week",
     f"WITH o AS (SELECT * FROM {_O}) "
-    + " UNION ALL ".join(_day_sql(k, f, i) for i, (k, f) in enumerate(WEEK)),
+    + " UNION ALL ".join(_day_sql(k, f) for k, f in (
+        ("Mon", "monday"), ("Tues", "tuesday"), ("Weds", "wednesday"), ("Thur", "thursday"), ("Fri", "friday"),
+        ("Sat", "saturday"), ("Sun", "sunday"))),
 )
 def plan_week(spark, sf):
     days = "array(" + ", ".join(
@@ -518,7 +520,7 @@ def activity_gallery_salted(spark, sf):
         F.expr("(CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END) % 10").alias("page_id"), "event_id"
     )
     a = g.select("page_id").distinct().withColumn("name", F.lit("x"))
-    joined_rows = linkage.join_children(a, g, ["page_id"], "left", F.col("event_id"), small_group=500)
+    joined_rows = linkage.join_children(a, g, ["page_id"], F.col("event_id"), "left", small_group=500)
     return joined_rows.groupBy("page_id").agg(F.count("*").alias("images"), F.sum("event_id").alias("ids"))
 
 
@@ -603,10 +605,49 @@ _JSON = """
        'https://c.example.com/' || event_id || '.jpg https://c.example.com/b.jpg' AS urls FROM events""",
 )
 def json_records(spark, sf):
-    raw = record_source.raw_from_json_text(spread(spark_facts(_JSON, spark, sf, "events")))
+    """Records with a page_id of their own."""
+    raw = record_source.raw_from_json_text(spread(spark_facts(_JSON, spark, sf, "events"), cores(spark)))
     b = records.bundle(raw, S)
     return b.select(
         "page_id", "activity.slug", "activity.name",
         F.col("activity.listing_price.final_price").alias("price"), "activity.latitude",
         F.array_join("gallery.url", " ").alias("urls"),
     )
+
+
+_SAME = """
+    SELECT concat('{"slug":"', CASE event_id % 3 WHEN 0 THEN 'same' WHEN 1 THEN concat('e', CAST(event_id AS <string>)) ELSE '' END,
+        '","hero":{"name":"', event_type, '"},"apiResponses":{"/a?x":{"url":"https://h/a?x","status":', CASE event_id % 2 WHEN 0 THEN '200' ELSE '500' END,
+        ',"data":{"n":0,"n":', CAST(event_id AS <string>), '}},"/b":{"url":"https://h/b","status":200,"data":null}}}') AS value
+    FROM <t:events>"""
+
+
+@query(
+    "json_keys",
+    """SELECT count(*) AS records, count(*) AS page_ids, count(*) AS joined, sum(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END)::BIGINT AS same_slug
+       FROM events""",
+)
+def json_keys(spark, sf):
+    """Records that share a slug or have no address stay apart, and a join of them does not multiply."""
+    from excursio.sources.records import raw_from_json_text
+
+    lines = spark_facts(_SAME, spark, sf, "events")
+    raw = raw_from_json_text(lines)
+    joined = linkage.activity_plans(records.activity(raw, S), records.plan(raw, S))
+    return joined.agg(
+        F.count("*").alias("records"), F.count_distinct("page_id").alias("page_ids"), F.count("plan_id").alias("joined"),
+        F.count_if(F.col("activity_slug") == "same").alias("same_slug"),
+    )
+
+
+@query(
+    "json_responses",
+    """SELECT key, status, count(*) AS n, sum(CASE WHEN key = '/a?x' THEN event_id END)::BIGINT AS total FROM (
+           SELECT event_id, '/a?x' AS key, CASE event_id % 2 WHEN 0 THEN 200 ELSE 500 END AS status FROM events
+           UNION ALL SELECT event_id, '/b', 200 FROM events) GROUP BY key, status""",
+)
+def json_responses(spark, sf):
+    rows = record_source.kept_responses(record_source.json_text_records(spark_facts(_SAME, spark, sf, "events")))
+    return rows.groupBy("key", "status").agg(
+        F.count("*").alias("n"), F.sum(F.expr("try_variant_get(data, '$.n', 'bigint')")).alias("total")
+    )

@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cores(spark: SparkSession) -> int:
+    """Partitions for the small test tables, which have few splits."""
+    return spark.sparkContext.defaultParallelism
+
+
 def pick(number: str, *values: str) -> str:
     """SQL value chosen by a number; the same text in both engines."""
     arms = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))

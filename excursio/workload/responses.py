@@ -21,7 +21,8 @@ RESPONSES = f"""
         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
         {pick("user_id + event_id", "'application/json'", "'application/json; charset=utf-8'",
               "'application/json'", "'text/html'", "'APPLICATION/JSON'")} AS content_type,
-        CASE WHEN event_id % 13 = 5 THEN '{{bad' WHEN event_id % 13 = 6 THEN '{{"data":[]}}'
+        CASE WHEN event_id % 13 = 5 THEN '{{bad'
+             WHEN event_id % 13 = 9 THEN concat('{{"data":[],"data":[{{"date":"twice', {_E}, '","minPrice":4,"capacity":3}}]}}') WHEN event_id % 13 = 6 THEN '{{"data":[]}}'
              WHEN event_id % 13 = 7 THEN '{{"data":{{"a":1}}}}'
              WHEN event_id % 13 = 8 THEN concat('{{"data":[{{"date":"d', {_E}, '","minPrice":"9"}}]}}')
              ELSE concat('{{"data":[{{"date":"d', {_E}, '","minPrice":', CAST(event_id % 97 AS <string>), ',"capacity":',
@@ -30,7 +31,7 @@ RESPONSES = f"""
 
 _R = f"({oracle_facts(RESPONSES, 'events')})"
 _KEPT = f"""
-    SELECT page_id, seq, url, status, body, regexp_extract(url, '^https?://[^/?#]*([^#]*)', 1) AS key
+    SELECT page_id, seq, url, status, replace(body, '"data":[],', '') AS body, regexp_extract(url, '^https?://[^/?#]*([^#]*)', 1) AS key
     FROM {_R} WHERE contains(content_type, 'application/json') AND NOT contains(url, '.js')
     AND NOT contains(url, 'chunk') AND NOT contains(url, 'webpack') AND NOT contains(url, 'analytics')
     AND NOT contains(url, 'gtag') AND NOT contains(url, 'google') AND NOT contains(url, 'ipapi')
@@ -58,6 +59,18 @@ def latest(spark, sf):
     return responses.api_latest(responses.api_keep(captured(spark, sf)))
 
 
+@query(
+    "api_rejects",
+    f"""SELECT page_id, seq, url, 'body is not JSON or too large' AS reason
+    FROM {_R} WHERE contains(content_type, 'application/json') AND NOT contains(url, '.js')
+    AND NOT contains(url, 'chunk') AND NOT contains(url, 'webpack') AND NOT contains(url, 'analytics')
+    AND NOT contains(url, 'gtag') AND NOT contains(url, 'google') AND NOT contains(url, 'ipapi')
+    AND TRY_CAST(body AS JSON) IS NULL""",
+)
+def api_rejects(spark, sf):
+    return responses.api_rejects(captured(spark, sf))
+
+
 @query("api_keep", f"SELECT page_id, seq, url, status, key FROM ({_KEPT})")
 def api_keep(spark, sf):
     return responses.api_keep(captured(spark, sf)).drop("data")
@@ -138,12 +151,12 @@ def _image_query(spark, sf, junk):
     )
 
 
-@query("image_filter", _image_oracle(IMAGE_JUNK))
+@query("image_filter", _image_oracle(("logo", "favicon", "map-pin", "arrow-down")))
 def image_filter(spark, sf):
     return _image_query(spark, sf, IMAGE_JUNK)
 
 
-@query("image_filter_gallery", _image_oracle(GALLERY_JUNK))
+@query("image_filter_gallery", _image_oracle(("logo", "favicon", "map-pin")))
 def image_filter_gallery(spark, sf):
     return _image_query(spark, sf, GALLERY_JUNK)
 
@@ -154,7 +167,7 @@ RESULTS = f"""
     SELECT CONCAT('s', CAST(user_id AS <string>)) AS slug, 1 + event_id % 3 AS stage, event_id AS n,
         CASE WHEN event_type = 'error' AND user_id % 3 = 0 THEN 500 WHEN event_id % 7 = 0 THEN 409
              WHEN event_id % 2 = 0 THEN 201 ELSE 200 END AS status,
-        {pick("event_id", "concat('{\"slug\":\"x', " + _E + ", '\"}')", "'{\"detail\":\"taken\"}'",
+        {pick("event_id", "concat('{\"slug\":\"y\",\"slug\":\"x', " + _E + ", '\"}')", "'{\"detail\":\"taken\"}'",
               "'<html>gateway</html>'", "'{\"slug\":\"\",\"detail\":\"d\"}'", "'null'")} AS body
     FROM <t:events>"""
 _RES = f"({oracle_facts(RESULTS, 'events')})"

@@ -9,7 +9,7 @@ from excursio.functions.sql import let
 from excursio.functions.text import (
     clean, contains_ci, iso, leading_number, prefix, price_number, title_case,
 )
-from excursio.functions.urls import absolute, base_parts, path_parts, response_key, srcset_pick
+from excursio.functions.urls import absolute, base_parts, path_parts, printed, response_key, srcset_pick
 from excursio.operators import page_fields as pf
 from excursio.operators.linkage import id_collisions
 from excursio.workload.registry import (
@@ -147,12 +147,16 @@ def rating(spark, sf):
 
 @query(
     "iso_timestamp",
-    "SELECT event_id, strftime(make_timestamp((1700000000 + event_id * 61) * 1000000 + 250000), "
-    "'%Y-%m-%dT%H:%M:%S.%gZ') AS at FROM events",
+    "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS at, "
+    "strftime(make_timestamp((1729980000 + event_id % 7200) * 1000000), '%Y-%m-%dT%H:%M:%S.%gZ') AS autumn FROM events",
 )
 def timestamps(spark, sf):
-    at = "timestamp_millis((1700000000 + event_id * 61) * 1000 + 250)"
-    return table(spark, sf, "events").select("event_id", F.expr(iso(at)).alias("at"))
+    """Event times, and instants around a change of clocks."""
+    instant = "timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', ts))"
+    return table(spark, sf, "events").select(
+        "event_id", F.expr(iso(instant)).alias("at"),
+        F.expr(iso("timestamp_seconds(1729980000 + event_id % 7200)")).alias("autumn"),
+    )
 
 
 # ---- identifiers ---------------------------------------------------------------------
@@ -204,12 +208,25 @@ def collisions(spark, sf):
 
 # ---- addresses -----------------------------------------------------------------------
 
+# Every page address as it stands, and in forms that a browser prints differently.
+_FORMS = (
+    "SELECT page_id, " + pick(
+        "page_id", "url", "concat(' HTTPS://Host.example.com:443/a b/../', CAST(page_id AS <string>))",
+        "'https://bare.example.com'", "concat(url, ' ')", "concat('http://h.example.com/x/./y/', CAST(page_id AS <string>), '/..')",
+    ) + " AS url FROM <t:pages>"
+)
+_PRINTED = (
+    "SELECT page_id, CASE page_id % 5 WHEN 1 THEN 'https://host.example.com/' || page_id "
+    "WHEN 2 THEN 'https://bare.example.com/' WHEN 4 THEN 'http://h.example.com/x/y/' ELSE url END AS url FROM pages"
+)
+
+
 @query(
     "page_address",
     f"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/?#]*') AS root,
             list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'),
-                        lambda s: s <> '') AS parts FROM pages)
-        SELECT page_id, coalesce(parts[-1], '') AS slug,
+                        lambda s: s <> '') AS parts FROM ({_PRINTED}))
+        SELECT page_id, url, coalesce(parts[-1], '') AS slug,
             coalesce({title_sql('parts[1]')}, '') AS city,
             coalesce({title_sql('parts[2]')}, '') AS category,
             array_to_string(list_transform(parts, lambda s: {title_sql('s')}), ' > ') AS crumbs,
@@ -218,18 +235,18 @@ def collisions(spark, sf):
         FROM p""",
 )
 def page_address(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "url")
+    pages = spark_facts(_FORMS, spark, sf, "pages").withColumn("url", F.expr(printed("url")))
     parts = pages.select(
         "*", F.expr(path_parts("url")).alias(pf.PARTS), F.expr(base_parts("url")).alias(pf.BASE)
     )
     return parts.select(
-        "page_id",
+        "page_id", "url",
         F.expr(pf.slug()).alias("slug"),
         F.expr(pf.path_title(0)).alias("city"),
         F.expr(pf.path_title(1)).alias("category"),
         F.expr(pf.breadcrumbs()).alias("b"),
     ).select(
-        "page_id", "slug", "city", "category",
+        "page_id", "url", "slug", "city", "category",
         F.array_join("b.text", " > ").alias("crumbs"),
         F.array_join("b.url", " ").alias("crumb_urls"),
     )
@@ -303,7 +320,8 @@ def srcset(spark, sf):
 
 
 _BODIES = (
-    "SELECT event_id, " + pick("event_id", "props", "substr(props, 1, 4)", "'null'", "concat('[', props, ']')")
+    "SELECT event_id, "
+    + pick("event_id", "props", "substr(props, 1, 4)", "'null'", "concat('[', props, ']')", """concat('{"k":-1,', substr(props, 2))""")
     + " AS body FROM <t:events>"
 )
 
@@ -311,12 +329,13 @@ _BODIES = (
 @query(
     "json_lenient",
     f"""SELECT event_id, TRY_CAST(body AS JSON) IS NOT NULL AS readable,
-        TRY_CAST(json_extract_string(TRY_CAST(body AS JSON), '$.k') AS BIGINT) AS k
+        TRY_CAST(json_extract_string(TRY_CAST(replace(body, '"k":-1,', '') AS JSON), '$.k') AS BIGINT) AS k
         FROM ({oracle_facts(_BODIES, 'events')})""",
 )
 def json_lenient(spark, sf):
-    from excursio.functions.text import json_or_null
+    from excursio.functions.text import json_or_null, repeated_keys
 
+    repeated_keys(spark)
     parsed = spark_facts(_BODIES, spark, sf, "events").select(
         "event_id", F.expr(json_or_null("body")).alias("j")
     )

@@ -106,3 +106,18 @@ def test_same_elements_as_the_standard_tokenizer_on_all_pages():
         counter.feed(html)
         t = PageTree(html)
         assert [(a, b) for a, _, b in outline(t, True)] == counter.starts
+
+
+def test_slash_closes_foreign_elements_only():
+    t = PageTree("<div><svg/><p>a</p><p>b</p></div><svg><title/><path d='x'/><circle/></svg><div/>c")
+    div = t.tag.index("div")
+    assert t.children[div] == 3 and t.tag[div + 1 : div + 4] == ["svg", "p", "p"]
+    svg = len(t.tag) - 1 - t.tag[::-1].index("svg")
+    assert t.children[svg] == 3 and t.size[svg] == 3
+    last = len(t.tag) - 1 - t.tag[::-1].index("div")
+    assert t.text[t.t0[last] : t.t1[last]] == b"c"
+
+
+def test_template_content_is_no_part_of_the_page():
+    t = PageTree("<p>a</p><template><p>x<template><b>y</b></template><script>'</template>'</script><i>z</i></template><p>b</p><template>open")
+    assert t.tag.count("template") == 2 and not {"b", "i", "script"} & set(t.tag) and t.text == b"ab"

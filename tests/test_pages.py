@@ -135,3 +135,42 @@ def test_rejects(spark):
 def test_rules_are_checked():
     with pytest.raises(ValueError):
         Settings(rules="v9")
+
+
+def _flat(spark, body):
+    df = spark.createDataFrame([(1, "https://h/x", body)], "page_id bigint, url string, html string")
+    return extract(page_nodes(df))
+
+
+@pytest.mark.parametrize("kind", ["icons", "paragraphs"])
+def test_flat_pages_take_linear_time(spark, kind):
+    import time
+
+    def page(n):
+        if kind == "icons":
+            return "<div>" + "<img alt='INCLUSIONS'><span>One thing</span>" * n + "</div>"
+        return "<h2><i>t</i></h2>" * n + "<p>A paragraph that is long enough to be taken for text of the page</p>" * n
+
+    def seconds(n):
+        start = time.time()
+        row = _flat(spark, page(n)).select("inclusions", "description.full").first()
+        assert row.inclusions == (["One thing"] if kind == "icons" else [])
+        return time.time() - start
+
+    seconds(200)
+    small = min(seconds(2000) for _ in range(2))
+    assert seconds(8000) < 8 * small + 2
+
+
+def test_case_of_rel_and_type_and_titles_of_drawings(spark):
+    r = _flat(spark, "<svg><title>Icon</title></svg><title>Real</title><link rel='ICON' href='/i.ico'><link rel='Canonical' href='/c'>"
+              "<script type='Application/LD+JSON'>{\"@type\":\"A\",\"x\":1,\"x\":2}</script>").first()
+    assert [f.href for f in r.seo.favicons] == ["https://h/i.ico"] and r.seo.canonical == "https://h/c" and r.seo.title == "Real"
+    assert r.structuredData["A"].toPython() == {"@type": "A", "x": 2}
+
+
+def test_own_address_is_the_printed_one(spark):
+    df = spark.createDataFrame([(1, "https://H.example.com", "<p>"), (2, " https://h/a b/../c ", "<p>"), (3, "app:x", "<p>")],
+                               "page_id bigint, url string, html string")
+    got = {r.page_id: (r.url, r.slug, r.metadata.pageUrl) for r in extract(page_nodes(df)).collect()}
+    assert got == {1: ("https://h.example.com/", "", "https://h.example.com/"), 2: ("https://h/c", "c", "https://h/c"), 3: ("app:x", "", "app:x")}

@@ -126,7 +126,7 @@ def test_clean(spark, s):
 
 
 def test_every_rule_word_reaches_a_category(spark):
-    words = [(w.replace("&", " "), to) for to, ws in CATEGORY_RULES for w in ws]
+    words = [(w if isinstance(w, str) else " ".join(w), to) for to, ws in CATEGORY_RULES for w in ws]
     got = bundles(spark, *[{"hero": {"name": w}} for w, _ in words]).select(
         F.col("activity.category")[0].alias("c")).collect()
     wrong = {w for (w, to), r in zip(words, got) if r.c != to}
@@ -174,7 +174,7 @@ def test_join_keeps_parents_without_children_and_deals_large_ones(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "page_id bigint, name string")
     g = spark.range(1000).selectExpr("CASE WHEN id < 900 THEN 1L ELSE 2L END AS page_id", "id")
     for how, extra in (("inner", 0), ("left", 1)):
-        rows = linkage.join_children(a, g, ["page_id"], how, small_group=50).collect()
+        rows = linkage.join_children(a, g, ["page_id"], F.col("id"), how, small_group=50).collect()
         assert len(rows) == 1000 + extra
         assert {r.id for r in rows if r.page_id == 1} == set(range(900))
         assert [r.id for r in rows if r.page_id == 3] == [None] * extra
@@ -183,8 +183,13 @@ def test_join_keeps_parents_without_children_and_deals_large_ones(spark):
 def test_raw_json_files(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(MUSEUM, indent=2))
     (tmp_path / "b.json").write_text(json.dumps({"activity": {}, "plans": []}))
-    good, bad = read_raw_json(spark, str(tmp_path))
-    assert [r.slug for r in good.collect()] == ["city-museum"] and bad.count() == 1
+    (tmp_path / "c.json").write_text("{damaged")
+    (tmp_path / "d.json").write_text(json.dumps({**MUSEUM, "apiResponses": {"/a": {"url": "u", "status": 200, "data": {"x": 1}}}}))
+    good, answers, bad = read_raw_json(spark, str(tmp_path))
+    assert [r.slug for r in good.collect()] == ["city-museum"] * 2 and len({r.page_id for r in good.collect()}) == 2
+    assert sorted(r.reason for r in bad.collect()) == ["no hero and no slug", "not JSON"]
+    assert [(r.key, r.url, r.status) for r in answers.collect()] == [("/a", "u", 200)]
+    good = good.limit(1)
     assert len(records.gallery(good).collect()) == 5
 
 
@@ -259,3 +264,34 @@ def test_stream_needs_a_checkpoint_place(spark):
         pytest.skip("the session names a shared place")
     with pytest.raises(ValueError):
         write_stream(record_stream(page_stream(spark, PAGES), "plan"), "/tmp/none", "n")
+
+
+def test_joins_and_job_run_nothing_while_they_are_built(spark):
+    a = spark.range(5).withColumnRenamed("id", "page_id")
+    g = spark.range(10).selectExpr("id % 5 AS page_id", "id")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    linkage.join_children(a, g, ["page_id"], F.col("id"), "left")
+    assert list(status.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_category_is_in_generated_code(spark):
+    words = spark.range(3).selectExpr("concat('Old temple ', id) AS sought")
+    rows = words.select(F.expr(records.map_category("sought", CATEGORY_RULES)).alias("c"))
+    assert "transform" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.c for r in rows.collect()} == {"religious-sites"}
+
+
+def test_responses_are_worked_out_once(spark, tmp_path, monkeypatch):
+    from excursio.operators import responses
+
+    calls = []
+    whole = responses.api_latest
+    monkeypatch.setattr(responses, "api_latest", lambda kept: calls.append(1) or whole(kept))
+    at = str(tmp_path / "responses")
+    spark.createDataFrame(
+        RESPONSES, "page_id bigint, seq bigint, url string, status int, content_type string, body string").write.parquet(at)
+    build_catalogue(spark, PAGES, str(tmp_path / "out"), at)
+    assert calls == [1]
+    assert spark.read.parquet(str(tmp_path / "out" / "api_rejects")).count() == 1
