@@ -10,13 +10,22 @@ from excursio.functions.text import fallback
 from excursio.operators.publish import as_json
 
 
+def table_lines(df: DataFrame) -> DataFrame:
+    """The rows as JSON texts, one column ``value``."""
+    fields = {c: f"`{c}`" for c in df.columns}
+    return df.select(F.expr(as_json(struct(**fields))).alias("value"))
+
+
+def bundle_lines(bundle: DataFrame) -> DataFrame:
+    """The latest bundle of each slug as JSON text: columns slug, value."""
+    body = F.expr(as_json("struct(activity, plans, gallery, metadata)")).alias("value")
+    return latest_per_slug(bundle).select("slug", body)
+
+
 def write_table(df: DataFrame, location: str, fmt: str = "parquet") -> None:
     """Replace a derived table (Parquet or JSON lines)."""
     if fmt == "json":
-        fields = {c: f"`{c}`" for c in df.columns}
-        df.select(F.expr(as_json(struct(**fields))).alias("value")).write.mode("overwrite").text(
-            location
-        )
+        table_lines(df).write.mode("overwrite").text(location)
     else:
         df.write.mode("overwrite").format(fmt).save(location)
 
@@ -45,15 +54,13 @@ def write_bundles(bundle: DataFrame, location: str, directories: bool = False) -
     its own directory instead and replaces only the slugs of this run: for small
     catalogues, as each slug costs a directory, a file and a partition to commit.
     """
-    body = F.expr(as_json("struct(activity, plans, gallery, metadata)")).alias("value")
-    latest = latest_per_slug(bundle)
+    lines = bundle_lines(bundle)
     if directories:
         (
-            latest.select("slug", body)
-            .write.mode("overwrite")
+            lines.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("slug")
             .text(location)
         )
     else:
-        latest.select(body).write.mode("overwrite").text(location)
+        lines.select("value").write.mode("overwrite").text(location)

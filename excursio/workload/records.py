@@ -10,7 +10,7 @@ from excursio.schemas import RAW, parsed
 from excursio.settings import Settings, WEEK
 from excursio.sources import records as record_source
 from excursio.sources.pages import spread
-from excursio.sources.sinks import latest_per_slug
+from excursio.sources.sinks import bundle_lines, latest_per_slug, table_lines
 from excursio.workload.captured import category_sql
 from excursio.workload.registry import (
     clean_sql, cores, each_row, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
@@ -651,3 +651,83 @@ def json_responses(spark, sf):
     return rows.groupBy("key", "status").agg(
         F.count("*").alias("n"), F.sum(F.expr("try_variant_get(data, '$.n', 'bigint')")).alias("total")
     )
+
+
+# ---- columns that hold the same value everywhere -----------------------------------------
+
+@query(
+    "activity_flags",
+    f"""SELECT page_id, true AS authorization_, true AS website, true AS ttd, false AS homepage, false AS landingpage,
+        true AS partial, true AS prepaid, true AS postpaid, CAST(0 AS BIGINT) AS min_duration, CAST(0 AS BIGINT) AS max_duration,
+        CAST(0 AS BIGINT) AS duration, CAST(0 AS BIGINT) AS reviews, '' AS place_id, '' AS landmark, '' AS pincode, '' AS state,
+        '' AS state_code, 'fixed' AS price_type, CAST(0 AS BIGINT) AS other_prices, {_PRICE} AS original_price,
+        coalesce(opens, '') AS last_entry, '' AS best_time, '2026-01-01T00:00:00' AS updated FROM {_O}""",
+)
+def activity_flags(spark, sf):
+    return records.activity(raw_from_orders(spark, sf), S).select(
+        "page_id", F.col("authorization").alias("authorization_"), F.col("website_available").alias("website"),
+        F.col("ttd_available").alias("ttd"), F.col("show_on_homepage").alias("homepage"),
+        F.col("show_on_landingpage").alias("landingpage"), F.col("partial_payment").alias("partial"),
+        F.col("prepaid_payment").alias("prepaid"), F.col("postpaid_payment").alias("postpaid"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("min_duration", "max_duration", "duration")],
+        F.col("reviews_count").cast("bigint").alias("reviews"), "place_id", "landmark", "pincode", "state", "state_code",
+        F.col("listing_price.type").alias("price_type"), F.col("listing_price.other_prices_exist").cast("bigint").alias("other_prices"),
+        F.col("listing_price.original_price").alias("original_price"), F.col("schedule.last_entry").alias("last_entry"),
+        F.col("schedule.best_visiting_time").alias("best_time"),
+        F.expr("date_format(convert_timezone('UTC', CAST(updated_at AS TIMESTAMP_NTZ)), \"yyyy-MM-dd'T'HH:mm:ss\")").alias("updated"),
+    )
+
+
+@query(
+    "plan_flags",
+    f"""SELECT page_id, 'general' AS type, true AS availability, CAST(0 AS BIGINT) AS duration, CAST(0 AS BIGINT) AS margin,
+        CAST(0 AS BIGINT) AS net, 'ONDC' AS source, 10000000 + {hash32_sql(f"'plan:' || {_KEY}")} % 90000000 AS product,
+        'fixed' AS price_type, CAST(0 AS BIGINT) AS other_prices, {_PLAN_PRICE} AS original_price, {_PLAN_PRICE} AS payable,
+        {first_sql('currency', "'INR'")} AS currency FROM {_O}""",
+)
+def plan_flags(spark, sf):
+    return records.plan(raw_from_orders(spark, sf), S).select(
+        "page_id", "type", "availability", F.col("duration").cast("bigint").alias("duration"),
+        F.col("margin").cast("bigint").alias("margin"), F.col("net_price_percentage").cast("bigint").alias("net"),
+        "association.source", F.col("association.productId").cast("bigint").alias("product"),
+        F.col("listing_price.type").alias("price_type"), F.col("listing_price.other_prices_exist").cast("bigint").alias("other_prices"),
+        F.col("listing_price.original_price").alias("original_price"), F.col("listing_price.minimum_payable_price").alias("payable"),
+        F.col("listing_price.currency_code").alias("currency"),
+    )
+
+
+# ---- written lines ------------------------------------------------------------------------
+
+@query(
+    "sink_table_lines",
+    f"""SELECT page_id, slug, city, lat IS NULL AS no_latitude, 'page_id,slug,city,latitude' AS keys FROM (
+        SELECT page_id, slug, {_CITY} AS city, lat FROM {_O})""",
+)
+def sink_table_lines(spark, sf):
+    """Rows as JSON lines keep the order of their columns, and fields that are null."""
+    a = records.activity(raw_from_orders(spark, sf), S)
+    lines = table_lines(a.select("page_id", "slug", "city", F.expr("nullif(latitude, 0D)").alias("latitude")))
+    return lines.select(
+        F.expr("CAST(get_json_object(value, '$.page_id') AS BIGINT)").alias("page_id"),
+        F.get_json_object("value", "$.slug").alias("slug"), F.get_json_object("value", "$.city").alias("city"),
+        F.contains("value", F.lit('"latitude":null')).alias("no_latitude"),
+        F.array_join(F.json_object_keys("value"), ",").alias("keys"),
+    )
+
+
+@query(
+    "sink_bundle_lines",
+    f"""SELECT slug, k AS page_id, 'activity,plans,gallery,metadata' AS keys, '2026-01-01T00:00:00.000Z' AS created FROM (
+            SELECT {first_sql('slug', "'output'")} AS slug, k,
+                row_number() OVER (PARTITION BY {first_sql('slug', "'output'")}
+                    ORDER BY CASE WHEN k % 5 <> 0 THEN scraped ELSE '2026-01-01T00:00:00.000Z' END DESC, k DESC) AS r FROM {_O})
+        WHERE r = 1""",
+)
+def sink_bundle_lines(spark, sf):
+    """The line of a slug is that of its last bundle; the address in it tells which page that was."""
+    raw = raw_from_orders(spark, sf)
+    raw = raw.withColumn("url", F.concat(F.lit("https://travel.example.com/x/"), F.col("page_id").cast("string")))
+    return bundle_lines(records.bundle(raw, S)).select(
+        "slug", F.expr("CAST(regexp_extract(get_json_object(value, '$.metadata.source_url'), '[0-9]+$', 0) AS BIGINT)").alias("page_id"),
+        F.array_join(F.json_object_keys("value"), ",").alias("keys"), F.get_json_object("value", "$.activity.created_at").alias("created"),
+    )
