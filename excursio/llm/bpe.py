@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from tokenizers import Tokenizer
 
-from excursio.llm.shared import small_batches
+from excursio.llm.shared import ready
 
 #: Chunks of more code points are split into pieces and encoded as trees.
 CHUNK = 64
@@ -196,7 +196,7 @@ def encode_decode(text: Column, path: str) -> Column:
 
 def encoded(docs: DataFrame, text: str = "text", path: str | None = None, out: str = "encoding") -> DataFrame:
     """The rows with a struct column (ids, decoded); it replaces a column of that name."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
     path = path or public_tokenizers.path("word_bpe_49k.json")
     return docs.select(*keep, encode_decode(F.col(f"`{text}`"), path).alias(out))

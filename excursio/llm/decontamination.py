@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import fresh, hash_shingles, hash_words, in_parts, small_batches, text_buffers, word_spans
+from excursio.llm.shared import fresh, hash_shingles, hash_words, in_parts, ready, text_buffers, word_spans
 
 WINDOW = 13
 #: Bytes of benchmark text whose windows are broadcast together.
@@ -120,7 +120,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
             out: str = "hits", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows with a struct column (n_words, words, items): hit word indexes and found item ids as text, both sorted."""
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{item_text}`").alias("text"))
     items = items.where("id IS NOT NULL AND text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

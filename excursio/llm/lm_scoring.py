@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import SPACE_SEPARATED, hash_words, in_parts, small_batches, splitmix, text_buffers, word_spans
+from excursio.llm.shared import SPACE_SEPARATED, hash_words, in_parts, ready, splitmix, text_buffers, word_spans
 
 #: Buckets of words and of pairs of words.
 WORDS, PAIRS = 1 << 18, 1 << 20
@@ -50,7 +50,7 @@ def buckets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
 
 def counts(docs: DataFrame, is_target: Column, text: str = "text") -> DataFrame:
     """Rows (bucket, target, total): pairs are numbered behind the words, texts have the last number."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = WORDS + PAIRS + 1
@@ -109,7 +109,7 @@ def fitted(docs: DataFrame, is_target: Column, text: str = "text") -> Models:
 
 def scored(docs: DataFrame, models: Models, text: str = "text", out: str = "lm") -> DataFrame:
     """The rows with a struct column (n_words, target_loss, background_loss, score), losses as means over the words."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(texts: pa.Array) -> pa.Array:

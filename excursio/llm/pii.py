@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import fresh, small_batches, stored
+from excursio.llm.shared import fresh, ready, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern of n distinct instances, p of them of a kind, is trusted for it from p >= SUPPORT and p / (n + 2) >= TRUST.
@@ -160,7 +160,7 @@ def patterns(text: str, start: int, end: int) -> tuple[str, ...]:
 
 def edges(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct rows (pattern, instance, kind): kind is null for identifiers that no fixed pattern finds."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(texts: pa.Array) -> pa.Array:
         out = []

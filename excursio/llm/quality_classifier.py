@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import hash_words, in_parts, small_batches, splitmix, stored, text_buffers
+from excursio.llm.shared import hash_words, in_parts, ready, splitmix, stored, text_buffers
 
 DIMENSIONS = 1 << 18
 #: Labelled rows that are learnt from at most.
@@ -101,7 +101,7 @@ def fitted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
            may_learn: Column | None = None, sample: int = SAMPLE, rounds: int = ROUNDS) -> np.ndarray:
     """Weights learnt from the labelled rows; may_learn, over the labels' columns, holds some of them back."""
     spark = docs.sparkSession
-    small_batches(spark)
+    ready(spark)
     known = labels.where(may_learn) if may_learn is not None else labels
     known = known.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(
         F.min(f"`{label}`").alias("label"), F.max(f"`{label}`").alias("other"), F.max(F.col(f"`{label}`").isNull()).alias("none"))
@@ -151,7 +151,7 @@ def _shard_pass(state):
 
 def scored(docs: DataFrame, learnt: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
     """The rows with their score from 0 to 1; it replaces a column of that name."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(learnt)
 
     def run(texts: pa.Array) -> pa.Array:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows in the same partitions, kept in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}
@@ -43,10 +53,26 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches by bytes, so that long texts do not pile up in a Python worker."""
+_shipped: set[str] = set()
+
+
+def ready(spark: SparkSession) -> None:
+    """To be called before Python steps are put into a plan.
+
+    Bounds the Arrow batches by bytes, so that long texts do not pile up in a Python worker,
+    and gives the executors this package, so that it need not be installed there.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="excursio-"), "excursio_package.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(root.rglob("*.py")):
+                z.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))  # copied to the driver's file server, from which executors fetch it
+        _shipped.add(context.applicationId)
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

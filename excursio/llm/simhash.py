@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from excursio.llm.components import components
-from excursio.llm.shared import SPACE_SEPARATED, fresh, in_parts, small_batches, stored, text_buffers, word_spans
+from excursio.llm.shared import SPACE_SEPARATED, fresh, in_parts, ready, stored, text_buffers, word_spans
 
 SHINGLE = 3
 SEED = 42
@@ -89,7 +89,7 @@ def _fingerprints(texts: pa.Array) -> pa.Array:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """The rows with their fingerprint as a signed 64-bit column."""
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns], arrow_udf(_fingerprints, "bigint")(F.col(f"`{text}`")).alias(out))
 
 
@@ -230,7 +230,7 @@ def linked_fingerprints(distinct: DataFrame, size: int = GROUP) -> DataFrame:
 
     distinct: one column fingerprint without repeats.
     """
-    small_batches(distinct.sparkSession)
+    ready(distinct.sparkSession)
     f = "fingerprint"
     turns = F.explode(F.array(*[F.struct(F.lit(t).alias("turn"), F.expr(
         f if t == 0 else f"shiftleft({f}, {t * BLOCK}) | shiftrightunsigned({f}, {64 - t * BLOCK})").alias("key"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from sentencepiece import sentencepiece_model_pb2
 
-from excursio.llm.shared import small_batches
+from excursio.llm.shared import ready
 
 #: Code points of a chunk.
 CHUNK = 1 << 16
@@ -237,7 +237,7 @@ _TRANSDUCERS: dict[str, Transducer] = {}
 def counted(docs: DataFrame, text: str = "text", path: str | None = None, limit: int = LIMIT, out: str = "tokens") -> DataFrame:
     """The rows with a struct column (n_bytes, n_tokens, over_limit); it replaces a column of that name."""
     path = path or public_tokenizers.path("piece_bpe_32k.model")
-    small_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def run(texts: pa.Array) -> pa.Array:
         if path not in _TRANSDUCERS:

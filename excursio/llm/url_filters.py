@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import fresh, small_batches
+from excursio.llm.shared import fresh, ready
 
 #: Keys that are looked at to place the bounds of the ranges; they decide nothing else.
 SAMPLE = 20_000
@@ -92,7 +92,7 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     rules: columns host, path and verdict (allow or block). rule is host and path of the rule that wins, else null.
     """
     spark = pages.sparkSession
-    small_batches(spark)
+    ready(spark)
     pages = pages.drop(*[c for c in pages.columns if c.lower() == out.lower()])
     row, key, salt, task = (fresh(pages, f"_{x}") for x in ("row", "key", "salt", "task"))
     source = F.col(f"`{url}`")

@@ -371,3 +371,12 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r.a: r.b for r in components.components(edges).collect()}
     assert got == {**{k: 0 for k in range(1, 61)}, **{1000 + k: 1000 for k in range(1, 200)}}
     assert components.components(edges.limit(0)).count() == 0
+
+
+def test_targets_by_broadcast_or_shuffle(spark, odd):
+    from pyspark.sql import functions as F
+    ids = spark.createDataFrame([(1,), (1,), (None,), (9,)], "id bigint")
+    docs = odd
+    a = lm_scoring.marked(docs, ids).collect()
+    assert bag(a) == bag(lm_scoring.marked(docs, ids, most=0).collect())
+    assert len(a) == odd.count() and sum(r.target for r in a) == docs.where(F.col("doc_id").isin(1, 9)).count()
