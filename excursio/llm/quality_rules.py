@@ -153,7 +153,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     if not keep_text:
         docs, df = docs.drop(text), df.drop(text)
     df = stored(df, "measured")
-    limits = fences(sketch(df, {"lang": lang, "source": source}, out))
+    # written, so that the size of the fences is known when the join is planned: small ones leave the texts in place
+    limits = stored(fences(sketch(df, {"lang": lang, "source": source}, out)), "fences")
     names = {c: fresh(df, f"_{c}") for c in limits.columns}
     limits = limits.select(*[F.col(c).alias(n) for c, n in names.items()])
     joined = df.join(limits, df[f"`{lang}`"].eqNullSafe(limits[names["lang"]])
