@@ -200,66 +200,72 @@ def trusted_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return trusted
 
 
-def _marker(shared):
-    """The scan with one block of trusted patterns, which adds to what the blocks before found."""
+_SHAPE = "array<struct<kind int, begin int, end int>>"
+
+
+def _marker(shared, mask: bool):
+    """The scan with one block of trusted patterns, which adds to what the blocks before found, and masks the text if asked to."""
+
     def run(texts: pa.Array, before: pa.Array) -> pa.Array:
-        trust, base, spans = shared.value, [], []
+        trust, base, spans, masked = shared.value, [], [], []
         for value, old in zip(texts.to_pylist(), before.to_pylist()):
-            if not value or not _SIGN.search(value):
-                base.append([])
-                spans.append([])
-                continue
-            own = base_spans(value)
-            added = set() if old is None else {tuple(x.values()) for x in old["spans"]} - set(own)
-            if trust:
-                for s, e in other_identifiers(value, own):
-                    kinds = {trust[p] for p in patterns(value, s, e) if p in trust}
-                    added.update((kind, s, e) for kind in kinds if may_be(kind, value[s:e]))
+            own, added = [], set()
+            if value and _SIGN.search(value):
+                own = base_spans(value)
+                if old is not None:
+                    added = {tuple(x.values()) for x in old["spans"]} - set(own)
+                if trust:
+                    for s, e in other_identifiers(value, own):
+                        kinds = {trust[p] for p in patterns(value, s, e) if p in trust}
+                        added.update((kind, s, e) for kind in kinds if may_be(kind, value[s:e]))
+            every = sorted({*own, *added})
             base.append([dict(zip(("kind", "begin", "end"), x)) for x in own])
-            spans.append([dict(zip(("kind", "begin", "end"), x)) for x in sorted({*own, *added})])
+            spans.append([dict(zip(("kind", "begin", "end"), x)) for x in every])
+            masked.append(mask_spans(value, every) if mask and every else value if mask else None)
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())]))
-        return pa.StructArray.from_arrays([pa.array(base, kind), pa.array(spans, kind)], ["base", "spans"])
+        return pa.StructArray.from_arrays(
+            [pa.array(base, kind), pa.array(spans, kind), pa.array(masked, pa.string())], ["base", "spans", "masked"])
 
     return run
 
 
-def found(docs: DataFrame, text: str = "text", out: str = "pii", rounds: int = ROUNDS, block: int = PATTERNS) -> DataFrame:
-    """The rows with a struct column (base, spans), each an array of (kind, begin, end) by kind and start.
+def mask_spans(text: str, spans: list[Span]) -> str:
+    """The text with every span replaced by its kind in angle brackets; overlapping spans become one, of the first kind."""
+    parts, at = [], 0
+    for s, e, kind in sorted((s, e, kind) for kind, s, e in spans):
+        if s >= at:
+            parts += [text[at:s], f"<{KINDS[kind]}>"]
+        at = max(at, e)
+    return "".join([*parts, text[at:]])
 
-    kind is an index into KINDS; begin and end count code points, end exclusive.
-    """
+
+def _scanned(docs: DataFrame, text: str, out: str, rounds: int, block: int, mask: bool) -> DataFrame:
+    """The rows with a struct column (base, spans, masked), all from one Python step per block."""
     spark = docs.sparkSession
     trusted = trusted_patterns(stored(edges(docs, text), "edges"), rounds)
     blocks = max(1, -(-trusted.count() // block))
-    shape = "array<struct<kind int, begin int, end int>>"
-    temp = fresh(docs, "_pii")
-    df = docs.withColumn(temp, F.lit(None).cast(f"struct<base {shape}, spans {shape}>"))
+    shape = f"base {_SHAPE}, spans {_SHAPE}, masked string"
+    df = docs.withColumn(out, F.lit(None).cast(f"struct<{shape}>"))
     for k in range(blocks):
         rows = trusted.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k).select("pattern", "kind").collect()
         shared = spark.sparkContext.broadcast({r.pattern: KINDS.index(r.kind) for r in rows})
+        marker = arrow_udf(_marker(shared, mask and k == blocks - 1), shape)
+        df = df.withColumn(out, marker(F.col(f"`{text}`"), F.col(out)))
+    return df
 
-        df = df.withColumn(temp, arrow_udf(_marker(shared), f"base {shape}, spans {shape}")(F.col(f"`{text}`"), F.col(temp)))
+
+def found(docs: DataFrame, text: str = "text", out: str = "pii", rounds: int = ROUNDS, block: int = PATTERNS) -> DataFrame:
+    """The rows with a struct column (base, spans), each an array of (kind, begin, end) by kind and start.
+
+    kind is an index into KINDS; begin and end count code points, end exclusive.
+    """
+    temp = fresh(docs, "_pii")
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
-    return df.select(*keep, F.col(temp).alias(out))
-
-
-def masked(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows with every span replaced by its kind in angle brackets; overlapping spans become one, of the first kind."""
-    out = fresh(docs, "pii")
-    df = found(docs, text, out, **options)
-
-    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        rows = []
-        for value, own in zip(texts.to_pylist(), spans.to_pylist()):
-            if own:
-                parts, at = [], 0
-                for s, e, kind in sorted((x["begin"], x["end"], x["kind"]) for x in own):
-                    if s >= at:
-                        parts += [value[at:s], f"<{KINDS[kind]}>"]
-                    at = max(at, e)
-                value = "".join([*parts, value[at:]])
-            rows.append(value)
-        return pa.array(rows, pa.string())
-
-    new = arrow_udf(run, "string")(F.col(f"`{text}`"), F.col(f"{out}.spans")).alias(text)
-    return df.select(*[new if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return _scanned(docs, text, temp, rounds, block, False).select(*keep, F.col(temp).dropFields("masked").alias(out))
+
+
+def masked(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block: int = PATTERNS) -> DataFrame:
+    """The rows with the personal data in their texts masked."""
+    temp = fresh(docs, "_pii")
+    df = _scanned(docs, text, temp, rounds, block, True)
+    return df.select(*[F.col(f"{temp}.masked").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
