@@ -28,6 +28,8 @@ from excursio.llm.shared import SPACE_SEPARATED, hash_words, in_parts, ready, sp
 
 #: Buckets of words and of pairs of words.
 WORDS, PAIRS = 1 << 18, 1 << 20
+#: Ids of target documents that are broadcast at most.
+TARGETS = 1_000_000
 #: Share of the bigram estimate.
 MIX = 0.6
 
@@ -76,6 +78,20 @@ def counts(docs: DataFrame, is_target: Column, text: str = "text") -> DataFrame:
     return parts.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
 
 
+def marked(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = TARGETS) -> DataFrame:
+    """Rows (text, target): whether a document's id is among the targets.
+
+    targets: one column id. Up to so many ids are broadcast, which leaves the texts where they are;
+    more are joined by a shuffle.
+    """
+    ids = targets.where("id IS NOT NULL").select("id").distinct().withColumn("target", F.lit(True))
+    if ids.count() <= most:
+        ids = F.broadcast(ids)
+    own = docs.select(F.col(f"`{doc_id}`").alias("own"), F.col(f"`{text}`").alias("text"))
+    joined = own.join(ids, F.col("own") == F.col("id"), "left")
+    return joined.select("text", F.coalesce("target", F.lit(False)).alias("target"))
+
+
 class Models:
     """Both models' counts, as arrays over the buckets."""
 

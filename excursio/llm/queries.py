@@ -51,10 +51,9 @@ def op2(spark, sf_dir):
 def op3(spark, sf_dir):
     """Target: documents that labels call good and not toxic; background: all documents."""
     good = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(
-        F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+        F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")).where("good")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = docs.join(good, F.col("doc_id") == F.col("id"), "left").select("text", "good")
-    models = lm_scoring.fitted(marked, F.col("good"))
+    models = lm_scoring.fitted(lm_scoring.marked(docs, good), F.col("target"))
     return lm_scoring.scored(docs, models).select("doc_id", "lm.*")
 
 
