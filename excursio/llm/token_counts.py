@@ -36,7 +36,7 @@ CHUNK = 1 << 16
 #: Texts of more tokens are over the limit.
 LIMIT = 4096
 #: Words, states and token pairs that a worker remembers.
-WORDS, STATES, PAIRS = 200_000, 120_000, 300_000
+WORDS, STATES, PAIRS = 800_000, 400_000, 800_000
 
 SPACE = "▁"
 _NEVER = float("-inf")
