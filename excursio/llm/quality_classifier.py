@@ -16,13 +16,15 @@ Repeated rows are scored one by one. Other columns stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import hash_words, in_parts, ready, splitmix, stored, text_buffers
+from excursio.llm.shared import checkpointed, hash_words, in_parts, ready, splitmix, text_buffers
 
 DIMENSIONS = 1 << 18
 #: Labelled rows that are learnt from at most.
@@ -107,7 +109,9 @@ def fitted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         F.min(f"`{label}`").alias("label"), F.max(f"`{label}`").alias("other"), F.max(F.col(f"`{label}`").isNull()).alias("none"))
     known = known.where("id IS NOT NULL AND label = other AND NOT none").select("id", F.col("label").cast("int").alias("label"))
     # a bounded number of ids and labels: small enough for a broadcast
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample)
+    part = min(1.0, 1.2 * sample / max(known.count(), 1))
+    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= int(part * (1 << 30)))
+    chosen = chosen.orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 30)), "id").limit(sample)
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "id")
 
     def run(texts: pa.Array) -> pa.Array:
@@ -116,16 +120,18 @@ def fitted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             out += [index[at[k] : at[k + 1]].astype(np.int32) for k in range(hi - lo)]
         return pa.array(out, pa.list_(pa.int32()))
 
-    rows = stored(rows.select("id", "label", arrow_udf(run, "array<int>")("text").alias("features"),
-                              F.pmod(F.xxhash64("id"), F.lit(SHARDS)).cast("int").alias("shard"), F.xxhash64("text").alias("mark")), "learnt")
+    rows = rows.select("id", "label", arrow_udf(run, "array<int>")("text").alias("features"),
+                       F.pmod(F.xxhash64("id"), F.lit(SHARDS)).cast("int").alias("shard"), F.xxhash64("text").alias("mark"))
+    # dealt to shards once: every round finds a shard whole in one partition
+    rows = checkpointed(rows.repartition(SHARDS, "shard"))
+    used = rows.select("shard").distinct().count()
     z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
-        passed = rows.groupBy("shard").applyInArrow(_shard_pass(state), "index int, z double, n double")
+        passed = rows.mapInArrow(_shard_pass(state), "index int, z double, n double")
         mixed = passed.groupBy("index").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
         if not len(mixed):
             break
-        used = rows.select("shard").distinct().count()
         index = mixed["index"].to_numpy()
         # what a shard did not touch stays at the common state
         z, n = z.copy(), n.copy()
@@ -136,15 +142,23 @@ def fitted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def _shard_pass(state):
-    def run(table: pa.Table) -> pa.Table:
+    """One pass over each shard of a partition, in an order that a repeated task finds again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = state.value
-        table = table.sort_by([("id", "ascending"), ("mark", "ascending")])
-        index = np.argsort(splitmix(table["id"].to_numpy().astype(np.int64).view(np.uint64)), kind="stable")
+        held = list(batches)  # a shard is a bounded number of rows
+        if not held:
+            return
+        table = pa.Table.from_batches(held).sort_by([("shard", "ascending"), ("id", "ascending"), ("mark", "ascending")])
+        shard, ids = table["shard"].to_numpy(), table["id"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.lexsort((splitmix(ids), shard))
         lists, labels = table["features"].combine_chunks(), table["label"].to_numpy()
         flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
-        new_z, new_n = trained(z, n, [(flat[at[k] : at[k + 1]], int(labels[k])) for k in index])
-        moved = np.flatnonzero((new_z != z) | (new_n != n))
-        return pa.table({"index": pa.array(moved, pa.int32()), "z": new_z[moved] - z[moved], "n": new_n[moved] - n[moved]})
+        for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+            new_z, new_n = trained(z, n, [(flat[at[k] : at[k + 1]], int(labels[k])) for k in own])
+            moved = np.flatnonzero((new_z != z) | (new_n != n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(moved, pa.int32()), pa.array(new_z[moved] - z[moved]), pa.array(new_n[moved] - n[moved])], ["index", "z", "n"])
 
     return run
 
