@@ -105,10 +105,10 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
 
     # more ranges than partitions, as ranges are dealt to partitions by hash
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = left.select(F.struct(key, salt).alias("k"))
-    # the least hashes are a sample that a repeated task draws again
-    picked = share.select("k", F.xxhash64("k").alias("h")).orderBy("h").limit(sample).select("k")
-    picked = sorted((r.k[0], r.k[1]) for r in picked.collect())
+    # the keys of least hash are a sample that a repeated task draws again; about so many reach the driver
+    part = min(1.0, sample / max(pages.count(), 1))
+    chosen = F.pmod(F.xxhash64(key, salt, F.lit(1)), F.lit(1 << 30)) < int(part * (1 << 30))
+    picked = sorted((r[0], r[1]) for r in left.where(chosen).select(key, salt).collect())
     bounds = sorted({picked[len(picked) * k // ranges] for k in range(1, ranges)}) if picked else []
 
     def place(keys: pa.Array, salts: pa.Array) -> pa.Array:
