@@ -8,19 +8,20 @@ them, pairs of trie nodes are traversed together, adding up differing bits, and
 dropped once it exceeds the budget, or when all that it holds is linked already. A group
 hands on a spanning forest of its links; components of all of them follow in Spark.
 
-Groups that hold many fingerprints are dealt as pairs of sub-groups, so that none meets in one
-task. Null and wordless texts have fingerprint zero, which links like any other. Equal texts
+Groups that hold many fingerprints are dealt by a second block, and what is large still as
+pairs of parts, so that none meets in one task. Null and wordless texts have fingerprint zero, which links like any other. Equal texts
 and repeated rows share a fingerprint and hence a component. Other columns are left aside.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -225,6 +226,16 @@ def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links([np.concatenate(x) for x in zip(*held)])
 
 
+def _with_sizes(entries: DataFrame, group: list[str], size: int) -> DataFrame:
+    """The entries with the number n of those in their group, where it exceeds the size; else null.
+
+    Large groups are few: at most one to so many entries.
+    """
+    counts = entries.groupBy(*[F.col(c).alias(f"{c}_") for c in group]).agg(F.count("*").alias("n")).where(F.col("n") > size)
+    same = reduce(Column.__and__, [F.col(c) == F.col(f"{c}_") for c in group])
+    return entries.join(counts, same, "left").drop(*[f"{c}_" for c in group])
+
+
 def linked_fingerprints(distinct: DataFrame, size: int = GROUP) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect all those within three bits.
 
@@ -236,19 +247,20 @@ def linked_fingerprints(distinct: DataFrame, size: int = GROUP) -> DataFrame:
         f if t == 0 else f"shiftleft({f}, {t * BLOCK}) | shiftrightunsigned({f}, {64 - t * BLOCK})").alias("key"))
         for t in range(BLOCKS)]))
     entries = distinct.select(turns.alias("x")).select("x.*").withColumn("block", F.expr(f"shiftrightunsigned(key, {64 - BLOCK})"))
-    entries = entries.select("turn", "key", "block")
-    counts = entries.groupBy(F.col("turn").alias("turn_"), F.col("block").alias("block_")).agg(F.count("*").alias("n"))
-    # only groups beyond the size need a part number; there are few: at most 4 * distinct / size
-    large = counts.where(F.col("n") > size)
-    joined = entries.join(large, (F.col("turn") == F.col("turn_")) & (F.col("block") == F.col("block_")), "left")
+    # of a large group, entries within three bits also agree in one of four parts of the 48 bits below its block
+    inner = (64 - BLOCK) // BLOCKS
+    marked = _with_sizes(entries.select("turn", "key", "block"), ["turn", "block"], size)
+    below = F.expr(f"CASE WHEN n IS NULL THEN array(named_struct('j', -1, 'sub', 0L)) ELSE transform(sequence(0, {BLOCKS - 1}), j ->"
+                   f" named_struct('j', j, 'sub', shiftrightunsigned(key, {inner} * ({BLOCKS - 1} - j)) & {(1 << inner) - 1})) END")
+    finer = marked.select("turn", "key", "block", F.explode(below).alias("x")).select("turn", "key", "block", "x.*")
+    joined = _with_sizes(finer, ["turn", "block", "j", "sub"], size)
     parts = F.coalesce(F.ceil(2 * F.col("n") / size), F.lit(1)).cast("int")
-    part = F.pmod(F.xxhash64("key"), parts).cast("int")
-    dealt = joined.select("turn", "key", "block", parts.alias("parts"), part.alias("part"))
+    dealt = joined.select("turn", "key", "block", "j", "sub", parts.alias("parts"), F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"))
     # part p meets every part q in the task (least, greatest); side tells which of the two an entry is of
     meets = F.expr("transform(sequence(0, parts - 1), q -> named_struct('low', least(part, q), 'high', greatest(part, q),"
                    " 'side', CASE WHEN q = part THEN 0 WHEN part < q THEN 1 ELSE 2 END))")
-    spread = dealt.select("turn", "key", "block", F.explode(meets).alias("m")).select(
-        F.xxhash64("turn", "block", "m.low", "m.high").alias("group"), "key", "turn", F.col("m.side").alias("side"))
+    spread = dealt.select("turn", "key", "block", "j", "sub", F.explode(meets).alias("m")).select(
+        F.xxhash64("turn", "block", "j", "sub", "m.low", "m.high").alias("group"), "key", "turn", F.col("m.side").alias("side"))
     return spread.repartition("group").sortWithinPartitions("group").mapInArrow(_join_groups, "a bigint, b bigint")
 
 
@@ -271,21 +283,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, columns as they were: the one of the least id, then of the least row hash."""
-    mark = fresh(docs, "fingerprint")
-    marked = stored(fingerprints(docs, text, mark), "marked")
-    prints = marked.select(F.col(f"`{mark}`").alias("fingerprint")).distinct()
-    root = components(linked_fingerprints(prints))
-    rest = [F.col(f"`{c}`") for c in docs.columns]
-    rank = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"),
-                    F.xxhash64(f"`{text}`").alias("text"), F.xxhash64(*[c for c, k in zip(rest, docs.dtypes) if "map<" not in k[1]]).alias("row"))
-    narrow = marked.select(F.col(f"`{mark}`").alias("fingerprint"), rank.alias("rank"))
-    best = narrow.groupBy("fingerprint").agg(F.min("rank").alias("rank"))
-    tied = best.join(root, F.col("fingerprint") == F.col("a"), "left").select(
-        F.coalesce("b", "fingerprint").alias("root"), "rank", "fingerprint")
-    first = tied.groupBy("root").agg(F.min(F.struct("rank", "fingerprint")).alias("x")).select("x.rank", F.col("x.fingerprint").alias("f"))
-    # of each component one fingerprint and in it one rank stays; equal rows of that rank become one
-    joined = marked.withColumn("_rank", rank).join(
-        first.select("f", F.col("rank").alias("_best")), (F.col(f"`{mark}`") == F.col("f")) & F.col("_rank").eqNullSafe(F.col("_best")))
-    once = joined.groupBy("f").agg(F.min_by(F.struct(*rest), F.col("_rank")).alias("x"))
-    return once.select(*[F.col(f"x.`{c}`") for c in docs.columns])
+    """One row of each component, columns as they were: one of the least id, null last; ties by text hash, then place."""
+    mark, place, kept = fresh(docs, "_print"), fresh(docs, "_place"), fresh(docs, "_kept")
+    # numbered as it is written: a repeated task reads the same numbers again
+    marked = stored(fingerprints(docs, text, mark).withColumn(place, F.monotonically_increasing_id()), "marked")
+    rank = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.xxhash64(f"`{text}`").alias("text"),
+                    F.col(place).alias("place"))
+    best = marked.groupBy(F.col(mark).alias("fingerprint")).agg(F.min(rank).alias("rank"))
+    best = stored(best, "best")
+    root = components(linked_fingerprints(best.select("fingerprint")))
+    tied = best.join(root, F.col("fingerprint") == F.col("a"), "left").select(F.coalesce("b", "fingerprint").alias("root"), "rank")
+    first = tied.groupBy("root").agg(F.min("rank").alias("rank")).select(F.col("rank.place").alias(kept))
+    return marked.join(first, F.col(place) == F.col(kept), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
