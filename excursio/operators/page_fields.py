@@ -15,7 +15,7 @@ from excursio.functions.nodes import (
     inside, is_inside, meta, nearest, next_of, next_sibling, parent, select, select_first, tag, words,
 )
 from excursio.functions.sql import (
-    Sql, any_of, coalesce, each, keep, let, null, quote, some, struct, when,
+    Sql, any_of, coalesce, each, keep, let, null, quote, struct, when,
 )
 from excursio.functions.text import (
     WS, collapse_ascii, contains, contains_any, contains_ci, fallback, filled, json_or_null,
