@@ -71,7 +71,7 @@ def op5(spark, sf_dir):
     def joined(spans: str):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", names[x["kind"]], x["begin"], x["end"])), ",")
 
-    counts = [F.size(F.filter("pii.base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    counts = [F.expr(f"CAST(size(filter(pii.base, x -> x.kind = {k})) AS BIGINT)").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return df.select("doc_id", *counts, F.sha2(joined("pii.base"), 256).alias("base_sha256"), joined("pii.spans").alias("spans"))
 
 
