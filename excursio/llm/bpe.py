@@ -129,8 +129,8 @@ class Encoder:
                     out += map(self.merges.ids.__getitem__, self.merges.tree(self.merges.symbols(piece)))
         return out
 
-    def learn(self, texts_chunks: list[list[str]]) -> None:
-        """Make all chunks of the texts known."""
+    def learn(self, texts_chunks: list[list[str]]) -> list[str]:
+        """Make all chunks of the texts known; the long ones, which are given back, only for the time being."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         wanted = set().union(*texts_chunks).difference(self.young)
@@ -140,16 +140,20 @@ class Encoder:
         encoded = self.library.encode_batch_fast(short, add_special_tokens=False)
         for c, e in zip(short, encoded):
             self.young[c] = np.array(e.ids, np.int32).tobytes()
-        for c in wanted:
-            if len(c) > CHUNK and c not in known:
-                self.young[c] = np.array(self.long_chunk(c), np.int32).tobytes()
+        long = [c for c in wanted if len(c) > CHUNK]
+        for c in long:
+            self.young[c] = np.array(self.long_chunk(c), np.int32).tobytes()
+        return long
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of 32-bit integers."""
         split = [chunks(t) for t in texts]
-        self.learn(split)
+        long = self.learn(split)
         known = self.young
-        return [b"".join([known[c] for c in s]) for s in split]
+        out = [b"".join([known[c] for c in s]) for s in split]
+        for c in long:
+            del known[c]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -35,6 +35,8 @@ from excursio.llm.shared import ready
 CHUNK = 1 << 16
 #: Texts of more tokens are over the limit.
 LIMIT = 4096
+#: Words of up to so many code points are remembered.
+KEPT = 64
 #: Words, states and token pairs that a worker remembers.
 WORDS, STATES, PAIRS = 800_000, 400_000, 800_000
 
@@ -83,14 +85,14 @@ class Transducer:
                 self.tokens.append(piece)
         self.pairs: dict[int, bool] = {}
         self.histories: dict[int, tuple[list[float], list[str], list[str]]] = {}
+        self.words = _Words(self)
         self.reset()
 
     def reset(self) -> None:
-        """Forget all compiled states and words."""
+        """Forget all compiled states. A state that is being left knows its key, so reading goes on from it."""
         #: key of a state: (last token or -1, prefixes (node, token before, tokens since), only spaces so far)
         self.start = {None: (-1, (), True)}
         self.rows = {self.start[None]: self.start}
-        self.words = _Words(self)
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain BPE: the best-scored pair is merged, the leftmost first, until none is left."""
@@ -149,6 +151,8 @@ class Transducer:
 
     def compiled(self, row: dict, c: str) -> tuple[dict, int]:
         """The transition of a state on a character, now part of the table."""
+        if len(self.rows) > STATES:
+            self.reset()
         last, prefixes, spaces = row[None]
         if c == SPACE and not spaces:
             out = self.start.get(c) or self.compiled(self.start, c)  # a word ends: the rest starts anew
@@ -210,8 +214,6 @@ class Transducer:
         """Tokens of a text."""
         if not text:
             return 0
-        if len(self.rows) > STATES:
-            self.reset()
         if len(self.words) > WORDS:
             self.words.clear()
         text = SPACE + text.replace(" ", SPACE)
@@ -227,7 +229,8 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         n = self.transducer.read(self.transducer.start, word)[1]
-        self[word] = n
+        if len(word) <= KEPT:
+            self[word] = n
         return n
 
 

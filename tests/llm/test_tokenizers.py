@@ -100,3 +100,15 @@ def test_op10_and_op4_over_the_whole_table(spark, llm_queries, sf_dir):
         assert r.decoded_sha256 == sha(LIBRARY.decode(ids, skip_special_tokens=False))
     got = llm_queries["op4_token_counts"](spark, sf_dir).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {k: len(PIECES.encode(t)) for k, t in texts.items()}
+
+
+def test_tables_stay_small_on_long_words(monkeypatch):
+    monkeypatch.setattr(token_counts, "STATES", 40)
+    monkeypatch.setattr(token_counts, "WORDS", 10)
+    t = token_counts.Transducer(PIECE)
+    for k, text in enumerate(["".join(random.Random(1).choice("abehtionrs") for _ in range(4000)), *TEXTS[-8:]]):
+        assert t.count(text, 64) == len(PIECES.encode(text)) and len(t.rows) <= 42, k
+    assert all(len(w) <= token_counts.KEPT for w in t.words)
+    own = bpe.Encoder(WORD)
+    own.encode(["x" * 500 + " ab " + "y" * 70])
+    assert all(len(c) <= bpe.CHUNK for c in own.young)
