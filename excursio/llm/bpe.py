@@ -35,7 +35,7 @@ CHUNK = 64
 #: Symbols of a leaf of the tree.
 LEAF = 32
 #: Chunks that a worker remembers in each of two generations.
-REMEMBERED = 80_000
+REMEMBERED = 200_000
 
 #: Characters that str.split takes for white space, but the tokenizer does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
