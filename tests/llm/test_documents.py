@@ -381,3 +381,22 @@ def test_targets_by_broadcast_or_shuffle(spark, odd):
     a = lm_scoring.marked(docs, ids).collect()
     assert bag(a) == bag(lm_scoring.marked(docs, ids, most=0).collect())
     assert len(a) == odd.count() and sum(r.target for r in a) == docs.where(F.col("doc_id").isin(1, 9)).count()
+
+
+def test_passages_unlike_the_first_of_their_group(spark):
+    rng = random.Random(7)
+    text = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    rows, pairs = [], []
+    for k in range(0, 3000, 100):  # passages of 50 words around a phrase of 42 that other texts have as well
+        phrase = text(42)
+        for j in (k + 50, k + 60, k + 70):
+            passage = text(4) + phrase + text(4)
+            rows += [(j + i, " ".join(text(40) + passage + text(40))) for i in (0, 1)]
+            pairs.append({j, j + 1})
+        rows += [(k + i, " ".join(text(40) + phrase + text(40))) for i in range(20)]
+    base = text(60)  # a leader with the outer words of both changed: alike are only the two others
+    variant = base[:20] + text(14) + base[34:]
+    rows += [(5000, " ".join(base)), (5001, " ".join(variant)), (5002, " ".join(variant[:-1] + ["end"]))]
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    met = {frozenset((r.doc_id, r.other_id)) for r in got}
+    assert met == {*map(frozenset, pairs), frozenset((5001, 5002))}
