@@ -400,3 +400,34 @@ def test_passages_unlike_the_first_of_their_group(spark):
     got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
     met = {frozenset((r.doc_id, r.other_id)) for r in got}
     assert met == {*map(frozenset, pairs), frozenset((5001, 5002))}
+
+
+def test_passages_with_a_run_of_words_inserted(spark):
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    rows = []
+    for k in range(0, 400, 2):
+        passage = text(80)
+        rows += [(k, " ".join(passage)), (k + 1, " ".join(passage[:40] + text(7) + passage[40:]))]
+    rows += [(1000, " ".join(w := text(80))), (1001, " ".join(w[:40] + text(16) + w[40:]))]  # 72 of 96 shingles
+    got = substring_dedup.passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(k, k ^ 1) for k in range(400)}
+    for r in got:
+        assert 72 / 87 - 1e-9 <= r.similarity and {r.end - r.begin, r.other_end - r.other_begin} == {80, 87}
+
+
+def test_shingles_alike_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(60):
+        a = [rng.randint(0, 10**9) for _ in range(rng.randint(20, 40))]
+        b = a[:]
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randint(0, 3)] = [rng.randint(0, 10**9) for _ in range(rng.randint(0, 4))]
+        least = 12
+        best = any(
+            (n := sum((Counter(a[i:j]) & Counter(b[k:m])).values())) >= 0.8 * (j - i + m - k - n)
+            for i in range(len(a)) for j in range(i + least, len(a) + 1) for k in range(max(0, i - 9), min(len(b), i + 10)) for m in range(k + least, min(len(b), k + j - i + 9) + 1))
+        got = substring_dedup.alike(np.array(a, np.uint64), np.array(b, np.uint64), [0], least, 0.8)
+        assert bool(got) == best
+        assert all(hi - lo + 1 >= least and upto - to + 1 >= least and sim >= 0.8 and 0 <= lo and hi < len(a) and 0 <= to and upto < len(b) for lo, hi, to, upto, sim in got)
