@@ -1,13 +1,15 @@
 """Cross-entropy difference: how much likelier a text's words are under a target than under the whole corpus.
 
-Two bigram models over one shared vocabulary of hashed words: the target model counts the
+Two bigram models over one shared vocabulary of words, by their 64-bit hashes: the target model counts the
 target's documents, the background model counts all documents. Both interpolate bigrams with
-add-one unigrams, over the same buckets and with the same weights, so that the loss of each word
+add-one unigrams, over the same words and with the same weights, so that the loss of each word
 can be compared. A document's score is the mean over its words of target loss minus
 background loss; low scores are like the target.
 
-Counts cover every word of every document. A task adds up its own buckets first, so it hands on
-a row for each bucket it met, and the tables have a fixed number of buckets, whatever the corpus.
+Counts are exact and cover every word of every document: a row for each pair of words that occurs, in tables
+that grow with the corpus. A task adds up its own pairs first. Each pair's losses are worked out once; fewer than
+FREQUENT pairs can hold more than that share of all words, and these are scored where the text is. A document's
+other pairs are joined to the table, so no task gets a frequent one.
 
 Null and wordless texts have no words, zero losses and score zero. Without any target all
 documents get the losses of the empty model. Repeated rows count and are scored each. Other columns
@@ -24,10 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from excursio.llm.shared import SPACE_SEPARATED, hash_words, in_parts, ready, splitmix, text_buffers, word_spans
+from excursio.llm.shared import SPACE_SEPARATED, fresh, hash_words, in_parts, ready, splitmix, stored, text_buffers, word_spans
+from excursio.operators.linkage import join_children
 
-#: Buckets of words and of pairs of words.
-WORDS, PAIRS = 1 << 18, 1 << 20
+#: Words that the add-one estimate takes into account beside those counted.
+WORDS = 1 << 18
+#: Pairs with more than this part of all words are broadcast.
+FREQUENT = 500_000
 #: Ids of target documents that are broadcast at most.
 TARGETS = 1_000_000
 #: Share of the bigram estimate.
@@ -37,7 +42,7 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 
 
 def buckets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For parts of the texts (first text, last text, word buckets, buckets of the pairs that end in each word, offsets)."""
+    """For parts of the texts (first text, last text, word hashes, hashes of the pairs that end in each word, offsets)."""
     data, offsets = text_buffers(texts)
     for lo, hi in in_parts(offsets):
         raw = np.frombuffer(data[offsets[lo] : offsets[hi]].tobytes().translate(_LOWER), np.uint8)
@@ -47,35 +52,32 @@ def buckets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         before[1:] = words[:-1]
         before[first[:-1][np.diff(first) > 0]] = 0  # a text's first word follows its start
         pairs = splitmix(before * np.uint64(3) + words)
-        yield lo, hi, (words & np.uint64(WORDS - 1)).astype(np.int64), (pairs & np.uint64(PAIRS - 1)).astype(np.int64), first
+        yield lo, hi, words, pairs, first
 
 
 def counts(docs: DataFrame, is_target: Column, text: str = "text") -> DataFrame:
-    """Rows (bucket, target, total): pairs are numbered behind the words, texts have the last number."""
+    """Rows (pair, word, before, target, total) of the pairs of words; before is null where a text begins. Texts are counted where pair is null."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = WORDS + PAIRS + 1
-        total, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             chosen = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi, words, pairs, first in buckets(batch.column(0)):
-                n = np.diff(first)
-                own = np.repeat(chosen[lo:hi], n)
-                for index, shift in ((words, 0), (pairs, WORDS)):
-                    total += np.bincount(index + shift, minlength=size)
-                    if own.any():
-                        target += np.bincount(index[own] + shift, minlength=size)
-                total[-1] += hi - lo
-                target[-1] += int(chosen[lo:hi].sum())
-        met = np.flatnonzero(total)
-        for lo in range(0, len(met), 100_000):
-            k = met[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(target[k]), pa.array(total[k])], ["bucket", "target", "total"])
+                own = np.repeat(chosen[lo:hi], np.diff(first))
+                pair, at, back, total = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
+                target = np.bincount(back[own], minlength=len(pair))
+                begins = np.isin(at, first[:-1])
+                none = lambda x: np.append(x, False)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.append(pair, np.uint64(0)).view(np.int64), mask=np.append(np.zeros(len(pair), bool), True)),
+                    pa.array(np.append(words[at], np.uint64(0)).view(np.int64)),
+                    pa.array(np.append(words[at - 1] if len(at) else words, np.uint64(0)).view(np.int64), mask=none(begins)),
+                    pa.array(np.append(target, chosen[lo:hi].sum())), pa.array(np.append(total, hi - lo))],
+                    ["pair", "word", "before", "target", "total"])
 
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(is_target, F.lit(False)).alias("chosen"))
-    parts = rows.mapInArrow(run, "bucket int, target bigint, total bigint")
-    return parts.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
+    parts = rows.mapInArrow(run, "pair bigint, word bigint, before bigint, target bigint, total bigint")
+    return parts.groupBy("pair").agg(F.min("word").alias("word"), F.min("before").alias("before"), F.sum("target").alias("target"), F.sum("total").alias("total"))
 
 
 def marked(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = TARGETS) -> DataFrame:
@@ -93,55 +95,81 @@ def marked(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: st
 
 
 class Models:
-    """Both models' counts, as arrays over the buckets."""
-
-    def __init__(self, rows: pa.Table):
-        bucket = rows["bucket"].to_numpy()
-        self.words, self.pairs = [], []
-        self.starts, self.sums = [], []
-        for name in ("target", "total"):
-            all_counts = np.zeros(WORDS + PAIRS + 1, np.int64)
-            all_counts[bucket] = rows[name].to_numpy()
-            self.words.append(all_counts[:WORDS].astype(np.float64))
-            self.pairs.append(all_counts[WORDS:-1].astype(np.float32))
-            self.starts.append(float(all_counts[-1]))
-            self.sums.append(float(all_counts[:WORDS].sum()))
-
-    def losses(self, model: int, words: np.ndarray, pairs: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Natural-log loss of every word; model 0 is the target, 1 the background."""
-        count = self.words[model][words]
-        before = np.empty(len(words))
-        before[1:] = count[:-1]
-        before[first[:-1][np.diff(first) > 0]] = self.starts[model]
-        pair = np.minimum(self.pairs[model][pairs], before)
-        share = np.divide(pair, before, out=np.zeros(len(words)), where=before > 0)
-        return -np.log(MIX * share + (1 - MIX) * (count + 1) / (self.sums[model] + WORDS))
+    """Both models: counts of words, and the losses of every pair."""
+
+    def __init__(self, counted: DataFrame, frequent: int = FREQUENT):
+        counted = stored(counted, "pairs")
+        pairs = counted.where("pair IS NOT NULL")
+        self.words = stored(pairs.groupBy("word").agg(F.sum("target").alias("n0"), F.sum("total").alias("n1")), "words")
+        starts = counted.where("pair IS NULL").agg(F.sum("target"), F.sum("total")).first()
+        self.sums = [x or 0 for x in self.words.agg(F.sum("n0"), F.sum("n1")).first()]
+        known = join_children(self.words, pairs, ["word"], F.col("pair"))
+        before = self.words.select(F.col("word").alias("before"), F.col("n0").alias("b0"), F.col("n1").alias("b1"))
+        inner = join_children(before, known.where("before IS NOT NULL"), ["before"], F.col("pair"))
+        first = known.where("before IS NULL").withColumns({f"b{m}": F.lit(starts[m] or 0).cast("long") for m in (0, 1)})
+        losses = [self.loss(m, F.col(f"n{m}"), F.col(c) / F.col(f"b{m}"), F.col(f"b{m}") > 0) for m, c in ((0, "target"), (1, "total"))]
+        both = inner.select("pair", "total", "target", *(f"{c}{m}" for c in "nb" for m in (0, 1))).unionByName(
+            first.select("pair", "total", "target", *(f"{c}{m}" for c in "nb" for m in (0, 1))))
+        self.losses = stored(both.select("pair", "total", losses[0].alias("l0"), losses[1].alias("l1")), "losses")
+        top = self.losses.where(F.col("total") > self.sums[1] // frequent).select("pair", "l0", "l1").toArrow().sort_by("pair")
+        self.top = [top[c].to_numpy() for c in ("pair", "l0", "l1")]
+
+    def loss(self, model: int, count: Column, share: Column, some: Column) -> Column:
+        """Natural-log loss of a word so often counted; model 0 is the target, 1 the background."""
+        return -F.log(MIX * F.when(some, share).otherwise(0.0) + (1 - MIX) * (count + 1) / float(self.sums[model] + WORDS))
 
 
 def fitted(docs: DataFrame, is_target: Column, text: str = "text") -> Models:
-    """The models of a corpus; their tables have at most WORDS + PAIRS + 1 rows."""
-    return Models(counts(docs, is_target, text).toArrow())
+    """The models of a corpus."""
+    return Models(counts(docs, is_target, text))
 
 
 def scored(docs: DataFrame, models: Models, text: str = "text", out: str = "lm") -> DataFrame:
     """The rows with a struct column (n_words, target_loss, background_loss, score), losses as means over the words."""
     ready(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(texts: pa.Array) -> pa.Array:
-        n_words, losses = np.zeros(len(texts), np.int64), np.zeros((2, len(texts)))
-        for lo, hi, words, pairs, first in buckets(texts):
-            n = np.diff(first)
-            n_words[lo:hi] = n
-            some = np.flatnonzero(n)
-            if len(some):
-                for model in (0, 1):
-                    each = shared.value.losses(model, words, pairs, first)
-                    losses[model, lo + some] = np.add.reduceat(each, first[:-1][some]) / n[some]
-        return pa.StructArray.from_arrays(
-            [pa.array(n_words), pa.array(losses[0]), pa.array(losses[1]), pa.array(losses[0] - losses[1])],
-            ["n_words", "target_loss", "background_loss", "score"])
-
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
-    udf = arrow_udf(run, "n_words bigint, target_loss double, background_loss double, score double")
-    return docs.select(*keep, udf(F.col(f"`{text}`")).alias(out))
+    shared = docs.sparkSession.sparkContext.broadcast(models.top)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, *loss = shared.value
+        for batch in batches:
+            keys = [batch.column(k).to_numpy() for k in (0, 1)]
+            for lo, hi, words, pairs, first in buckets(batch.column(2)):
+                pairs, words = pairs.view(np.int64), words.view(np.int64)
+                own = np.repeat(np.arange(hi - lo), np.diff(first))
+                at = np.minimum(np.searchsorted(top, pairs), max(len(top) - 1, 0))
+                hot = top[at] == pairs if len(top) else np.zeros(len(pairs), bool)
+                sums = [np.bincount(own[hot], x[at[hot]], hi - lo) if hot.any() else np.zeros(hi - lo) for x in loss]
+                cold = np.flatnonzero(~hot)
+                none = np.append(np.ones(hi - lo, bool), np.zeros(len(cold), bool))
+                yield pa.RecordBatch.from_arrays([
+                    *(pa.array(np.append(k[lo:hi], k[lo + own[cold]])) for k in keys),
+                    pa.array(np.append(np.zeros(hi - lo, np.int64), pairs[cold]), mask=none),
+                    pa.array(np.append(np.zeros(hi - lo, np.int64), words[cold])),
+                    pa.array(np.append(np.bincount(own[hot], minlength=hi - lo), np.ones(len(cold), np.int64))),
+                    *(pa.array(np.append(x, np.zeros(len(cold))), mask=~none) for x in sums)],
+                    ["k0", "k1", "pair", "word", "n", "l0", "l1"])
+
+    some = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    key = (F.xxhash64(some), F.xxhash64(F.lit("again"), some))
+    rows = docs.select(key[0].alias("k0"), key[1].alias("k1"), some.alias("text")).mapInArrow(
+        run, "k0 bigint, k1 bigint, pair bigint, word bigint, n bigint, l0 double, l1 double")
+    rows = stored(rows, "scored")
+    cold = rows.where("pair IS NOT NULL").drop("l0", "l1")
+    met = cold.join(models.losses.select("pair", "l0", "l1"), "pair")
+    # pairs that the models' corpus does not have
+    new = cold.join(models.losses.select("pair"), "pair", "left_anti").join(models.words, "word", "left")
+    new = new.withColumns({f"l{m}": models.loss(m, F.coalesce(F.col(f"n{m}"), F.lit(0)), F.lit(0.0), F.lit(False)) for m in (0, 1)})
+    names = ("k0", "k1", "n", "l0", "l1")
+    every = rows.where("pair IS NULL").select(*names).unionByName(met.select(*names)).unionByName(new.select(*names))
+    # copies of a text have one key and are summed together
+    sums = every.groupBy("k0", "k1").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("n") > 0, F.col(c)).otherwise(0.0)).alias(c) for c in ("l0", "l1")])
+    copies = rows.where("pair IS NULL").groupBy("k0", "k1").agg(F.count("*").alias("texts"))
+    means = sums.join(copies, ["k0", "k1"]).select("k0", "k1", F.struct(
+        (F.col("n") / F.col("texts")).cast("long").alias("n_words"),
+        *[F.when(F.col("n") > 0, F.col(c) / F.col("n")).otherwise(0.0).alias(name) for c, name in (("l0", "target_loss"), ("l1", "background_loss"))],
+        F.when(F.col("n") > 0, (F.col("l0") / F.col("n") - F.col("l1") / F.col("n"))).otherwise(0.0).alias("score")).alias("_lm"))
+    keep = [c for c in docs.columns if c.lower() != out.lower()]
+    names = fresh(docs, "_k0"), fresh(docs, "_k1")
+    left = docs.select(*[F.col(f"`{c}`") for c in keep], key[0].alias(names[0]), key[1].alias(names[1]))
+    done = left.join(means.select(F.col("k0").alias(names[0]), F.col("k1").alias(names[1]), F.col("_lm").alias(out)), list(names), "left")
+    return done.select(*[F.col(f"`{c}`") for c in keep], F.col(out))

@@ -431,3 +431,19 @@ def test_shingles_alike_against_brute_force():
         got = substring_dedup.alike(np.array(a, np.uint64), np.array(b, np.uint64), [0], least, 0.8)
         assert bool(got) == best
         assert all(hi - lo + 1 >= least and upto - to + 1 >= least and sim >= 0.8 and 0 <= lo and hi < len(a) and 0 <= to and upto < len(b) for lo, hi, to, upto, sim in got)
+
+
+def test_lm_counts_keep_pairs_apart(spark):
+    from pyspark.sql import functions as F
+    n = 20_000  # with a fixed number of buckets, many of these words and pairs would be counted together
+    docs = spark.createDataFrame([(k, " ".join(f"x{k * 100 + i}" for i in range(100)), k == 0) for k in range(n // 10)] + [(-1, "y z y z", False)],
+                                 "doc_id bigint, text string, good boolean")
+    models = lm_scoring.fitted(docs, F.col("good"))
+    assert models.losses.count() == n * 10 + 3 and models.words.count() == n * 10 + 2
+    one = -np.log(lm_scoring.MIX + (1 - lm_scoring.MIX) * 2 / (n * 10 + 4 + lm_scoring.WORDS))
+    first = -np.log(lm_scoring.MIX / (n // 10 + 1) + (1 - lm_scoring.MIX) * 2 / (n * 10 + 4 + lm_scoring.WORDS))
+    for r in lm_scoring.scored(docs, models).where("doc_id >= 0").select("doc_id", "lm.*").collect():
+        assert r.n_words == 100 and abs(r.background_loss - (99 * one + first) / 100) < 1e-9
+    new = lm_scoring.scored(spark.createDataFrame([("z x5 q",)], "text string"), models).first().lm  # pairs never counted
+    base = lambda c: -np.log((1 - lm_scoring.MIX) * (c + 1) / (n * 10 + 4 + lm_scoring.WORDS))
+    assert abs(new.background_loss - (base(2) + base(1) + base(0)) / 3) < 1e-9
