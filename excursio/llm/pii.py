@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +30,6 @@ KINDS = ("email", "ip", "card", "phone")
 #: A pattern of n distinct instances, p of them of a kind, is trusted for it from p >= SUPPORT and p / (n + 2) >= TRUST.
 SUPPORT = 5
 TRUST = 0.7
-ROUNDS = 3
 #: Trusted patterns that one broadcast holds.
 PATTERNS = 200_000
 #: Code points of a word in a pattern; longer words are compared by both ends.
@@ -181,10 +181,13 @@ def edges(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.groupBy("pattern", "instance").agg(F.min("kind").alias("kind"))
 
 
-def trusted_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Rows (pattern, kind, score) of the patterns trusted after the rounds; score is RlogF."""
+def trusted_patterns(graph: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Rows (pattern, kind, score) of the patterns trusted in the end; score is RlogF.
+
+    Rounds go on until one labels no instance, as every other one labels some for good; rounds stops them before.
+    """
     labels = graph.select("pattern", "instance", "kind")
-    for _ in range(rounds):
+    for n in count(1):
         counts = labels.groupBy("pattern").agg(
             F.count("*").alias("n"), *[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in KINDS])
         best = F.greatest(*KINDS)
@@ -195,9 +198,11 @@ def trusted_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         # an unlabelled instance takes the kind of the best trusted pattern it occurs in
         votes = labels.where("kind IS NULL").join(trusted.select("pattern", F.col("kind").alias("vote"), "score"), "pattern")
         given = votes.groupBy("instance").agg(F.max(F.struct("score", "vote")).alias("v")).select("instance", F.col("v.vote").alias("vote"))
+        given = stored(given, "given")
+        if n == rounds or given.isEmpty():
+            return trusted
         labels = stored(labels.join(given, "instance", "left").select(
             "pattern", "instance", F.coalesce("kind", "vote").alias("kind")), "labels")
-    return trusted
 
 
 _SHAPE = "array<struct<kind int, begin int, end int>>"
@@ -239,7 +244,7 @@ def mask_spans(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def _scanned(docs: DataFrame, text: str, out: str, rounds: int, block: int, mask: bool) -> DataFrame:
+def _scanned(docs: DataFrame, text: str, out: str, rounds: int | None, block: int, mask: bool) -> DataFrame:
     """The rows with a struct column (base, spans, masked), all from one Python step per block."""
     spark = docs.sparkSession
     trusted = trusted_patterns(stored(edges(docs, text), "edges"), rounds)
@@ -254,7 +259,7 @@ def _scanned(docs: DataFrame, text: str, out: str, rounds: int, block: int, mask
     return df
 
 
-def found(docs: DataFrame, text: str = "text", out: str = "pii", rounds: int = ROUNDS, block: int = PATTERNS) -> DataFrame:
+def found(docs: DataFrame, text: str = "text", out: str = "pii", rounds: int | None = None, block: int = PATTERNS) -> DataFrame:
     """The rows with a struct column (base, spans), each an array of (kind, begin, end) by kind and start.
 
     kind is an index into KINDS; begin and end count code points, end exclusive.
@@ -264,7 +269,7 @@ def found(docs: DataFrame, text: str = "text", out: str = "pii", rounds: int = R
     return _scanned(docs, text, temp, rounds, block, False).select(*keep, F.col(temp).dropFields("masked").alias(out))
 
 
-def masked(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block: int = PATTERNS) -> DataFrame:
+def masked(docs: DataFrame, text: str = "text", rounds: int | None = None, block: int = PATTERNS) -> DataFrame:
     """The rows with the personal data in their texts masked."""
     temp = fresh(docs, "_pii")
     df = _scanned(docs, text, temp, rounds, block, True)

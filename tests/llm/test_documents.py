@@ -447,3 +447,13 @@ def test_lm_counts_keep_pairs_apart(spark):
     new = lm_scoring.scored(spark.createDataFrame([("z x5 q",)], "text string"), models).first().lm  # pairs never counted
     base = lambda c: -np.log((1 - lm_scoring.MIX) * (c + 1) / (n * 10 + 4 + lm_scoring.WORDS))
     assert abs(new.background_loss - (base(2) + base(1) + base(0)) / 3) < 1e-9
+
+
+def test_trust_goes_on_until_nothing_is_labelled(spark):
+    sizes, rows = [600, 255, 107, 43, 16, 0], []
+    for k in range(5):  # the instances of a pattern get their labels by the pattern before
+        rows += [(f"p{k}", f"i{k}_{i}", "email" if k == 0 else None) for i in range(sizes[k])]
+        rows += [(f"p{k}", f"i{k + 1}_{i}", None) for i in range(sizes[k + 1])]
+    graph = spark.createDataFrame(rows, "pattern string, instance string, kind string")
+    assert {(r.pattern, r.kind) for r in pii.trusted_patterns(graph).collect()} == {(f"p{k}", "email") for k in range(5)}
+    assert pii.trusted_patterns(graph.limit(0)).count() == 0
