@@ -5,7 +5,7 @@ library, each distinct one once per batch, and kept in a bounded table. A chunk
 that white space does not split is normalised and pre-split as the library's own parts do it,
 and every long piece is encoded as a tree: both halves on their own, then a growing window of
 tokens around the join is encoded anew until its first and last token are those that the halves
-have there. A sequence of BPE tokens is the encoding of its text exactly if each adjacent
+have there; a window that grows wide, as in a line of dashes, is merged with a heap. A sequence of BPE tokens is the encoding of its text exactly if each adjacent
 pair is the encoding of its own text, so agreement at both ends makes the whole right.
 
 Null counts as empty: no tokens, empty decoded text. Rows, order of repeats and other columns
@@ -15,6 +15,7 @@ table of chunks and the tokens of the batch.
 
 from __future__ import annotations
 
+import heapq
 import json
 import os
 import re
@@ -79,16 +80,37 @@ class Merges:
             out[at : at + 2] = [out[at] + out[at + 1]]
         return out
 
+    def queued(self, symbols: Sequence[str]) -> list[str]:
+        """The same as merged for runs of any length: pairs wait in a heap, n log n in all."""
+        rank, n = self.rank, len(symbols)
+        out: list[str | None] = list(symbols)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(rank[p], k, *p) for k, p in enumerate(zip(out, out[1:])) if p in rank]
+        heapq.heapify(heap)
+        while heap:
+            _, k, a, b = heapq.heappop(heap)
+            j = after[k] if out[k] == a else n
+            if j >= n or out[j] != b:
+                continue  # one of the two has been merged meanwhile
+            out[k], out[j] = a + b, None
+            after[k] = after[j]
+            if after[j] < n:
+                before[after[j]] = k
+            for i, j in ((before[k], k), (k, after[k])):
+                if i >= 0 and j < n and (out[i], out[j]) in rank:
+                    heapq.heappush(heap, (rank[out[i], out[j]], i, out[i], out[j]))
+        return [s for s in out if s is not None]
+
     def joined(self, left: list[str], right: list[str]) -> list[str]:
         """Encoding of the text of two encodings together."""
         width = 2
         while True:
             a, b = min(width, len(left)), min(width, len(right))
             window = [s for t in left[len(left) - a :] + right[:b] for s in self.parts(t)]
-            new = self.merged(window) if len(window) <= 4 * LEAF else self.tree(window)
+            new = self.merged(window) if len(window) <= 4 * LEAF else self.queued(window)
             if (a == len(left) or new[0] == left[-a]) and (b == len(right) or new[-1] == right[b - 1]):
                 return left[: len(left) - a] + new + right[b:]
-            width *= 2
+            width *= 4
 
     def tree(self, symbols: Sequence[str]) -> list[str]:
         """Encoding of a long run of symbols, by halves that join level by level."""

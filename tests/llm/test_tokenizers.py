@@ -22,7 +22,7 @@ ODD = [
     "", " ", "  a  b   ", "a" * 3000, "aaabbb" * 400, "the" * 2000 + " end", "x<|startoftext|>y <|endoftext|> <|start",
     "É̀ ΑΣ İi ŉ", "l'été don't we'll THEY'VE 's's" * 20, "１２３" * 60, "!!!???" * 50,
     "日本語のテキスト" * 60, "a\x1cb \x85c　d e", "́a ́", "\U0001f600\U0001f469‍\U0001f467" * 30,
-    "abc\x00def", "▁▁ a▁b", "\n\n x\ty\r\n", "<s> </s> <unk> <0x41>", "=" * 40 + "-" * 33,
+    "abc\x00def", "▁▁ a▁b", "\n\n x\ty\r\n", "<s> </s> <unk> <0x41>", "=" * 40 + "-" * 33, "a line of dashes " + "—" * 70,
 ]
 
 
@@ -51,6 +51,30 @@ def test_tree_is_plain_bpe(text):
     assert merges.tree(symbols) == merges.merged(symbols)
 
 
+def repeats():
+    """Runs of one to four symbols that a line may be drawn with, and letters that merge far."""
+    rng = random.Random(3)
+    signs = [chr(c) for c in (*range(33, 127), *range(0xA1, 0xC0), 0x2014, 0x2022, 0x2764, 0x2500, 0x4E2D, 0x1F600, *range(0x430, 0x450), *range(0x3B1, 0x3C0))]
+    runs = [*signs, *("".join(rng.choice(signs) for _ in range(n)) for n in (2, 3, 4) for _ in range(20)), "na", "ah", "aha", "ab", "the"]
+    return [(run * n)[:n] for run in runs for n in (65, 66, 80, 131, 400)] + ["ab" + run * 150 for run in ("na", "ah", "—")] + ["—" * 5000, "na" * 2500]
+
+
+def test_repeats_are_the_library():
+    texts = repeats()
+    found = bpe.encoder(WORD).encode(texts)
+    for text, raw in zip(texts, found):
+        assert np.frombuffer(raw, np.int32).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text[:10]
+
+
+@given(st.text(alphabet="abehtinorsw—", max_size=300))
+@settings(max_examples=80, deadline=None)
+def test_heap_is_plain_bpe(text):
+    merges = bpe.encoder(WORD).merges or bpe.Merges(WORD)
+    bpe.encoder(WORD).merges = merges
+    symbols = merges.symbols(text) if text else []
+    assert merges.queued(symbols) == merges.merged(symbols)
+
+
 @pytest.mark.parametrize("text", TEXTS, ids=range(len(TEXTS)))
 @pytest.mark.parametrize("chunk", [1, 7, 1 << 16])
 def test_counts_are_the_library(text, chunk):
