@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from excursio.llm import (
-    bpe, decontamination, lm_scoring, oracles, pii, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
+    bpe, decontamination, lm_scoring, mixing, oracles, pii, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
     url_filters,
 )
 
@@ -111,6 +111,12 @@ def op10(spark, sf_dir):
     return df.select("doc_id", *bpe_digests("encoding"))
 
 
+@query("op11_source_mixing")
+def op11(spark, sf_dir):
+    df = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep=["doc_id"])
+    return df.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
 def bpe_digests(encoding: str) -> list:
     """Number of tokens and digests of the ids and of the decoded text."""
     return [F.size(f"{encoding}.ids").cast("long").alias("n_tokens"),
