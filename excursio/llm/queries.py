@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from excursio.llm import (
-    bpe, decontamination, lm_scoring, mixing, oracles, pii, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
+    alignment, bpe, decontamination, lm_scoring, mixing, oracles, pii, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
     url_filters,
 )
 
@@ -117,6 +117,15 @@ def op11(spark, sf_dir):
     return df.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+@query("op13_token_alignment")
+def op13(spark, sf_dir):
+    df = alignment.aligned(table(spark, sf_dir, "documents").select("doc_id", "text"), path_a=public_tokenizers.path("byte_bpe_50k.json"),
+                           path_b=public_tokenizers.path("piece_bpe_32k.model"))
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    digest = F.when(F.col("alignment.n_a") > 0, F.sha2("alignment.groups", 256)).otherwise("")
+    return df.select("doc_id", *[F.col(f"alignment.{n}") for n in names], digest.alias("groups_sha256"))
+
+
 def bpe_digests(encoding: str) -> list:
     """Number of tokens and digests of the ids and of the decoded text."""
     return [F.size(f"{encoding}.ids").cast("long").alias("n_tokens"),
