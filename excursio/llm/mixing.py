@@ -18,7 +18,7 @@ Null counts as an empty text; a text without words takes nothing. Very long text
 any number of blocks. An empty table gives no rows. Columns of the input may have any name; one
 called like the result is replaced. Columns that are kept must be of types that can be grouped.
 
-Sources and shards are tables of one row each (a source of 4 million words has one shard); they
+Sources and shards are tables of one row each (a shard for a million words); they
 are joined, not collected, and Spark broadcasts them only below its threshold.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from excursio.llm.shared import stored
 
 #: Words of a block and of a shard, and rows of a shard.
-BLOCK, SHARD, SHARD_ROWS = 64, 1 << 22, 1 << 18
+BLOCK, SHARD, SHARD_ROWS = 64, 1 << 20, 1 << 16
 #: Weights of the sources in turn, words of the mix by words there are, and most repeats of a source.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Primes below 2^31, more than any shard has blocks, so that steps of them meet every block once.
