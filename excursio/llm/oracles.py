@@ -91,3 +91,31 @@ SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdic
 FROM u LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC) = 1
 """
+
+# CRC-32 bit by bit: a character is taken up, then eight steps
+_CRC = """xor(list_reduce(flatten(list_concat([[4294967295]], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
+CONVERSATION_TRIE = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, conv_id - conv_id % 5 AS base, CAST({_CRC} % 9 AS BIGINT) AS h
+      FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)),
+r AS (SELECT c.conv_id, t.pos AS d, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+      UNION ALL
+      SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + t.pos - c.h, t.role, t.text
+      FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN c b ON b.conv_id = c.base),
+p AS (SELECT conv_id, d, strlen(text) AS bytes, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT path, d, bytes, min(conv_id) AS conv_id, count(*) AS n_convs FROM p GROUP BY path, d, bytes),
+k AS (SELECT left(path, length(path) - 64) AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM n LEFT JOIN k ON n.path = k.path),
+s AS (SELECT left(path, 64 * a) AS path, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM v) GROUP BY ALL),
+e AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM
+      (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM p) WHERE d = last GROUP BY path)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens,
+    coalesce(e.ends, sha256('')) AS ends_sha256
+FROM v JOIN s ON v.path = s.path LEFT JOIN e ON v.path = e.path LEFT JOIN v u ON v.d > 0 AND u.path = left(v.path, length(v.path) - 64)
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from excursio.llm import (
-    alignment, bpe, decontamination, lm_scoring, mixing, oracles, pii, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
+    alignment, bpe, decontamination, lm_scoring, mixing, oracles, pii, prefix_trie, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
     url_filters,
 )
 
@@ -117,6 +117,11 @@ def op11(spark, sf_dir):
     return df.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+@query("op12_conversation_trie", oracles.CONVERSATION_TRIE)
+def op12(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 @query("op13_token_alignment")
 def op13(spark, sf_dir):
     df = alignment.aligned(table(spark, sf_dir, "documents").select("doc_id", "text"), path_a=public_tokenizers.path("byte_bpe_50k.json"),
