@@ -549,7 +549,7 @@ def field_rules(settings: Settings = Settings()) -> dict[str, Sql]:
 
 
 def extract(page_nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Raw record of every page: one projection, no shuffle."""
+    """Raw record of every page: one projection, no shuffle. A column ``_pricing`` goes into the ticket prices."""
     rules = field_rules(settings) | {
         "page_id": "page_id",
         "url": URL,
@@ -557,6 +557,8 @@ def extract(page_nodes: DataFrame, settings: Settings = Settings()) -> DataFrame
     }
     unset = {n: null(raw_field(n).simpleString()) for n in ("timings", "rules", "thingsToDo")}
     fields = rules | unset
+    if "_pricing" in page_nodes.columns:
+        fields["ticketPrices"] = let(fields["ticketPrices"], lambda t: priced(t, "_pricing", settings))
     return stage(page_nodes).select(
         *[F.expr(fields[n]).alias(n) for n in parsed(RAW).fieldNames()]
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from excursio.functions.sql import quote
+from excursio.functions.sql import Sql, quote, struct, when
 from excursio.functions.text import contains, contains_any, json_or_null, repeated_keys
 from excursio.functions.urls import response_key
 from excursio.schemas import BOOKABLE_DATES, raw_field
@@ -101,30 +101,39 @@ def api_pricing(latest: DataFrame) -> DataFrame:
     )
 
 
+_PRICING = ("minPrice", "capacity", "bookableDates")
+
+
+def priced(tickets: Sql, pricing: Sql, settings: Settings = Settings()) -> Sql:
+    """Ticket prices of a page with those of its responses, where there are any."""
+    kind = raw_field("ticketPrices").simpleString()
+    merged = struct(prices=f"{tickets}.prices", currency=quote(settings.currency), packageName=f"{tickets}.packageName",
+                    packageDetails=f"{tickets}.packageDetails", **{f: f"{pricing}.{f}" for f in _PRICING})
+    return f"CAST({when(f'{pricing} IS NULL', tickets, merged)} AS {kind})"
+
+
 def merge_pricing(
     raw: DataFrame, pricing: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Put API pricing into the raw records it belongs to.
 
     Both sides hold one row per page, so no key can be skewed; the optimizer
-    broadcasts the pricing when its size allows.
+    broadcasts the pricing when its size allows. Beyond that it moves raw records:
+    ``price_pages`` over tables in buckets moves none.
     """
-    p = pricing.select(
-        F.col("page_id"),
-        F.struct("minPrice", "capacity", "bookableDates").alias("_pricing"),
-    )
-    merged = (
-        "CASE WHEN _pricing IS NULL THEN ticketPrices ELSE named_struct("
-        "'prices', ticketPrices.prices, "
-        f"'currency', {quote(settings.currency)}, "
-        "'packageName', ticketPrices.packageName, "
-        "'packageDetails', ticketPrices.packageDetails, "
-        "'minPrice', _pricing.minPrice, 'capacity', _pricing.capacity, "
-        "'bookableDates', _pricing.bookableDates) END"
-    )
-    kind = raw_field("ticketPrices").simpleString()
+    p = pricing.select("page_id", F.struct(*_PRICING).alias("_pricing"))
     return (
         raw.join(p, "page_id", "left")
-        .withColumn("ticketPrices", F.expr(f"CAST({merged} AS {kind})"))
+        .withColumn("ticketPrices", F.expr(priced("ticketPrices", "_pricing", settings)))
         .select(*raw.columns)
     )
+
+
+def price_pages(pages: DataFrame, pricing: DataFrame) -> DataFrame:
+    """Captured pages with their API pricing in a column ``_pricing``, which ``extract`` merges.
+
+    For tables that lie in as many buckets by page (``save_bucketed``): nothing moves then,
+    and a task holds the pricing of one bucket, not its pages.
+    """
+    p = pricing.select("page_id", F.struct(*_PRICING).alias("_pricing"))
+    return pages.join(p.hint("shuffle_hash"), "page_id", "left")

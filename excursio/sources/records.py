@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from excursio.functions.sql import Sql, each, struct, when
-from excursio.functions.text import repeated_keys
+from excursio.functions.sql import Sql, all_of, case, coalesce, each, quote, some, struct, when
+from excursio.functions.text import json_or_null, repeated_keys
+from excursio.functions.variants import given, is_list, is_number, is_object, is_text, kind, listed, typed
 from excursio.schemas import API_RESPONSES, RAW, RAW_JSON, parsed
 
 
@@ -86,41 +87,109 @@ def kept_responses(records: DataFrame) -> DataFrame:
     )
 
 
-def read_raw_json(spark: SparkSession, location: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw records from JSON files (one object per file), their responses, and the rejects.
-
-    A record with neither ``hero`` nor ``slug`` is something else, for instance
-    a bundle; it would silently turn into defaults. Records of one address stay apart: the
-    page_id stands for the file and the place in it, so write the frames before files change.
+#: Lists that must be lists where they are given at all: the transforms go through them.
+_LISTS = ("hero.tags", "hero.images", "gallery", "terms", "highlights", "inclusions", "exclusions", "thingsToDo", "nearbyAttractions")
+#: Values that must be texts where they are given: the transforms cut them or search in them.
+_TEXTS = ("description.full", "timings.closedDays")
+#: Lists whose elements are looked into, so that null is no element.
+_ELEMENTS = ("hero.images", "gallery", "nearbyAttractions")
+
+
+def _refusal(v: Sql) -> Sql:
+    """Why no record can be made of a JSON value; null if one can."""
+    rules = [(f"{v} IS NULL", "not JSON"), (f"NOT {is_object(v)}", "not an object")]
+    rules += [(f"{given(v, '$.' + f)} AND NOT {is_list(v, '$.' + f)}", f"{f} is not a list") for f in _LISTS]
+    rules += [(f"{given(v, '$.' + f)} AND NOT {is_text(v, '$.' + f)}", f"{f} is not a text") for f in _TEXTS]
+    rules += [(some(listed(v, "$." + f), lambda e: f"({e} IS NULL OR is_variant_null({e}))"), f"{f} holds null") for f in _ELEMENTS]
+    rules += [
+        (some(listed(v, "$.terms"), lambda e: f"NOT {is_text(e)}"), "terms holds what is no text"),
+        (f"{is_text(v, '$.ticketPrices.packageDetails')} AND {given(v, '$.ticketPrices.packageDetails')}", "ticketPrices.packageDetails is not a list"),
+        (f"NOT {is_number(v, '$.ticketPrices.minPrice')} AND NOT coalesce({kind(v, '$.ticketPrices.prices[0]')} IN ('STRING', 'VOID'), true)",
+         "ticketPrices.prices[0] is not a text"),
+    ]
+    return case(*[(test, quote(reason)) for test, reason in rules])
+
+
+def json_records(texts: DataFrame, need: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (value, page_id, ...) as records: the other columns, the fields as they stand in JSON, and ``reason``.
+
+    A text is parsed once, and every field is taken out by its type: a number where a text
+    belongs becomes that text, what fits in no way counts as missing and leaves the rest as
+    it is. ``reason`` says why no record can be made, and is null for a record; all of ``texts``
+    come out. Of the fields in ``need`` one must be there.
+    """
+    repeated_keys(texts.sparkSession)
+    kept = [c for c in texts.columns if c != "value"]
+    whole = texts.select(*kept, F.expr(json_or_null("value")).alias("_v"))
+    reason = _refusal("_v")
+    if need:
+        absent = all_of(f"coalesce({kind('_v', '$.' + f)}, 'VOID') = 'VOID'" for f in need)
+        reason = coalesce(reason, when(absent, quote("no " + " and no ".join(need))))
+    # of a text in place of the list of prices, the first character counts
+    prices = "$.ticketPrices.prices"
+    first = when(is_text("_v", prices), f"array(left(try_variant_get(_v, {quote(prices)}, 'string'), 1))")
+    own = {prices: coalesce(first, typed("_v", prices, T.ArrayType(T.StringType())))}
+    fields = [F.expr(f"CAST({typed('_v', f'$.{f.name}', f.dataType, own)} AS {f.dataType.simpleString()})").alias(f.name)
+              for f in parsed(RAW_JSON).fields]
+    return whole.select(*kept, *fields, F.expr(reason).alias("reason"))
+
+
+def json_files(spark: SparkSession, location: str) -> DataFrame:
+    """JSON files as rows (file, page_id, value): one per file, or per element where a file holds a list.
+
+    The page_id stands for the file and the place in it.
     """
     repeated_keys(spark)
-    schema = T.StructType([*parsed(RAW_JSON).fields, T.StructField("_damaged", T.StringType())])
-    options = {"multiLine": True, "columnNameOfCorruptRecord": "_damaged"}
-    files = spark.read.schema(schema).options(**options).json(location)
-    files = files.select("*", F.xxhash64("_metadata.file_path", F.monotonically_increasing_id()).alias("page_id"))
-    good = files.filter("_damaged IS NULL AND (hero IS NOT NULL OR slug IS NOT NULL)")
-    bad = files.filter("_damaged IS NOT NULL OR (hero IS NULL AND slug IS NULL)").select(
-        "url", F.expr("CASE WHEN _damaged IS NOT NULL THEN 'not JSON' ELSE 'no hero and no slug' END").alias("reason")
-    )
+    files = spark.read.option("wholetext", True).text(location).select(F.col("_metadata.file_path").alias("file"), "value")
+    elements = f"CASE WHEN value RLIKE {quote(r'^[ \t\r\n]*\[')} THEN transform({listed(json_or_null('value'))}, e -> to_json(e)) END"
+    rows = files.select("file", "value", F.posexplode(F.expr(f"coalesce({elements}, array(value))")).alias("pos", "one"))
+    return rows.select("file", F.xxhash64("file", "pos").alias("page_id"), F.col("one").alias("value"))
+
+
+def split_json(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw records, their responses, and the rejects (the columns before the fields, url, reason) of ``json_records``."""
+    good = records.where("reason IS NULL")
+    fields = set(parsed(RAW_JSON).fieldNames()) - {"url"}
+    bad = records.where("reason IS NOT NULL").select(*[c for c in records.columns if c not in fields])
     return settle(good), kept_responses(good), bad
 
 
-def json_text_records(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Records as they stand in a column of JSON texts.
+def read_raw_json(spark: SparkSession, location: str, kept_at: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw records from JSON files, their responses, and the rejects with file and reason.
 
-    Without a ``page_id`` column, one stands for the text and the place of its row.
+    Every file, or element of a file that holds a list, is in one of the first and the last.
+    A record with neither ``hero`` nor ``slug`` is something else, for instance a bundle; it would
+    silently turn into defaults. With ``kept_at`` the files are read and parsed once and
+    written there, and all three read that; without it, write the frames before files change.
     """
-    repeated_keys(lines.sparkSession)
+    records = json_records(json_files(spark, location), need=("hero", "slug"))
+    if kept_at is not None:
+        records.write.mode("overwrite").parquet(kept_at)
+        records = spark.read.schema(records.schema).parquet(kept_at)
+    return split_json(records)
+
+
+def _text_rows(lines: DataFrame, column: str) -> DataFrame:
+    """Without a ``page_id`` column, one stands for the text and the place of its row."""
     page_id = F.col("page_id") if "page_id" in lines.columns else F.xxhash64(column, F.monotonically_increasing_id())
-    record = F.from_json(F.col(column), parsed(RAW_JSON))
-    return lines.select(page_id.alias("page_id"), record.alias("_r")).select("page_id", "_r.*")
+    return lines.select(page_id.alias("page_id"), F.col(column).alias("value"))
+
+
+def json_text_records(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Records as they stand in a column of JSON texts."""
+    return json_records(_text_rows(lines, column)).where("reason IS NULL").drop("reason")
 
 
 def raw_from_json_text(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Raw records from a column of JSON texts."""
+    """Raw records from a column of JSON texts; ``json_text_rejects`` has the others."""
     return settle(json_text_records(lines, column))
 
 
+def json_text_rejects(lines: DataFrame, column: str = "value") -> DataFrame:
+    """page_id and reason of the texts that are no record."""
+    return json_records(_text_rows(lines, column)).where("reason IS NOT NULL").select("page_id", "reason")
+
+
 def read_bundles(
     spark: SparkSession, location: str, schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:

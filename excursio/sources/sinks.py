@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from excursio.functions.sql import struct
 from excursio.functions.text import fallback
 from excursio.operators.publish import as_json
+from excursio.sources.scratch import exists, kept, names_in
+
+#: Buckets of a new table of merged bundles.
+BUCKETS = 64
+_BUNDLE = "activity, plans, gallery, metadata"
 
 
 def table_lines(df: DataFrame) -> DataFrame:
@@ -18,7 +23,7 @@ def table_lines(df: DataFrame) -> DataFrame:
 
 def bundle_lines(bundle: DataFrame) -> DataFrame:
     """The latest bundle of each slug as JSON text: columns slug, value."""
-    body = F.expr(as_json("struct(activity, plans, gallery, metadata)")).alias("value")
+    body = F.expr(as_json(f"struct({_BUNDLE})")).alias("value")
     return latest_per_slug(bundle).select("slug", body)
 
 
@@ -64,3 +69,69 @@ def write_bundles(bundle: DataFrame, location: str, directories: bool = False) -
         )
     else:
         lines.select("value").write.mode("overwrite").text(location)
+
+
+def _buckets_at(spark: SparkSession, location: str) -> int | None:
+    """Number of buckets of the table at a place; null if there is no table."""
+    if not exists(spark, location):
+        return None
+    found = [int(n.removeprefix("buckets=")) for n in names_in(spark, location) if n.startswith("buckets=")]
+    if len(found) > 1:
+        raise ValueError(f"{location} holds tables of different numbers of buckets: {sorted(found)}")
+    return found[0] if found else None
+
+
+def merge_bundles(bundle: DataFrame, location: str, buckets: int | None = None) -> None:
+    """Put the latest bundle of each slug into the table at a place; slugs that do not come up stay.
+
+    The table is dealt into buckets by a hash of the slug. Only buckets that the new bundles
+    touch are read, merged (the last capture wins, of equal ones the new one) and replaced, so a run
+    of few slugs moves little of a large table. A bucket is replaced whole: choose so many of them,
+    when the table is made, that one holds a few hundred MB. Merged rows are written aside
+    before anything is replaced; a run that broke off can be repeated.
+    """
+    spark = bundle.sparkSession
+    there = _buckets_at(spark, location)
+    if there is not None and buckets not in (None, there):
+        raise ValueError(f"{location} has {there} buckets, not {buckets}")
+    n = there or buckets or BUCKETS
+    place = f"{location}/buckets={n}"
+    body = F.expr(as_json(f"struct({_BUNDLE})")).alias("value")
+    rows = latest_per_slug(bundle).select(
+        "slug", F.col("metadata.scraped_at").alias("scraped_at"), "page_id", body, F.pmod(F.xxhash64("slug"), F.lit(n)).cast("int").alias("bucket"))
+    rows = kept(rows, "new-bundles")
+    touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # n at most
+    if there is not None:
+        old = spark.read.schema(rows.schema).parquet(place).where(F.col("bucket").isin(touched))
+        both = rows.withColumn("new", F.lit(True)).unionByName(old.withColumn("new", F.lit(False)))
+        last = F.max_by(F.struct("scraped_at", "page_id", "value"), F.struct("scraped_at", "page_id", "new")).alias("b")
+        rows = kept(both.groupBy("bucket", "slug").agg(last).select("slug", "b.*", "bucket"), "merged-bundles")
+    (
+        rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket").parquet(place)
+    )
+
+
+def merged_bundles(spark: SparkSession, location: str) -> DataFrame:
+    """The table that ``merge_bundles`` keeps: slug, scraped_at, page_id and the bundle as JSON text."""
+    n = _buckets_at(spark, location)
+    if n is None:
+        raise ValueError(f"no merged bundles at {location}")
+    return spark.read.parquet(f"{location}/buckets={n}").select("slug", "scraped_at", "page_id", "value")
+
+
+def save_bucketed(df: DataFrame, table: str, location: str, buckets: int, key: str = "page_id") -> DataFrame:
+    """Write a table dealt into buckets by its key, under a name of the session, and open it.
+
+    Tables of as many buckets join on the key without moving a row. Rows are dealt out
+    once, here; a bucket should fit a task's memory several times over.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).option("path", location).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def open_bucketed(spark: SparkSession, table: str, location: str, buckets: int, key: str = "page_id") -> DataFrame:
+    """Open a table that an earlier session wrote with ``save_bucketed``."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'")
+    return spark.table(table)
