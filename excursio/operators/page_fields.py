@@ -23,6 +23,7 @@ from excursio.functions.text import (
 )
 from excursio.functions.urls import absolute_from, base_parts, path_parts, printed, srcset_pick
 from excursio.operators.images import filter_images
+from excursio.operators.responses import priced
 from excursio.schemas import BOOKABLE_DATES, RAW, parsed, raw_field
 from excursio.settings import IMAGE_LIMIT, Settings
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from excursio.functions.sql import Sql, all_of, case, coalesce, each, quote, some, struct, when
+from excursio.functions.sql import Sql, all_of, case, coalesce, each, let, quote, some, struct, when
 from excursio.functions.text import json_or_null, repeated_keys
 from excursio.functions.variants import given, is_list, is_number, is_object, is_text, kind, listed, typed
 from excursio.schemas import API_RESPONSES, RAW, RAW_JSON, parsed
@@ -140,9 +140,13 @@ def json_files(spark: SparkSession, location: str) -> DataFrame:
     The page_id stands for the file and the place in it.
     """
     repeated_keys(spark)
-    files = spark.read.option("wholetext", True).text(location).select(F.col("_metadata.file_path").alias("file"), "value")
+    # as binary files, since the text reader leaves out empty ones
+    files = spark.read.format("binaryFile").load(location).select(
+        F.col("path").alias("file"), F.make_valid_utf8(F.col("content").cast("string")).alias("value"))
     elements = f"CASE WHEN value RLIKE {quote(r'^[ \t\r\n]*\[')} THEN transform({listed(json_or_null('value'))}, e -> to_json(e)) END"
-    rows = files.select("file", "value", F.posexplode(F.expr(f"coalesce({elements}, array(value))")).alias("pos", "one"))
+    # a file with an empty list is one row like a damaged file: neither has a record
+    whole = let(elements, lambda e: f"CASE WHEN size({e}) > 0 THEN {e} ELSE array(value) END")
+    rows = files.select("file", F.posexplode(F.expr(whole)).alias("pos", "one"))
     return rows.select("file", F.xxhash64("file", "pos").alias("page_id"), F.col("one").alias("value"))
 
 

@@ -715,14 +715,14 @@ def sink_table_lines(spark, sf):
     )
 
 
-@query(
-    "sink_bundle_lines",
-    f"""SELECT slug, k AS page_id, 'activity,plans,gallery,metadata' AS keys, '2026-01-01T00:00:00.000Z' AS created FROM (
-            SELECT {first_sql('slug', "'output'")} AS slug, k,
-                row_number() OVER (PARTITION BY {first_sql('slug', "'output'")}
-                    ORDER BY CASE WHEN k % 5 <> 0 THEN scraped ELSE '2026-01-01T00:00:00.000Z' END DESC, k DESC) AS r FROM {_O})
-        WHERE r = 1""",
-)
+SINK_BUNDLE = f"""SELECT slug, k AS page_id, 'activity,plans,gallery,metadata' AS keys, '2026-01-01T00:00:00.000Z' AS created FROM (
+        SELECT {first_sql('slug', "'output'")} AS slug, k,
+            row_number() OVER (PARTITION BY {first_sql('slug', "'output'")}
+                ORDER BY CASE WHEN k % 5 <> 0 THEN scraped ELSE '2026-01-01T00:00:00.000Z' END DESC, k DESC) AS r FROM {_O})
+    WHERE r = 1"""
+
+
+@query("sink_bundle_lines", SINK_BUNDLE)
 def sink_bundle_lines(spark, sf):
     """The line of a slug is that of its last bundle; the address in it tells which page that was."""
     raw = raw_from_orders(spark, sf)

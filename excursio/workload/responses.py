@@ -105,11 +105,11 @@ def api_pricing(spark, sf):
     )
 
 
-@query(
-    "api_merge_pricing",
-    f"""SELECT page_id, min_price, capacity, CASE WHEN n_dates IS NOT NULL THEN 'INR' END AS currency, n_dates
-        FROM pages LEFT JOIN ({_PRICING}) USING (page_id)""",
-)
+PRICED_PAGES = f"""SELECT page_id, min_price, capacity, CASE WHEN n_dates IS NOT NULL THEN 'INR' END AS currency, n_dates
+    FROM pages LEFT JOIN ({_PRICING}) USING (page_id)"""
+
+
+@query("api_merge_pricing", PRICED_PAGES)
 def api_merge_pricing(spark, sf):
     raw = extract(nodes(spark, sf))
     merged = responses.merge_pricing(raw, responses.api_pricing(latest(spark, sf)))

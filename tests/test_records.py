@@ -12,8 +12,8 @@ from excursio.functions.text import clean
 from excursio.operators import linkage, publish, records, responses
 from excursio.plans.catalogue import build_catalogue
 from excursio.settings import CATEGORY_RULES, Settings
-from excursio.sources.records import raw_from_json_text, read_bundles, read_raw_json
-from excursio.sources.sinks import write_bundles, write_table
+from excursio.sources.records import json_text_rejects, raw_from_json_text, read_bundles, read_raw_json
+from excursio.sources.sinks import merge_bundles, merged_bundles, open_bucketed, save_bucketed, write_bundles, write_table
 from excursio.streaming.catalogue import page_stream, record_stream, write_stream
 
 PAGES = "/root/testdata/sf0.001/pages.parquet"
@@ -193,6 +193,71 @@ def test_raw_json_files(spark, tmp_path):
     assert len(records.gallery(good).collect()) == 5
 
 
+def test_no_json_file_is_lost(spark, tmp_path):
+    off = {
+        "a": ({"slug": "a", "hero": {}, "metadata": {"totalImages": "3"}}, None), "b": ({"slug": "b", "ticketPrices": {"prices": "5"}}, None),
+        "c": ({"slug": "c", "hero": {"tags": "solo"}}, "hero.tags is not a list"), "d": ({"slug": "d"}, None),
+        "e": ({"slug": "e", "gallery": [None]}, "gallery holds null"), "f": ([], "not an object"), "g": ([1], "not an object"),
+        "h": ({}, "no hero and no slug"), "i": ({"slug": "i", "terms": [1]}, "terms holds what is no text"),
+    }
+    for name, (value, _) in off.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=1))
+    (tmp_path / "z.json").write_text("")
+    good, _, bad = read_raw_json(spark, str(tmp_path), str(tmp_path / "kept"))
+    assert sorted(r.slug for r in good.collect()) == [n for n, (_, reason) in off.items() if reason is None]
+    got = {(Path(r.file).stem, r.reason) for r in bad.collect()}
+    assert got == {(n, reason) for n, (_, reason) in off.items() if reason} | {("z", "not JSON")}
+
+
+def test_texts_that_are_no_record(spark):
+    lines = spark.createDataFrame([(1, "not json"), (2, "[1]"), (3, "{}"), (4, None), (5, '{"hero": 5}')], "page_id long, value string")
+    assert {(r.page_id, r.reason) for r in json_text_rejects(lines).collect()} == {
+        (1, "not JSON"), (2, "not an object"), (4, "not JSON")}
+    assert {r.page_id for r in raw_from_json_text(lines).collect()} == {3, 5}
+
+
+def test_merge_keeps_the_slugs_of_other_runs(spark, tmp_path):
+    at = str(tmp_path / "merged")
+
+    def run(*recs):
+        merge_bundles(bundles(spark, *recs), at, None if Path(at).exists() else 4)
+        return {r.slug: r.scraped_at for r in merged_bundles(spark, at).collect()}
+
+    def rec(slug, when):
+        return {"slug": slug, "metadata": {"scrapedAt": when}}
+
+    assert run(rec("a", "2026"), rec("b", "2026"), rec("c", "2026")) == {"a": "2026", "b": "2026", "c": "2026"}
+    files = {f: f.stat().st_mtime_ns for f in Path(at).rglob("*.parquet")}
+    assert run(rec("a", "2027"), rec("b", "2025")) == {"a": "2027", "b": "2026", "c": "2026"}
+    touched = {f.parent for f in files if not f.exists()}
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items() if f.parent not in touched)
+    assert run() == {"a": "2027", "b": "2026", "c": "2026"}
+    with pytest.raises(ValueError):
+        merge_bundles(bundles(spark, rec("a", "2028")), at, 8)
+
+
+def test_pages_and_pricing_in_buckets_join_where_they_lie(spark, tmp_path):
+    from excursio.operators.page_fields import extract
+    from excursio.sources.pages import page_nodes
+
+    pages = spark.read.parquet(PAGES).select("page_id", "url", "html")
+    pricing = pages.where("page_id % 2 = 0").selectExpr(
+        "page_id", "1.5D AS minPrice", "2D AS capacity", "array(named_struct('date', 'd', 'minPrice', 1.5D, 'capacity', 2D)) AS bookableDates")
+    a = save_bucketed(pages, "test_pages", str(tmp_path / "pages"), 4)
+    b = save_bucketed(pricing, "test_pricing", str(tmp_path / "pricing"), 4)
+    priced = responses.price_pages(a, b)
+    plan = priced._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ShuffledHashJoin" in plan
+    want = responses.merge_pricing(extract(page_nodes(pages)), pricing)
+    as_text = "to_json(struct(*)) j"
+    assert sorted(extract(page_nodes(priced)).selectExpr(as_text).collect()) == sorted(want.selectExpr(as_text).collect())
+    spark.sql("DROP TABLE test_pages")
+    again = open_bucketed(spark, "test_pages", str(tmp_path / "pages"), 4)
+    assert "Exchange" not in responses.price_pages(again, b)._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE test_pages")
+    spark.sql("DROP TABLE test_pricing")
+
+
 def test_bundle_files_round_trip(spark, tmp_path):
     b = bundles(spark, MUSEUM, {"hero": {"name": "x"}}, {"slug": "city-museum", "metadata": {"scrapedAt": "2027"}})
     write_bundles(b, str(tmp_path / "lines"))
