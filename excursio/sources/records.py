@@ -137,12 +137,11 @@ def json_records(texts: DataFrame, need: tuple[str, ...] = ()) -> DataFrame:
 def json_files(spark: SparkSession, location: str) -> DataFrame:
     """JSON files as rows (file, page_id, value): one per file, or per element where a file holds a list.
 
-    The page_id stands for the file and the place in it.
+    The page_id stands for the file and the place in it. Spark lists no file of zero bytes, so
+    those come out nowhere; a file of white space alone is a row like any other.
     """
     repeated_keys(spark)
-    # as binary files, since the text reader leaves out empty ones
-    files = spark.read.format("binaryFile").load(location).select(
-        F.col("path").alias("file"), F.make_valid_utf8(F.col("content").cast("string")).alias("value"))
+    files = spark.read.text(location, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     elements = f"CASE WHEN value RLIKE {quote(r'^[ \t\r\n]*\[')} THEN transform({listed(json_or_null('value'))}, e -> to_json(e)) END"
     # a file with an empty list is one row like a damaged file: neither has a record
     whole = let(elements, lambda e: f"CASE WHEN size({e}) > 0 THEN {e} ELSE array(value) END")

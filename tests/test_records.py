@@ -202,7 +202,7 @@ def test_no_json_file_is_lost(spark, tmp_path):
     }
     for name, (value, _) in off.items():
         (tmp_path / f"{name}.json").write_text(json.dumps(value, indent=1))
-    (tmp_path / "z.json").write_text("")
+    (tmp_path / "z.json").write_text("\n")
     good, _, bad = read_raw_json(spark, str(tmp_path), str(tmp_path / "kept"))
     assert sorted(r.slug for r in good.collect()) == [n for n, (_, reason) in off.items() if reason is None]
     got = {(Path(r.file).stem, r.reason) for r in bad.collect()}
