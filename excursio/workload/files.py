@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from excursio.operators import records, responses
 from excursio.operators.page_fields import extract
+from excursio.operators.unique_ids import resolved_ids
 from excursio.sources import records as record_source
 from excursio.sources.pages import page_nodes
 from excursio.sources.scratch import kept, scratch_place
 from excursio.sources.sinks import merge_bundles, merged_bundles, save_bucketed
 from excursio.workload.records import S, SINK_BUNDLE, raw_from_orders
-from excursio.workload.registry import pick, query, spark_facts, table
+from excursio.workload.registry import hash32_sql, pick, query, spark_facts, table
 from excursio.workload.responses import PRICED_PAGES, latest
 
 # An element of a file: records with fields of other types than usual, and what is no record.
@@ -102,3 +103,31 @@ def api_price_pages(spark, sf):
         F.col("ticketPrices.currency").alias("currency"),
         F.expr("CASE WHEN ticketPrices.bookableDates IS NOT NULL THEN CAST(size(ticketPrices.bookableDates) AS BIGINT) END").alias("n_dates"),
     )
+
+
+#: A narrower range than usual, so that ids of the test table meet over several rounds.
+_SPAN = 20_000_000
+
+
+def _resolved_sql(rounds: int) -> str:
+    """Rounds of proposals written out; what is left after the last would miss in the rows."""
+    ctes = ["p0 AS (SELECT o_orderkey AS page_id, 'https://travel.example.com/c/' || o_custkey AS k FROM orders)"]
+    for r in range(rounds):
+        key = "k" if r == 0 else f"k || '#' || page_id || '#{r}'"
+        taken = "".join(f" UNION ALL SELECT page_id, slot, 0 FROM c{i} JOIN w{i} USING (page_id)" for i in range(r))
+        ctes += [
+            f"q{r} AS MATERIALIZED (SELECT page_id, k, 1000000 + {hash32_sql(key)} % {_SPAN} AS id FROM p{r})",
+            f"c{r} AS MATERIALIZED (SELECT page_id, id + unnest([0, 100]) AS slot FROM q{r})",
+            f"o{r} AS (SELECT slot, min((late, page_id)) AS m FROM (SELECT page_id, slot, 1 AS late FROM c{r}{taken}) GROUP BY slot)",
+            f"w{r} AS MATERIALIZED (SELECT m[2] AS page_id FROM o{r} WHERE m[1] = 1 GROUP BY 1 HAVING count(*) = 2)",
+            f"p{r + 1} AS MATERIALIZED (SELECT page_id, k FROM q{r} WHERE page_id NOT IN (SELECT page_id FROM w{r}))",
+        ]
+    out = " UNION ALL ".join(f"SELECT page_id, id AS activity_id, id + 100 AS plan_id, {r}::BIGINT AS attempt FROM q{r} JOIN w{r} USING (page_id)" for r in range(rounds))
+    return "WITH " + ", ".join(ctes) + " " + out
+
+
+@query("id_resolved", _resolved_sql(6))
+def id_resolved(spark, sf):
+    """Activity and plan ids of pages of which many share an address, none twice."""
+    pages = table(spark, sf, "orders").selectExpr("o_orderkey AS page_id", "concat('https://travel.example.com/c/', o_custkey) AS url")
+    return resolved_ids(pages, span=_SPAN).withColumn("attempt", F.col("attempt").cast("bigint"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from excursio.functions.text import clean
 from excursio.operators import linkage, publish, records, responses
+from excursio.operators.unique_ids import changed_ids, resolved_ids
 from excursio.plans.catalogue import build_catalogue
 from excursio.settings import CATEGORY_RULES, Settings
 from excursio.sources.records import json_text_rejects, raw_from_json_text, read_bundles, read_raw_json
@@ -258,6 +259,39 @@ def test_pages_and_pricing_in_buckets_join_where_they_lie(spark, tmp_path):
     spark.sql("DROP TABLE test_pricing")
 
 
+def test_resolved_ids_against_rounds_in_python(spark):
+    import hashlib
+
+    rows = [(i, "same" if i % 3 == 0 else f"u{i % 90}") for i in range(400)]
+    span = 4000
+    taken, want, todo, attempt = set(), {}, dict(rows), 0
+    while todo:
+        proposals = {}
+        for page, key in todo.items():
+            text = key if attempt == 0 else f"{key}#{page}#{attempt}"
+            proposals[page] = 1_000_000 + int(hashlib.md5(text.encode()).hexdigest()[:8], 16) % span
+        first = {}
+        for page in sorted(proposals):
+            for slot in (proposals[page], proposals[page] + 100):
+                first.setdefault(slot, page)
+        won = {p: i for p, i in proposals.items() if all(s not in taken and first[s] == p for s in (i, i + 100))}
+        for page, i in won.items():
+            want[page] = (i, i + 100, attempt)
+            taken |= {i, i + 100}
+        todo = {p: k for p, k in todo.items() if p not in won}
+        attempt += 1
+    df = spark.createDataFrame(rows + rows[:5] + [(None, "x")], "page_id long, url string")
+    resolved = resolved_ids(df, span=span)
+    got = {r.page_id: (r.activity_id, r.plan_id, r.attempt) for r in resolved.collect()}
+    assert got == want and attempt > 3
+    ids = [i for a, p, _ in got.values() for i in (a, p)]
+    assert len(ids) == len(set(ids)) == 800
+    assert {r.page_id for r in changed_ids(resolved).collect()} == {p for p, (_, _, n) in want.items() if n}
+    assert resolved_ids(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        resolved_ids(df, span=50, rounds=3)
+
+
 def test_bundle_files_round_trip(spark, tmp_path):
     b = bundles(spark, MUSEUM, {"hero": {"name": "x"}}, {"slug": "city-museum", "metadata": {"scrapedAt": "2027"}})
     write_bundles(b, str(tmp_path / "lines"))
