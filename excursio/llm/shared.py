@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from excursio.sources.scratch import scratch_folder
+
 #: Bytes of text that one Arrow batch holds; a single longer row makes a batch of its own.
 BATCH_BYTES = 2 << 20
 
@@ -22,12 +24,8 @@ _MASK = (1 << 64) - 1
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="excursio-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder named by spark.checkpoint.dir; a temporary one where that is unset and Spark runs on one machine."""
+    return scratch_folder(spark)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
