@@ -292,6 +292,21 @@ def test_resolved_ids_against_rounds_in_python(spark):
         resolved_ids(df, span=50, rounds=3)
 
 
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from excursio.sources.scratch import scratch_folder
+
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: conf.get("folder", d), set=lambda k, v: None), sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_folder(session("yarn", folder="s3a://b/x/")) == "s3a://b/x"
+    assert scratch_folder(session("local[2]"))
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch_folder(session(master))
+
+
 def test_bundle_files_round_trip(spark, tmp_path):
     b = bundles(spark, MUSEUM, {"hero": {"name": "x"}}, {"slug": "city-museum", "metadata": {"scrapedAt": "2027"}})
     write_bundles(b, str(tmp_path / "lines"))
