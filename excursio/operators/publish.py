@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from excursio.functions.sql import Sql, quote
+from excursio.functions.sql import Sql, null, quote, struct, when
 from excursio.functions.text import fallback, json_or_null, repeated_keys
 
 # The three stages of the publishing service.
@@ -24,38 +27,81 @@ def as_json(x: Sql) -> Sql:
     return f"to_json({x}, {JSON_OPTIONS})"
 
 
+# Time stamps of a run; the records carry them last.
+STAMPS = ("created_at", "updated_at")
+
+
+def _body(item: Sql, fields: list[str]) -> tuple[Sql, Sql]:
+    """JSON of a record without the stamps of its run, and of these."""
+    def of(names: list[str]) -> Sql:
+        return when(f"{item} IS NOT NULL", as_json(struct(**{n: f"{item}.`{n}`" for n in names})))
+
+    stamps = [f for f in fields if f in STAMPS]
+    return of([f for f in fields if f not in STAMPS]), of(stamps) if stamps else null("STRING")
+
+
 def outbox(bundle: DataFrame, base_url: str = "") -> DataFrame:
     """Requests of every bundle: slug, stage, n, in no order.
 
-    One pass per stage over the columns it needs. Plans and images become rows
-    before they become JSON, so no task holds all bodies of a bundle.
+    The bundles are worked out once. Activity, plans and images become rows before
+    they become JSON, so no task holds all bodies of a bundle. ``digest`` tells
+    requests apart by what they say: run stamps take no part in it.
     """
     base = quote(base_url.rstrip("/"))
+    kinds = {f.name: f.dataType for f in bundle.schema.fields}
+    types = {"activity": kinds["activity"], "plan": kinds["plans"].elementType, "image": kinds["gallery"].elementType}
+
+    def entry(stage: int, n: Sql, name: str, value: Sql) -> Sql:
+        parts = {k: value if k == name else null(t.simpleString()) for k, t in types.items()}
+        return struct(stage=str(stage), n=n, **parts)
+
+    def entries(stage: int, name: str, column: str) -> Sql:
+        return f"transform(coalesce({column}, array()), (x, i) -> {entry(stage, 'i + 1', name, 'x')})"
+
+    whole = f"array({entry(ACTIVITY, '1', 'activity', 'activity')})"
+    every = f"concat({whole}, {entries(PLAN, 'plan', 'plans')}, {entries(IMAGE, 'image', 'gallery')})"
+    # The outer generator keeps the optimizer from working the list out twice.
+    rows = bundle.select("page_id", F.col("activity.slug").alias("slug"), F.explode_outer(F.expr(every)).alias("e"))
+
+    bodies = {k: _body(f"e.{k}", t.fieldNames()) for k, t in types.items()}
+    by_stage = "CASE e.stage WHEN 1 THEN {0} WHEN 2 THEN {1} ELSE {2} END"
+    path = by_stage.format(
+        quote(ACTIVITY_PATH), f"concat({quote(ACTIVITY_PATH + '/')}, slug, {quote(PLAN_QUERY)})",
+        f"concat({quote(IMAGE_PATH)}, slug, '/imageInfo')")
+    said, stamps = (by_stage.format(*[b[k] for b in bodies.values()]) for k in (0, 1))
+    made = rows.select(
+        "page_id", "slug", "e.stage", "e.n", F.lit("POST").alias("method"),
+        F.expr(f"concat({base}, {path})").alias("url"), F.expr(said).alias("said"), F.expr(stamps).alias("stamps"))
+    joined = "CASE WHEN stamps IS NULL THEN said ELSE concat(substr(said, 1, length(said) - 1), ',', substr(stamps, 2)) END"
+    return made.select(
+        "page_id", "slug", "stage", "n", "method", "url", F.expr(joined).alias("body"),
+        F.expr("sha2(concat_ws('\n', method, url, said), 256)").alias("digest"))
+
+
+def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
+    """Requests that a run has still to send, after the results of runs before.
+
+    results: slug, stage, n, status, the request's digest, and ``at``, by which they are ordered. A
+    request is settled if the last result of its slug, stage and number is a success of
+    that digest; so failed requests come again, and changed ones, also those that were
+    changed back. Of results of the same time a failure counts, as to send again does no harm.
+    A null slug is a slug like any other.
+
+    What is decided is narrow: keys and digests, each once. The requests, with their bodies, are filtered by the
+    keys that are left, which Spark broadcasts if they are few. Give a written table:
+    the requests are read twice.
+    """
+    key = ["slug", "stage", "n"]
+    good = F.expr("coalesce(status BETWEEN 200 AND 299, false)")
+    last = results.groupBy(*key).agg(F.max(F.struct("at", (~good).alias("failed"), "digest")).alias("last"))
+    settled = last.where("NOT last.failed").select(*key, "last.digest")
+    wanted = requests.select(*key, "digest").distinct()
 
-    def request(rows: DataFrame, stage: int, path: Sql) -> DataFrame:
-        return rows.select(
-            "page_id", "slug", F.lit(stage).alias("stage"), F.col("n").cast("int").alias("n"),
-            F.lit("POST").alias("method"), F.expr(f"concat({base}, {path})").alias("url"),
-            F.expr(as_json("item")).alias("body"),
-        )
-
-    def items(column: str) -> DataFrame:
-        # The outer generator keeps the optimizer from working the list out twice.
-        rows = bundle.select(
-            "page_id", F.col("activity.slug").alias("slug"), F.posexplode_outer(column).alias("n", "item")
-        )
-        return rows.filter("n IS NOT NULL").withColumn("n", F.col("n") + 1)
+    def without(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        a, b = rows.alias("a"), other.alias("b")
+        return a.join(b, reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "digest")]), how)
 
-    plan_path = f"concat({quote(ACTIVITY_PATH + '/')}, slug, {quote(PLAN_QUERY)})"
-    image_path = f"concat({quote(IMAGE_PATH)}, slug, '/imageInfo')"
-    whole = bundle.select(
-        "page_id", F.col("activity.slug").alias("slug"), F.lit(1).alias("n"), F.col("activity").alias("item")
-    )
-    return (
-        request(whole, ACTIVITY, quote(ACTIVITY_PATH))
-        .union(request(items("plans"), PLAN, plan_path))
-        .union(request(items("gallery"), IMAGE, image_path))
-    )
+    return without(requests, without(wanted, settled, "left_anti"), "left_semi")
 
 
 def normalise(results: DataFrame) -> DataFrame:

@@ -12,33 +12,42 @@ from excursio.schemas import BOOKABLE_DATES, raw_field
 from excursio.settings import API_DATES_KEY, API_KEY_JUNK, API_URL_JUNK, Settings
 
 
-def _wanted(responses: DataFrame) -> DataFrame:
+def wanted(responses: DataFrame, *also: str) -> DataFrame:
     """JSON responses of wanted addresses; ``.js`` in an address also refuses ``.json`` files."""
     repeated_keys(responses.sparkSession)
-    wanted = responses.filter(
+    rows = responses.filter(
         F.expr(f"contains(content_type, 'application/json') AND NOT {contains_any('url', API_URL_JUNK)}")
     )
-    return wanted.select(
+    return rows.select(
         "page_id",
         "seq",
         "url",
         "status",
         F.expr(response_key("url")).alias("key"),
         F.expr(json_or_null("body")).alias("data"),
+        *also,
     )
 
 
-def api_keep(responses: DataFrame) -> DataFrame:
-    """Readable JSON responses of wanted addresses, with ``key`` and ``data``."""
-    return _wanted(responses).filter("key IS NOT NULL AND data IS NOT NULL")
+def readable(rows: DataFrame) -> DataFrame:
+    """Those of the wanted responses that are kept."""
+    return rows.filter("key IS NOT NULL AND data IS NOT NULL")
+
+
+def unreadable(rows: DataFrame) -> DataFrame:
+    """The others, with the reason."""
+    reason = "CASE WHEN data IS NULL THEN 'body is not JSON or too large' ELSE 'address without host' END"
+    return rows.filter("key IS NULL OR data IS NULL").select("page_id", "seq", "url", F.expr(reason).alias("reason"))
+
+
+def api_keep(responses: DataFrame, *also: str) -> DataFrame:
+    """Readable JSON responses of wanted addresses, with ``key`` and ``data``, and other columns named."""
+    return readable(wanted(responses, *also))
 
 
 def api_rejects(responses: DataFrame) -> DataFrame:
     """Wanted responses that ``api_keep`` leaves out, with the reason."""
-    reason = "CASE WHEN data IS NULL THEN 'body is not JSON or too large' ELSE 'address without host' END"
-    return _wanted(responses).filter("key IS NULL OR data IS NULL").select(
-        "page_id", "seq", "url", F.expr(reason).alias("reason")
-    )
+    return unreadable(wanted(responses))
 
 
 def api_latest(kept: DataFrame) -> DataFrame:
@@ -62,8 +71,8 @@ def api_strip(latest: DataFrame) -> DataFrame:
     return latest.filter(f"NOT {contains_any('key', API_KEY_JUNK)}")
 
 
-def bookable_dates(latest: DataFrame) -> DataFrame:
-    """Non-empty date lists, one row per response that carries one."""
+def bookable_dates(latest: DataFrame, *also: str) -> DataFrame:
+    """Non-empty date lists, one row per response that carries one, with other columns named."""
     numeric = "rlike(schema_of_variant({0}), '^(BIGINT|DECIMAL|DOUBLE|FLOAT)')"
 
     def number(field: str) -> str:
@@ -80,7 +89,7 @@ def bookable_dates(latest: DataFrame) -> DataFrame:
     )
     return (
         latest.filter(contains("key", API_DATES_KEY))
-        .select("page_id", "pos", F.expr(f"CAST({dates} AS {BOOKABLE_DATES})").alias("dates"))
+        .select("page_id", "pos", F.expr(f"CAST({dates} AS {BOOKABLE_DATES})").alias("dates"), *also)
         .filter("size(dates) > 0")
     )
 
@@ -101,14 +110,14 @@ def api_pricing(latest: DataFrame) -> DataFrame:
     )
 
 
-_PRICING = ("minPrice", "capacity", "bookableDates")
+PRICING = ("minPrice", "capacity", "bookableDates")
 
 
 def priced(tickets: Sql, pricing: Sql, settings: Settings = Settings()) -> Sql:
     """Ticket prices of a page with those of its responses, where there are any."""
     kind = raw_field("ticketPrices").simpleString()
     merged = struct(prices=f"{tickets}.prices", currency=quote(settings.currency), packageName=f"{tickets}.packageName",
-                    packageDetails=f"{tickets}.packageDetails", **{f: f"{pricing}.{f}" for f in _PRICING})
+                    packageDetails=f"{tickets}.packageDetails", **{f: f"{pricing}.{f}" for f in PRICING})
     return f"CAST({when(f'{pricing} IS NULL', tickets, merged)} AS {kind})"
 
 
@@ -121,7 +130,7 @@ def merge_pricing(
     broadcasts the pricing when its size allows. Beyond that it moves raw records:
     ``price_pages`` over tables in buckets moves none.
     """
-    p = pricing.select("page_id", F.struct(*_PRICING).alias("_pricing"))
+    p = pricing.select("page_id", F.struct(*PRICING).alias("_pricing"))
     return (
         raw.join(p, "page_id", "left")
         .withColumn("ticketPrices", F.expr(priced("ticketPrices", "_pricing", settings)))
@@ -135,5 +144,5 @@ def price_pages(pages: DataFrame, pricing: DataFrame) -> DataFrame:
     For tables that lie in as many buckets by page (``save_bucketed``): nothing moves then,
     and a task holds the pricing of one bucket, not its pages.
     """
-    p = pricing.select("page_id", F.struct(*_PRICING).alias("_pricing"))
+    p = pricing.select("page_id", F.struct(*PRICING).alias("_pricing"))
     return pages.join(p.hint("shuffle_hash"), "page_id", "left")

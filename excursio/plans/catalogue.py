@@ -9,6 +9,7 @@ from excursio.operators.page_fields import extract
 from excursio.operators.publish import outbox
 from excursio.operators.report import catalogue_totals, page_report
 from excursio.settings import Settings
+from excursio.sources import scratch
 from excursio.sources.pages import page_nodes, page_rejects, read_pages, spread
 from excursio.sources.records import read_responses
 from excursio.sources.sinks import write_bundles, write_table
@@ -43,8 +44,9 @@ def build_catalogue(
     raw, kept = extract(page_nodes(spread(pages, partitions)), settings), None
     if captured is not None:
         # bodies are parsed, sorted and moved once; pricing and the kept responses read the outcome
-        write_table(responses.api_latest(responses.api_keep(captured)), f"{out}/api_latest")
-        write_table(responses.api_rejects(captured), f"{out}/api_rejects")
+        parsed = scratch.kept(responses.wanted(captured), "responses")
+        write_table(responses.api_latest(responses.readable(parsed)), f"{out}/api_latest")
+        write_table(responses.unreadable(parsed), f"{out}/api_rejects")
         latest = spark.read.parquet(f"{out}/api_latest")
         kept = responses.api_strip(latest)
         write_table(responses.api_pricing(latest), f"{out}/pricing")

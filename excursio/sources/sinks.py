@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,43 +83,63 @@ def _buckets_at(spark: SparkSession, location: str) -> int | None:
     return found[0] if found else None
 
 
-def merge_bundles(bundle: DataFrame, location: str, buckets: int | None = None) -> None:
-    """Put the latest bundle of each slug into the table at a place; slugs that do not come up stay.
+def merge_rows(rows: DataFrame, location: str, key: list[str], combine: Callable[[DataFrame], DataFrame], buckets: int | None = None) -> None:
+    """Put rows, one for each key, into the table at a place; rows of keys that do not come up stay.
 
-    The table is dealt into buckets by a hash of the slug. Only buckets that the new bundles
-    touch are read, merged (the last capture wins, of equal ones the new one) and replaced, so a run
-    of few slugs moves little of a large table. A bucket is replaced whole: choose so many of them,
+    The table is dealt into buckets by a hash of the key. Only buckets that the new rows
+    touch are read, merged and replaced, so a run of few keys moves little of a large
+    table. ``combine`` makes one row of those of a key: it sees old and new rows with the columns ``bucket`` and ``new``
+    and returns them as the new ones came, with ``bucket``. A bucket is replaced whole: choose so many of them,
     when the table is made, that one holds a few hundred MB. Merged rows are written aside
     before anything is replaced; a run that broke off can be repeated.
     """
-    spark = bundle.sparkSession
+    spark = rows.sparkSession
     there = _buckets_at(spark, location)
     if there is not None and buckets not in (None, there):
         raise ValueError(f"{location} has {there} buckets, not {buckets}")
     n = there or buckets or BUCKETS
     place = f"{location}/buckets={n}"
-    body = F.expr(as_json(f"struct({_BUNDLE})")).alias("value")
-    rows = latest_per_slug(bundle).select(
-        "slug", F.col("metadata.scraped_at").alias("scraped_at"), "page_id", body, F.pmod(F.xxhash64("slug"), F.lit(n)).cast("int").alias("bucket"))
-    rows = kept(rows, "new-bundles")
+    rows = kept(rows.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")), "new-rows")
     touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # n at most
+    if not touched:
+        return
     if there is not None:
         old = spark.read.schema(rows.schema).parquet(place).where(F.col("bucket").isin(touched))
         both = rows.withColumn("new", F.lit(True)).unionByName(old.withColumn("new", F.lit(False)))
-        last = F.max_by(F.struct("scraped_at", "page_id", "value"), F.struct("scraped_at", "page_id", "new")).alias("b")
-        rows = kept(both.groupBy("bucket", "slug").agg(last).select("slug", "b.*", "bucket"), "merged-bundles")
+        rows = kept(combine(both).select(*rows.columns), "merged-rows")
     (
         rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket").parquet(place)
     )
 
 
-def merged_bundles(spark: SparkSession, location: str) -> DataFrame:
-    """The table that ``merge_bundles`` keeps: slug, scraped_at, page_id and the bundle as JSON text."""
+def merged_rows(spark: SparkSession, location: str, schema: str | None = None) -> DataFrame | None:
+    """The table that ``merge_rows`` keeps, without its buckets; null if there is none."""
     n = _buckets_at(spark, location)
     if n is None:
+        return None
+    reader = spark.read.schema(f"{schema}, bucket INT") if schema else spark.read
+    return reader.parquet(f"{location}/buckets={n}").drop("bucket")
+
+
+def merge_bundles(bundle: DataFrame, location: str, buckets: int | None = None) -> None:
+    """Put the latest bundle of each slug into the table at a place (``merge_rows``): the last capture wins, of equal ones the new one."""
+    body = F.expr(as_json(f"struct({_BUNDLE})")).alias("value")
+    rows = latest_per_slug(bundle).select("slug", F.col("metadata.scraped_at").alias("scraped_at"), "page_id", body)
+
+    def combine(both: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct("scraped_at", "page_id", "value"), F.struct("scraped_at", "page_id", "new")).alias("b")
+        return both.groupBy("bucket", "slug").agg(last).select("slug", "b.*", "bucket")
+
+    merge_rows(rows, location, ["slug"], combine, buckets)
+
+
+def merged_bundles(spark: SparkSession, location: str) -> DataFrame:
+    """The table that ``merge_bundles`` keeps: slug, scraped_at, page_id and the bundle as JSON text."""
+    rows = merged_rows(spark, location)
+    if rows is None:
         raise ValueError(f"no merged bundles at {location}")
-    return spark.read.parquet(f"{location}/buckets={n}").select("slug", "scraped_at", "page_id", "value")
+    return rows.select("slug", "scraped_at", "page_id", "value")
 
 
 def save_bucketed(df: DataFrame, table: str, location: str, buckets: int, key: str = "page_id") -> DataFrame:
@@ -135,3 +157,29 @@ def open_bucketed(spark: SparkSession, table: str, location: str, buckets: int,
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'")
     return spark.table(table)
+
+
+def write_clustered(df: DataFrame, location: str, by: str, files: int, spread: str = "page_id") -> None:
+    """Write a table of about so many files, each a range of the values of a column and sorted by it.
+
+    Parquet footers and pages then tell Spark what a look-up of few values can leave unread. Equal values are dealt out by a second
+    column, so one that very many rows share fills several files and not one task.
+    """
+    ranged = df.repartitionByRange(files, by, spread).sortWithinPartitions(by, spread)
+    ranged.write.mode("overwrite").parquet(location)
+
+
+#: Values that a look-up puts into its filter; more are joined.
+LISTED = 10_000
+
+
+def look_up(table: DataFrame, values: DataFrame, by: str) -> DataFrame:
+    """The rows of a clustered table whose column is among the values, a frame of one column.
+
+    Few values become a filter that reaches the files; more become a join. Null is among no values.
+    """
+    wanted = values.toDF("_wanted").where("_wanted IS NOT NULL").distinct()
+    listed = wanted.limit(LISTED + 1).collect()
+    if len(listed) > LISTED:
+        return table.join(wanted, F.col(by) == F.col("_wanted"), "left_semi")
+    return table.where(F.col(by).isin([r[0] for r in listed]))

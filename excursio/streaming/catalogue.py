@@ -37,16 +37,18 @@ def record_stream(pages: DataFrame, kind: str, settings: Settings = Settings())
     return RECORDS[kind](extract(page_nodes(pages), settings), settings)
 
 
-def write_stream(records_df: DataFrame, location: str, name: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append a record stream to a Parquet table until the input is used up.
-
-    The checkpoint goes below the cluster's shared checkpoint folder unless a
-    place is given.
-    """
-    shared = records_df.sparkSession.conf.get("spark.checkpoint.dir", None)
+def checkpoint_place(spark: SparkSession, name: str, checkpoint: str | None = None) -> str:
+    """Where a stream keeps its progress: below the cluster's shared checkpoint folder unless a place is given."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     place = checkpoint or (f"{shared}/{name}" if shared else None)
     if place is None:
         raise ValueError("give a checkpoint place or set spark.checkpoint.dir")
+    return place
+
+
+def write_stream(records_df: DataFrame, location: str, name: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Append a record stream to a Parquet table until the input is used up."""
+    place = checkpoint_place(records_df.sparkSession, name, checkpoint)
     return (
         records_df.writeStream.format("parquet")
         .outputMode("append")

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from excursio.workload.registry import ORACLES, QUERIES
 
-for _family in ("scalars", "captured", "listings", "earlier_rules", "records", "responses", "files"):
+for _family in ("scalars", "captured", "listings", "earlier_rules", "records", "responses", "files", "runs"):
     import_module(f"excursio.workload.{_family}")
 
 # name -> (query, oracle SQL or None)

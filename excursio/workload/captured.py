@@ -207,14 +207,14 @@ def page_categories(spark, sf):
     return page_catalogue(spark, sf).groupBy("category").agg(F.count("*").alias("pages"))
 
 
-@query(
-    "page_totals",
-    f"""SELECT city, category, CAST(grouping(city, category) AS BIGINT) AS level, count(*) AS pages,
-        CAST(0 AS BIGINT) AS images FROM (
-            SELECT {title_sql('parts[1]')} AS city, {title_sql('parts[2]')} AS category
-            FROM (SELECT {_PARTS} AS parts FROM pages))
-        GROUP BY ROLLUP (city, category)""",
-)
+TOTALS = f"""SELECT city, category, CAST(grouping(city, category) AS BIGINT) AS level, count(*) AS pages,
+    CAST(0 AS BIGINT) AS images FROM (
+        SELECT {title_sql('parts[1]')} AS city, {title_sql('parts[2]')} AS category
+        FROM (SELECT {_PARTS} AS parts FROM pages))
+    GROUP BY ROLLUP (city, category)"""
+
+
+@query("page_totals", TOTALS)
 def page_totals(spark, sf):
     return report.catalogue_totals(report.page_report(raw_pages(spark, sf))).select(
         "city", "category", F.col("level").cast("bigint").alias("level"), "pages", "images"

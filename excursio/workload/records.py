@@ -349,7 +349,7 @@ def plan_week(spark, sf):
 
 _SHOWN = clean_sql(first_sql("name", "slug", "'Experience'"))
 _I = "CAST(i AS INT)"
-_ITEMS = f"""
+ITEMS = f"""
     WITH o AS (SELECT *, {_SHOWN} AS shown, {_KEY} AS key FROM {_O}),
     x AS (
         SELECT page_id, key, shown, 1 AS pos, cover AS u, shown || ' - Cover' AS alt, CAST(NULL AS VARCHAR) AS caption, 'cover' AS type FROM o
@@ -365,12 +365,12 @@ _ITEMS = f"""
     n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rank FROM f)"""
 
 
-@query(
-    "gallery_rows",
-    f"""{_ITEMS} SELECT page_id, 1000000 + {hash32_sql("'gallery:' || key")} % 1000000000 + rank AS id,
+GALLERY = f"""{ITEMS} SELECT page_id, 1000000 + {hash32_sql("'gallery:' || key")} % 1000000000 + rank AS id,
         1000000 + {hash32_sql('key')} % 1000000000 AS activity_id, u AS url,
-        {first_sql('a', 'shown')} AS title, {first_sql('c', 'a', 'shown')} AS description, type, rank AS "order" FROM n""",
-)
+        {first_sql('a', 'shown')} AS title, {first_sql('c', 'a', 'shown')} AS description, type, rank AS "order" FROM n"""
+
+
+@query("gallery_rows", GALLERY)
 def gallery_rows(spark, sf):
     return records.gallery(raw_from_orders(spark, sf), S).select(
         "page_id", F.col("id").cast("bigint").alias("id"), F.col("activity_id").cast("bigint").alias("activity_id"),
@@ -380,7 +380,7 @@ def gallery_rows(spark, sf):
 
 @query(
     "gallery_labels",
-    f"""{_ITEMS}, t AS (SELECT page_id AS p, array_to_string(list_filter(list_value({clean_sql('category')}, {clean_sql('city')}),
+    f"""{ITEMS}, t AS (SELECT page_id AS p, array_to_string(list_filter(list_value({clean_sql('category')}, {clean_sql('city')}),
             lambda s: s <> ''), '|') AS tags, {clean_sql(first_sql('seo_title', 'shown'))} AS meta_title,
             {clean_sql(first_sql('seo_meta', 'substr(about, 1, 160)'))} AS meta_description FROM o)
         SELECT page_id, tags, meta_title, meta_description, count(*) AS images FROM n JOIN t ON n.page_id = t.p
@@ -395,7 +395,7 @@ def gallery_labels(spark, sf):
 
 @query(
     "gallery_unlinked",
-    f"""{_ITEMS} SELECT page_id, 1000000 + {hash32_sql("'gallery:' || key")} % 1000000000 AS activity_id,
+    f"""{ITEMS} SELECT page_id, 1000000 + {hash32_sql("'gallery:' || key")} % 1000000000 AS activity_id,
         count(*) AS images FROM n GROUP BY ALL""",
 )
 def gallery_unlinked(spark, sf):
@@ -407,7 +407,7 @@ def gallery_unlinked(spark, sf):
 
 @query(
     "bundle_metadata",
-    f"""{_ITEMS} SELECT o.page_id, 'Demo' AS provider, coalesce(url, '') AS source_url, slug,
+    f"""{ITEMS} SELECT o.page_id, 'Demo' AS provider, coalesce(url, '') AS source_url, slug,
         CASE WHEN k % 5 <> 0 THEN scraped ELSE '2026-01-01T00:00:00.000Z' END AS scraped_at,
         1 AS total_plans, coalesce(g.images, 0) AS total_gallery_images, {_ID} AS activity_id, {_ID} + 100 AS plan_id
         FROM o LEFT JOIN (SELECT page_id, count(*) AS images FROM n GROUP BY page_id) g USING (page_id)""",
@@ -423,7 +423,7 @@ def bundle_metadata(spark, sf):
 
 @query(
     "bundle_gallery_order",
-    f"""{_ITEMS} SELECT page_id, coalesce(urls, '') AS urls, coalesce(images, 0) AS images FROM o LEFT JOIN (
+    f"""{ITEMS} SELECT page_id, coalesce(urls, '') AS urls, coalesce(images, 0) AS images FROM o LEFT JOIN (
         SELECT page_id, string_agg(u, ' ' ORDER BY rank) AS urls, count(*) AS images FROM n GROUP BY page_id)
         USING (page_id)""",
 )
@@ -567,7 +567,7 @@ def report_bundles(spark, sf):
 
 @query(
     "publish_outbox",
-    f"""{_ITEMS}, r AS (
+    f"""{ITEMS}, r AS (
         SELECT page_id, slug, 1 AS stage, CAST(1 AS BIGINT) AS n, '/api/v1/activity/activityInfo' AS url, {_ID} AS id,
             '2026-01-01T00:00:00.000Z' AS created_at FROM o
         UNION ALL SELECT page_id, slug, 2, 1, '/api/v1/activity/activityInfo/' || slug ||

@@ -30,17 +30,17 @@ RESPONSES = f"""
     FROM <t:events>""".replace("{{", "{").replace("}}", "}")
 
 _R = f"({oracle_facts(RESPONSES, 'events')})"
-_KEPT = f"""
+KEPT = f"""
     SELECT page_id, seq, url, status, replace(body, '"data":[],', '') AS body, regexp_extract(url, '^https?://[^/?#]*([^#]*)', 1) AS key
     FROM {_R} WHERE contains(content_type, 'application/json') AND NOT contains(url, '.js')
     AND NOT contains(url, 'chunk') AND NOT contains(url, 'webpack') AND NOT contains(url, 'analytics')
     AND NOT contains(url, 'gtag') AND NOT contains(url, 'google') AND NOT contains(url, 'ipapi')
     AND TRY_CAST(body AS JSON) IS NOT NULL"""
-_LATEST = f"""
-    SELECT *, min(seq) OVER (PARTITION BY page_id, key) AS pos FROM ({_KEPT})
+LATEST = f"""
+    SELECT *, min(seq) OVER (PARTITION BY page_id, key) AS pos FROM ({KEPT})
     QUALIFY row_number() OVER (PARTITION BY page_id, key ORDER BY seq DESC) = 1"""
 _DATES = f"""
-    SELECT page_id, pos, CAST(body AS JSON) AS j FROM ({_LATEST})
+    SELECT page_id, pos, CAST(body AS JSON) AS j FROM ({LATEST})
     WHERE contains(key, 'bookabledates') AND json_type(body, '$.data') = 'ARRAY' AND json_array_length(body, '$.data') > 0"""
 _PRICING = f"""
     SELECT page_id, CASE WHEN json_type(j, '$.data[0].minPrice') <> 'VARCHAR'
@@ -71,14 +71,14 @@ def api_rejects(spark, sf):
     return responses.api_rejects(captured(spark, sf))
 
 
-@query("api_keep", f"SELECT page_id, seq, url, status, key FROM ({_KEPT})")
+@query("api_keep", f"SELECT page_id, seq, url, status, key FROM ({KEPT})")
 def api_keep(spark, sf):
     return responses.api_keep(captured(spark, sf)).drop("data")
 
 
 @query(
     "api_latest",
-    f"SELECT page_id, key, pos, seq, url, status, json_extract_string(body, '$.data[0].date') AS first_date FROM ({_LATEST})",
+    f"SELECT page_id, key, pos, seq, url, status, json_extract_string(body, '$.data[0].date') AS first_date FROM ({LATEST})",
 )
 def api_latest(spark, sf):
     return latest(spark, sf).select(
@@ -89,7 +89,7 @@ def api_latest(spark, sf):
 
 @query(
     "api_strip",
-    f"SELECT page_id, key, seq FROM ({_LATEST}) WHERE NOT contains(key, 'ipapi') "
+    f"SELECT page_id, key, seq FROM ({LATEST}) WHERE NOT contains(key, 'ipapi') "
     "AND NOT contains(key, 'track/init') AND NOT contains(key, 'track/event')",
 )
 def api_strip(spark, sf):
