@@ -62,9 +62,20 @@ INDEX = "shard long, sizes binary, words binary, keys binary"
 SPACE = "▁"
 #: A single space between characters that nobody takes for white space.
 _DARK = r"[^\s\x00-\x20\x7f-\xa0\xad\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2581\u3000\ufeff]"
-_CUT = re.compile(f"(?<={_DARK}) (?={_DARK})")
-#: A piece that begins and ends with such characters.
-_PLAIN = re.compile(f"{_DARK}(?:.*{_DARK})?", re.DOTALL)
+#: The space comes first, which the search finds fast.
+_CUT = re.compile(f" (?<={_DARK} )(?={_DARK})")
+_ONE_DARK = re.compile(_DARK)
+
+
+class _Dark(dict):
+    """Whether a character is such a one, remembered."""
+
+    def __missing__(self, char: str) -> bool:
+        self[char] = bool(_ONE_DARK.match(char))
+        return self[char]
+
+
+_dark = _Dark()
 
 
 def byte_of_char() -> dict[str, int]:
@@ -113,25 +124,34 @@ class Aligner:
     def aligned(self, pieces: list[str], groups: bool = True) -> Aligned:
         """Alignment of those of the pieces that their tokens spell, each with a space before it."""
         found = self.b.encode(pieces, num_threads=1)
-        spelt = [b"".join([self.bytes_b[k] for k in ids]) for ids in found]
-        good = [(p, ids, x) for p, ids, x in zip(pieces, found, spelt) if x == (" " + p).encode()]
-        # A sees many pieces at a time; those that could meet their neighbours otherwise than in a text alone
-        plain = [g for g in good if _PLAIN.fullmatch(g[0])]
-        odd = [g for g in good if not _PLAIN.fullmatch(g[0])] if len(plain) < len(good) else []
-        good = plain + odd
-        if not good:
+        wanted = [b" " + p.encode() for p in pieces]
+        size = np.fromiter(map(len, wanted), np.int64, len(pieces))
+        of_b = np.fromiter(chain.from_iterable(found), np.int64)
+        n_b = np.fromiter(map(len, found), np.int64, len(pieces))
+        got = np.append(0, np.cumsum(self.size_b[of_b]))[np.append(0, np.cumsum(n_b))]
+        good = np.diff(got) == size
+        # most often all are spelt, which is seen at once
+        if not good.all() or b"".join(map(self.bytes_b.__getitem__, of_b.tolist())) != b"".join(wanted):
+            good = np.array([g and b"".join([self.bytes_b[k] for k in ids]) == w for g, ids, w in zip(good, found, wanted)], bool)
+        # A sees many pieces at a time; those that could meet their neighbours otherwise than in a text alone come last, one by one
+        plain = np.fromiter((p != "" and _dark[p[0]] and _dark[p[-1]] for p in pieces), bool, len(pieces))
+        first, odd = np.flatnonzero(good & plain), np.flatnonzero(good & ~plain)
+        if not len(first) + len(odd):
             return Aligned([], *[np.zeros(0, np.int64)] * 4, [])
-        pieces, found, spelt = zip(*good)
-        given = [" " + " ".join(pieces[k : min(k + 1000, len(plain))]) for k in range(0, len(plain), 1000)] + [" " + p for p in pieces[len(plain) :]]
+        if len(first) < len(pieces):
+            order = np.append(first, odd).tolist()
+            pieces, found = [pieces[k] for k in order], [found[k] for k in order]
+            size, n_b = size[order], n_b[order]
+            of_b = np.fromiter(chain.from_iterable(found), np.int64)
+        n_plain = len(first)
+        given = [" " + " ".join(pieces[k : min(k + 1000, n_plain)]) for k in range(0, n_plain, 1000)] + [" " + p for p in pieces[n_plain:]]
         of_a = np.fromiter(chain.from_iterable(e.ids for e in self.a.encode_batch_fast(given, add_special_tokens=False)), np.int64)
-        of_b = np.fromiter(chain.from_iterable(found), np.int64)
-        last = np.cumsum(np.fromiter(map(len, spelt), np.int64, len(spelt)))
+        last = np.cumsum(size)
         end_a, end_b = np.cumsum(self.size_a[of_a]), np.cumsum(self.size_b[of_b])
         at = np.searchsorted(end_b, end_a)
         link = end_b[np.minimum(at, len(end_b) - 1)] == end_a
         link_a, link_b = np.flatnonzero(link), at[link]
         n_a = np.bincount(np.searchsorted(last, end_a), minlength=len(last))
-        n_b = np.fromiter(map(len, found), np.int64, len(found))
         n_links = np.bincount(np.searchsorted(last, end_a[link]), minlength=len(last))
         texts = self.written(of_a, of_b, link_a, link_b, np.cumsum(n_links) - 1) if groups else []
         return Aligned(list(pieces), n_a, n_b, n_links, of_a[link_a] << 32 | of_b[link_b], texts)
@@ -159,7 +179,7 @@ class Remembered:
         self.young: dict = {}
         self.old: dict = {}
 
-    def texts(self, texts: list[str], step: int = 256) -> Iterator[tuple[list[list[str]], dict]]:
+    def texts(self, texts: list[str], step: int = 2000) -> Iterator[tuple[list[list[str]], dict]]:
         """The pieces of some texts at a time, and a table that holds all of these pieces."""
         for lo in range(0, len(texts), step):
             some = [_CUT.split(t) if t else [] for t in texts[lo : lo + step]]
@@ -219,13 +239,15 @@ def links_of(texts: Iterator[list[str]], known: Remembered) -> Iterator[tuple[np
     for batch in texts:
         for some, table in known.texts(batch):
             times = Counter(chain.from_iterable(some))
-            bad = {p for p in times if table[p] is None}
-            if bad:
+            links = [table[p] for p in times]
+            if None in links:
+                bad = {p for p, x in zip(times, links) if x is None}
                 times = Counter(chain.from_iterable(pieces for pieces in some if bad.isdisjoint(pieces)))
+                links = [table[p] for p in times]
             if not times:
                 continue
-            links = [table[p] for p in times]
-            count = np.repeat(np.fromiter(times.values(), np.int64, len(times)), [len(x) // 8 for x in links])
+            sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
+            count = np.repeat(np.fromiter(times.values(), np.int64, len(times)), sizes)
             keys, n = _added(np.concatenate([keys, np.frombuffer(b"".join(links), np.int64)]), np.concatenate([n, count]))
         if len(keys) >= PAIRS:
             yield keys, n
@@ -322,7 +344,7 @@ def remembered_results(own: Aligner, counts: Counts | SomeCounts) -> Remembered:
         best = np.append(0, np.cumsum(n == counts.best[x.links & 0xFFFFFFFF]))
         sums = np.append(0, np.cumsum(n))
         columns = (x.n_a, x.n_b, x.n_links, best[ends] - best[starts], sums[ends] - sums[starts])
-        return dict(zip(x.pieces, zip(*[c.tolist() for c in columns], x.groups)))
+        return dict(zip(x.pieces, zip(*[c.tolist() for c in columns], x.groups, strict=True), strict=True))
 
     return Remembered(find)
 
@@ -343,11 +365,11 @@ def results(texts: list[str], known: Remembered) -> pa.StructArray:
     rows = []
     for some, table in known.texts(texts):
         for pieces in some:
-            found = [table[p] for p in pieces]
-            if not found or None in found:
+            try:
+                n_a, n_b, n_links, best, sums, groups = zip(*map(table.__getitem__, pieces))
+            except (TypeError, ValueError):  # a piece that its tokens do not spell (None), or no piece
                 rows.append((0, 0, 0, 0, 0, 0, ""))
                 continue
-            n_a, n_b, n_links, best, sums, groups = zip(*found)
             links = sum(n_links)
             rows.append((sum(n_a), sum(n_b), links, links, sum(best), sum(sums), ";".join(groups)))
     kinds = [pa.int64()] * 6 + [pa.string()]
