@@ -68,14 +68,14 @@ _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
 
 DECONTAMINATION = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
-i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws, least(13, len({_WORDS})) AS size FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws, least(13, len({_WORDS})) AS size FROM benchmark),
 iw AS (SELECT DISTINCT item, size, array_to_string(list_slice(ws, k, k + size - 1), ' ') AS s
        FROM (SELECT item, ws, size, unnest(range(1, len(ws) - size + 2)) AS k FROM i WHERE size > 0)),
 dw AS (SELECT r, k, size, array_to_string(list_slice(ws, k, k + size - 1), ' ') AS s
        FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM iw) WHERE len(ws) >= size)),
 hit AS (SELECT r, k, dw.size, item FROM dw JOIN iw ON dw.size = iw.size AND dw.s = iw.s),
 words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + size)) AS p FROM hit) GROUP BY r),
-items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN words ON d.r = words.r LEFT JOIN items ON d.r = items.r
