@@ -8,7 +8,8 @@ others, occur in it; instances that trusted patterns extract count for the next
 end, the trusted patterns mark the unseen identifiers in the texts, never changing base spans.
 
 Trusted patterns go to the executors in blocks of a fixed size, one scan column after another.
-Null counts as empty: no spans. Repeated rows are scanned one by one, but an instance counts
+Words and identifiers of any length are compared whole, long ones by a hash of 128 bits, and texts of any length are
+read whole in about linear time. Null counts as empty: no spans; an empty table gives no rows. Repeated rows are scanned one by one, but an instance counts
 once for a pattern, however many copies it has. Rows and other columns stay as they are.
 """
 
@@ -16,7 +17,9 @@ from __future__ import annotations
 
 import re
 import string
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from itertools import count
 
 import pyarrow as pa
@@ -32,8 +35,8 @@ SUPPORT = 5
 TRUST = 0.7
 #: Trusted patterns that one broadcast holds.
 PATTERNS = 200_000
-#: Code points of a word in a pattern; longer words are compared by both ends.
-WORD = 40
+#: Code points of a word in a pattern, and of an instance, that are written out; longer ones end in a hash of the whole.
+WORD, INSTANCE = 40, 200
 
 Span = tuple[int, int, int]
 
@@ -46,6 +49,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _SIGN = re.compile("[0-9@]")
 _SPACES = " \t\n\x0b\x0c\r"
+_SPACE = re.compile(f"[{_SPACES}]")
 _EDGES = "\"'`.,;:!?()[]{}<>#*$%&|="
 _MORE = re.compile(r" [0-9().-]*[0-9][0-9().-]*")
 _DOUBLE = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -125,37 +129,45 @@ def may_be(kind: int, value: str) -> bool:
     return not letters and len(_DIGIT.findall(value)) >= 7
 
 
+def _short(value: str, most: int) -> str:
+    """A text by which another is the same only if it is the same: itself, or its start and a hash of 128 bits."""
+    return value if len(value) <= most else f"{value[:most]}..{blake2b(value.encode(), digest_size=16).hexdigest()}"
+
+
 def _word(value: str) -> str:
-    value = value.strip(_EDGES).lower()
-    return value if len(value) <= WORD else f"{value[: WORD // 2]}..{value[-WORD // 2 :]}"
+    return _short(value.strip(_EDGES).lower(), WORD)
 
 
-def _before(text: str, end: int) -> tuple[str, int]:
+def _before(text: str, end: int, borders: list[int]) -> tuple[str, int]:
     """The word before a place, and where it starts; empty at the start of the text."""
     while end > 0 and text[end - 1] in _SPACES:
         end -= 1
-    begin = end
-    while begin > 0 and text[begin - 1] not in _SPACES:
+    k = bisect_left(borders, end)
+    begin, least = end, borders[k - 1] if k else 0
+    while begin > least and text[begin - 1] not in _SPACES:
         begin -= 1
     return text[begin:end], begin
 
 
-def patterns(text: str, start: int, end: int) -> tuple[str, ...]:
+def borders_of(found: Iterable[tuple[int, int]]) -> list[int]:
+    """Where identifiers begin and end: words of a pattern end there as well, however long the run without white space is."""
+    return sorted({x for pair in found for x in pair})
+
+
+def patterns(text: str, start: int, end: int, borders: list[int]) -> tuple[str, ...]:
     """The lexical patterns that an identifier stands in."""
-    near, at = _before(text, start)
-    if not near:
+    near, at = _before(text, start, borders)
+    if not near or not (w1 := _word(near)):
         return ()
-    far, _ = _before(text, at)
+    far, _ = _before(text, at, borders)
     begin = end
     while begin < len(text) and text[begin] in _SPACES + _EDGES:
         begin += 1
-    stop = begin
-    while stop < len(text) and text[stop] not in _SPACES and stop - begin <= 2 * WORD:
-        stop += 1
-    if not (w1 := _word(near)):
-        return ()
+    k = bisect_right(borders, begin)
+    stop = borders[k] if k < len(borders) else len(text)
+    m = _SPACE.search(text, begin, stop)
     out = [f"{_word(far)} {w1} _"] if far else []
-    return (*out, f"{w1} _ {_word(text[begin:stop])}")
+    return (*out, f"{w1} _ {_word(text[begin : m.start() if m else stop])}")
 
 
 def edges(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -169,9 +181,10 @@ def edges(docs: DataFrame, text: str = "text") -> DataFrame:
             if value and _SIGN.search(value):
                 seeds = base_spans(value)
                 found = [(s, e, KINDS[k]) for k, s, e in seeds] + [(s, e, None) for s, e in other_identifiers(value, seeds)]
+                borders = borders_of((s, e) for s, e, _ in found)
                 for s, e, kind in found:
-                    instance = value[s:e].lower() if e - s <= 200 else f"{value[s : s + 100]}..{value[e - 100 : e]}".lower()
-                    rows += [{"pattern": p, "instance": instance, "kind": kind} for p in patterns(value, s, e)]
+                    instance = _short(value[s:e].lower(), INSTANCE)
+                    rows += [{"pattern": p, "instance": instance, "kind": kind} for p in patterns(value, s, e, borders)]
             out.append(rows)
         kind = pa.struct([("pattern", pa.string()), ("instance", pa.string()), ("kind", pa.string())])
         return pa.array(out, pa.list_(kind))
@@ -220,8 +233,10 @@ def _marker(shared, mask: bool):
                 if old is not None:
                     added = {tuple(x.values()) for x in old["spans"]} - set(own)
                 if trust:
-                    for s, e in other_identifiers(value, own):
-                        kinds = {trust[p] for p in patterns(value, s, e) if p in trust}
+                    others = list(other_identifiers(value, own))
+                    borders = borders_of([*others, *((s, e) for _, s, e in own)])
+                    for s, e in others:
+                        kinds = {trust[p] for p in patterns(value, s, e, borders) if p in trust}
                         added.update((kind, s, e) for kind in kinds if may_be(kind, value[s:e]))
             every = sorted({*own, *added})
             base.append([dict(zip(("kind", "begin", "end"), x)) for x in own])
