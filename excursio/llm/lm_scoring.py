@@ -2,7 +2,7 @@
 
 Two bigram models over one shared vocabulary of words, by their 64-bit hashes: the target model counts the
 target's documents, the background model counts all documents. Both interpolate bigrams with
-add-one unigrams, over the same words and with the same weights, so that the loss of each word
+add-one unigrams, whose masses sum to one over the same words, with the same weights, so that the loss of each word
 can be compared. A document's score is the mean over its words of target loss minus
 background loss; low scores are like the target.
 
@@ -29,8 +29,6 @@ from pyspark.sql.functions import arrow_udf
 from excursio.llm.shared import SPACE_SEPARATED, fresh, hash_words, in_parts, ready, splitmix, stored, text_buffers, word_spans
 from excursio.operators.linkage import join_children
 
-#: Words that the add-one estimate takes into account beside those counted.
-WORDS = 1 << 18
 #: Pairs with more than this part of all words are broadcast.
 FREQUENT = 500_000
 #: Ids of target documents that are broadcast at most.
@@ -102,7 +100,9 @@ class Models:
         pairs = counted.where("pair IS NOT NULL")
         self.words = stored(pairs.groupBy("word").agg(F.sum("target").alias("n0"), F.sum("total").alias("n1")), "words")
         starts = counted.where("pair IS NULL").agg(F.sum("target"), F.sum("total")).first()
-        self.sums = [x or 0 for x in self.words.agg(F.sum("n0"), F.sum("n1")).first()]
+        *sums, distinct = self.words.agg(F.sum("n0"), F.sum("n1"), F.count("*")).first()
+        #: Words of each model, and of the vocabulary that both share: all words of the corpus, and one for those it lacks.
+        self.sums, self.vocabulary = [x or 0 for x in sums], distinct + 1
         known = join_children(self.words, pairs, ["word"], F.col("pair"))
         before = self.words.select(F.col("word").alias("before"), F.col("n0").alias("b0"), F.col("n1").alias("b1"))
         inner = join_children(before, known.where("before IS NOT NULL"), ["before"], F.col("pair"))
@@ -116,7 +116,7 @@ class Models:
 
     def loss(self, model: int, count: Column, share: Column, some: Column) -> Column:
         """Natural-log loss of a word so often counted; model 0 is the target, 1 the background."""
-        return -F.log(MIX * F.when(some, share).otherwise(0.0) + (1 - MIX) * (count + 1) / float(self.sums[model] + WORDS))
+        return -F.log(MIX * F.when(some, share).otherwise(0.0) + (1 - MIX) * (count + 1) / float(self.sums[model] + self.vocabulary))
 
 
 def fitted(docs: DataFrame, is_target: Column, text: str = "text") -> Models:

@@ -5,10 +5,12 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from excursio.llm import components, decontamination, lm_scoring, pii, quality_classifier, quality_rules, simhash, substring_dedup
 from excursio.llm.shared import hash_shingles, hash_words, text_buffers, word_spans, SPACE_SEPARATED
@@ -142,7 +144,7 @@ def test_lm_losses_by_hand(spark):
     docs = spark.createDataFrame([(1, "a b a b", True), (2, "c d", False), (3, None, None), (4, " ", True)], "doc_id bigint, text string, good boolean")
     models = lm_scoring.fitted(docs, F.col("good"))
     got = {r.doc_id: r.lm for r in lm_scoring.scored(docs, models).collect()}
-    v, mix = lm_scoring.WORDS, lm_scoring.MIX
+    v, mix = models.vocabulary, lm_scoring.MIX
     loss = lambda pair, before, one, total: -np.log(mix * (pair / before if before else 0) + (1 - mix) * (one + 1) / (total + v))
     target = (loss(1, 2, 2, 4) + loss(2, 2, 2, 4) + loss(1, 2, 2, 4) + loss(2, 2, 2, 4)) / 4
     background = (loss(1, 4, 2, 6) + loss(2, 2, 2, 6) + loss(1, 2, 2, 6) + loss(2, 2, 2, 6)) / 4
@@ -211,6 +213,32 @@ def test_pii_on_odd_rows(odd):
     assert pii.masked(odd).columns == odd.columns and pii.found(odd.limit(0)).count() == 0
 
 
+def test_long_words_and_identifiers_are_compared_whole():
+    a, b = ("w" * 50 + c + "w" * 50 for c in "xy")
+    seen = lambda t: pii.patterns(t, t.index("9"), t.index("9") + 4, [t.index("9"), t.index("9") + 4])
+    for text in ("far {} 9999 end", "{} by 9999 end", "far by 9999 {}"):
+        assert set(seen(text.format(a))) & set(seen(text.format(b))) == (set(seen("far by 9999 .")[:1]) if text.endswith("{}") else set(
+            seen("x by 9999 end")[1:]) if text.startswith("{}") else set())
+    assert pii._short("1" * 100 + "2" + "1" * 100, 200) != pii._short("1" * 100 + "3" + "1" * 100, 200)
+
+
+def test_many_identifiers_without_white_space(spark):
+    """A run of 20,000 addresses is read in about linear time."""
+    text = "mail: " + ",".join(f"a{k}@b.cc" for k in range(20_000))
+    row = pii.found(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert len(row.pii.base) == 20_000
+
+
+def test_unigram_masses_sum_to_one(spark):
+    texts = [("a b a c", True), ("a d", False), ("e e e", False)]
+    models = lm_scoring.fitted(spark.createDataFrame(texts, "text string, good boolean"), F.col("good"))
+    words = models.words.collect()
+    for m, column in ((0, "n0"), (1, "n1")):
+        total = models.sums[m] + models.vocabulary
+        assert sum((r[column] + 1) / total for r in words) + 1 / total == pytest.approx(1)
+    assert models.vocabulary == 6
+
+
 # --- 6: decontamination ---
 
 def brute_hits(docs, items):
@@ -218,8 +246,8 @@ def brute_hits(docs, items):
     for i, text in items:
         words = PLAIN.findall((text or "").translate(LOWER))
         n = min(13, len(words))
-        for k in range(len(words) - n + 1 if n and i is not None else 0):
-            windows[tuple(words[k : k + n])].add(str(i))
+        for k in range(len(words) - n + 1 if n else 0):
+            windows[tuple(words[k : k + n])].add(i)
     sizes = {len(w) for w in windows}
     out = []
     for text in docs:
@@ -228,7 +256,7 @@ def brute_hits(docs, items):
             for k in range(len(words) - n + 1):
                 if ids := windows.get(tuple(words[k : k + n])):
                     hit.update(range(k, k + n))
-                    found |= ids
+                    found |= {str(i) for i in ids if i is not None}
         out.append((len(words), sorted(hit), sorted(found)))
     return out
 
@@ -247,6 +275,29 @@ def test_hits(spark, odd, block_bytes):
     assert decontamination.scanned(odd.limit(0), bench).count() == 0
 
 
+def test_windows_take_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    items = [(str(k), " ".join(f"w{x}" for x in rng.integers(0, 60_000, 200))) for k in range(900)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    held = decontamination.Windows(items)
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(held.by_size[13].hashes) == 900 * 188
+    assert kept < 12 * size and most < 40 * size
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    """All windows meet under one hash; the words decide."""
+    monkeypatch.setattr(decontamination, "hash_shingles", lambda words, size: np.zeros(max(len(words) - size + 1, 0), np.uint64))
+    items = [("a", "x y z"), ("b", "p q r"), (None, "k l m"), ("c", "x y z"), ("a", "x y z")]
+    got = decontamination.Windows(items).scan(pa.array(["o p q r x y z", "k l m n", "y z x", None, ""]))
+    assert [(n, w.tolist(), sorted(i)) for n, w, i in got] == [
+        (7, [1, 2, 3, 4, 5, 6], ["a", "b", "c"]), (4, [0, 1, 2], []), (3, [], []), (0, [], []), (0, [], [])]
+
+
 def test_spans_are_cut(spark):
     docs = spark.createDataFrame([(1, "keep this. One, two three! And that"), (2, None)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
@@ -440,12 +491,12 @@ def test_lm_counts_keep_pairs_apart(spark):
                                  "doc_id bigint, text string, good boolean")
     models = lm_scoring.fitted(docs, F.col("good"))
     assert models.losses.count() == n * 10 + 3 and models.words.count() == n * 10 + 2
-    one = -np.log(lm_scoring.MIX + (1 - lm_scoring.MIX) * 2 / (n * 10 + 4 + lm_scoring.WORDS))
-    first = -np.log(lm_scoring.MIX / (n // 10 + 1) + (1 - lm_scoring.MIX) * 2 / (n * 10 + 4 + lm_scoring.WORDS))
+    one = -np.log(lm_scoring.MIX + (1 - lm_scoring.MIX) * 2 / (n * 10 + 4 + models.vocabulary))
+    first = -np.log(lm_scoring.MIX / (n // 10 + 1) + (1 - lm_scoring.MIX) * 2 / (n * 10 + 4 + models.vocabulary))
     for r in lm_scoring.scored(docs, models).where("doc_id >= 0").select("doc_id", "lm.*").collect():
         assert r.n_words == 100 and abs(r.background_loss - (99 * one + first) / 100) < 1e-9
     new = lm_scoring.scored(spark.createDataFrame([("z x5 q",)], "text string"), models).first().lm  # pairs never counted
-    base = lambda c: -np.log((1 - lm_scoring.MIX) * (c + 1) / (n * 10 + 4 + lm_scoring.WORDS))
+    base = lambda c: -np.log((1 - lm_scoring.MIX) * (c + 1) / (n * 10 + 4 + models.vocabulary))
     assert abs(new.background_loss - (base(2) + base(1) + base(0)) / 3) < 1e-9
 
 
