@@ -40,16 +40,25 @@ def write_table(df: DataFrame, location: str, fmt: str = "parquet") -> None:
 def latest_per_slug(bundle: DataFrame) -> DataFrame:
     """One bundle per slug: the last one captured, ties by page number.
 
-    ``max_by`` combines before the shuffle, so a slug that very many pages share
-    sends one bundle per task. Bundles are wide, so Spark sorts a task's rows to combine them.
+    Which bundle is the last of its slug is settled on slug, time and page alone, which
+    combine before the shuffle. Only the bundles that stay are moved; where they are few, the pages
+    they are of go into the filter, so that no others are read or worked out. The bundles are
+    read twice: rows whose ``page_id`` is drawn anew each time must be written first.
     """
-    named = bundle.select(
-        F.expr(fallback("metadata.slug", "'output'")).alias("slug"),
-        F.struct("page_id", "activity", "plans", "gallery", "metadata").alias("b"),
-    )
+    slug = F.expr(fallback("_slug", "'output'")).alias("slug")
+    at = F.struct(F.col("_captured").alias("scraped_at"), "page_id").alias("_at")
+    # Bare fields first: Spark then works out these two of the metadata and no others.
+    keys = [F.col("metadata.slug").alias("_slug"), F.col("metadata.scraped_at").alias("_captured")]
+    last = kept(bundle.select("page_id", *keys).select(slug, at).groupBy("slug").agg(F.max("_at").alias("_at")), "last-of-slug")
+    listed = [r.page_id for r in last.select("_at.page_id").limit(LISTED + 1).collect()]
+    if len(listed) <= LISTED:
+        bundle = bundle.where(F.col("page_id").isin([p for p in listed if p is not None]) | F.col("page_id").isNull())
+    named = bundle.select("*", *keys).select(slug, at, F.struct("page_id", "activity", "plans", "gallery", "metadata").alias("b"))
+    # Grouped by what was joined on, so a large catalogue is not moved again.
     return (
-        named.groupBy("slug")
-        .agg(F.max_by("b", F.struct("b.metadata.scraped_at", "b.page_id")).alias("b"))
+        named.join(last, ["slug", "_at"], "left_semi")
+        .groupBy("slug", "_at")
+        .agg(F.max_by("b", "_at").alias("b"))
         .select("slug", "b.*")
     )
 

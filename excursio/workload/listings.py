@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from excursio.operators import page_fields as pf
 from excursio.settings import Settings
-from excursio.sources.pages import page_nodes, spread
-from excursio.workload.registry import cores, each_row, oracle_facts, pick, query, spark_facts
+from excursio.sources.pages import page_nodes
+from excursio.workload.registry import each_row, oracle_facts, pick, query, spark_facts
 
 _K = "CAST(p_partkey AS <string>)"
 FACTS = f"""
@@ -157,7 +157,7 @@ PAGE = _html(
 
 
 def rendered(spark, sf, page: str = PAGE):
-    facts = spread(spark_facts(FACTS, spark, sf, "part"), cores(spark))
+    facts = spark_facts(FACTS, spark, sf, "part", deal="p_partkey")
     return facts.select("page_id", "url", F.expr(page).alias("html"))
 
 

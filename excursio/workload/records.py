@@ -9,11 +9,10 @@ from excursio.operators import linkage, publish, records, report
 from excursio.schemas import RAW, parsed
 from excursio.settings import Settings, WEEK
 from excursio.sources import records as record_source
-from excursio.sources.pages import spread
 from excursio.sources.sinks import bundle_lines, latest_per_slug, table_lines
 from excursio.workload.captured import category_sql
 from excursio.workload.registry import (
-    clean_sql, cores, each_row, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
+    clean_sql, each_row, first_sql, hash32_sql, oracle_facts, pick, query, spark_facts, table,
 )
 
 S = Settings(provider="Demo")
@@ -120,7 +119,7 @@ def raw_from_orders(spark, sf):
             scrapedAt="CASE WHEN k % 5 <> 0 THEN scraped END", pageUrl="url", totalImages="0"
         ),
     }
-    facts = spread(spark_facts(FACTS, spark, sf, "orders"), cores(spark))
+    facts = spark_facts(FACTS, spark, sf, "orders", deal="o_orderkey")
     return facts.select(
         *[F.expr(values.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in parsed(RAW).fields]
     )
@@ -606,7 +605,7 @@ _JSON = """
 )
 def json_records(spark, sf):
     """Records with a page_id of their own."""
-    raw = record_source.raw_from_json_text(spread(spark_facts(_JSON, spark, sf, "events"), cores(spark)))
+    raw = record_source.raw_from_json_text(spark_facts(_JSON, spark, sf, "events", deal="event_id"))
     b = records.bundle(raw, S)
     return b.select(
         "page_id", "activity.slug", "activity.name",

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from excursio.sources.pages import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -48,8 +50,12 @@ def pick(number: str, *values: str) -> str:
     return f"CASE ({number}) % {len(values)} {arms} END"
 
 
-def spark_facts(template: str, spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    """Run a shared SELECT on Spark; ``{t:name}`` marks the tables."""
+def spark_facts(template: str, spark: SparkSession, sf_dir: str, *names: str, deal: str | None = None) -> DataFrame:
+    """Run a shared SELECT on Spark; ``{t:name}`` marks the tables.
+
+    ``deal`` names the column by which a table of few splits is dealt out: its few columns
+    move, not the wide rows made of them.
+    """
     text = template
     for key, value in _SPARK.items():
         text = text.replace(f"<{key}>", value)
@@ -57,7 +63,8 @@ def spark_facts(template: str, spark: SparkSession, sf_dir: str, *names: str) ->
     frames = {}
     for name in names:
         text = text.replace(f"<t:{name}>", "{" + name + "}")
-        frames[name] = table(spark, sf_dir, name)
+        rows = table(spark, sf_dir, name)
+        frames[name] = rows if deal is None else spread(rows, 4 * cores(spark), deal)
     return spark.sql(text, **frames)
 
 

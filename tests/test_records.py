@@ -292,6 +292,38 @@ def test_resolved_ids_against_rounds_in_python(spark):
         resolved_ids(df, span=50, rounds=3)
 
 
+def test_resolved_ids_of_more_records_than_the_range_holds(spark):
+    df = spark.range(600).selectExpr("id AS page_id", "concat('u', id) AS url")
+    got = resolved_ids(df, span=1000).collect()
+    ids = [i for r in got for i in (r.activity_id, r.plan_id)]
+    assert {r.page_id for r in got} == set(range(600)) and len(set(ids)) == 1200
+    assert all(r.activity_id < 1_001_000 for r in got if r.attempt < 6) and max(r.attempt for r in got) < 12
+
+
+@pytest.mark.parametrize("listed", [10_000, 1])
+def test_latest_per_slug_by_filter_and_by_join(spark, monkeypatch, listed):
+    """Ties, null times and pages, repeated rows; bundles are worked out for the last ones only."""
+    from excursio.sources import sinks
+
+    monkeypatch.setattr(sinks, "LISTED", listed)
+    b = bundles(spark, *[{**MUSEUM, "slug": s} for s in ("a", "a", "b", "", "c", "c")])
+    times = "CASE page_id WHEN 0 THEN '2' WHEN 1 THEN '2' WHEN 4 THEN '1' END"
+    b = b.withColumn("metadata", F.col("metadata").withField("scraped_at", F.expr(times)))
+    b = b.withColumn("page_id", F.expr("CASE WHEN page_id <> 2 THEN page_id END")).union(b.where("page_id = 1"))
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        calls.add(1)
+        return x
+
+    b = b.withColumn("plans", F.when(F.udf(seen, "bigint")(F.coalesce("page_id", F.lit(0))) >= 0, F.col("plans")))
+    got = sinks.latest_per_slug(b)
+    assert calls.value == 0  # the last bundle of a slug is found without its contents
+    rows = {r.slug: r for r in got.collect()}
+    assert {s: r.page_id for s, r in rows.items()} == {"a": 1, "b": None, "output": 3, "c": 4}
+    assert all(r.activity.name == "City Museum" and len(r.plans) == 1 for r in rows.values())
+
+
 def test_a_cluster_needs_a_shared_folder():
     from types import SimpleNamespace
 
