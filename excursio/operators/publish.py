@@ -87,21 +87,25 @@ def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
     changed back. Of results of the same time a failure counts, as to send again does no harm.
     A null slug is a slug like any other.
 
-    What is decided is narrow: keys and digests, each once. The requests, with their bodies, are filtered by the
-    keys that are left, which Spark broadcasts if they are few. Give a written table:
-    the requests are read twice.
+    What is decided is narrow. Requests without a ``body`` are joined to the last results
+    and read once. Those with one are filtered by the keys and digests that are left,
+    which Spark broadcasts if they are few: they are read twice, so give a written table.
     """
     key = ["slug", "stage", "n"]
+    # One struct: nulls in it are equal, and results are not dealt out again between aggregate and join.
+    whole = F.struct(*key).alias("_key")
     good = F.expr("coalesce(status BETWEEN 200 AND 299, false)")
-    last = results.groupBy(*key).agg(F.max(F.struct("at", (~good).alias("failed"), "digest")).alias("last"))
-    settled = last.where("NOT last.failed").select(*key, "last.digest")
-    wanted = requests.select(*key, "digest").distinct()
+    last = results.groupBy(whole).agg(F.max(F.struct("at", (~good).alias("failed"), "digest")).alias("_last"))
+    settled = last.where("NOT _last.failed").select("_key", F.col("_last.digest").alias("_said"), F.lit(True).alias("_settled"))
 
-    def without(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        a, b = rows.alias("a"), other.alias("b")
-        return a.join(b, reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "digest")]), how)
+    def left(rows: DataFrame) -> DataFrame:
+        joined = rows.select("*", whole).join(settled, "_key", "left")
+        return joined.where("_settled IS NULL OR NOT _said <=> digest").select(*rows.columns)
 
-    return without(requests, without(wanted, settled, "left_anti"), "left_semi")
+    if "body" not in requests.columns:
+        return left(requests)
+    a, b = requests.alias("a"), left(requests.select(*key, "digest").distinct()).alias("b")
+    return a.join(b, reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "digest")]), "left_semi")
 
 
 def normalise(results: DataFrame) -> DataFrame:

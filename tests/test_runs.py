@@ -78,6 +78,21 @@ def test_pending(spark, results, left):
     assert twice.count() == 2 * left and twice.columns == box.columns
 
 
+def test_pending_writes_and_moves_no_bodies(spark, monkeypatch):
+    from excursio.workload import runs
+
+    monkeypatch.setattr(runs, "kept", lambda *a: pytest.fail("requests are written"))
+    assert runs.publish_pending(spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("body", [False, True])
+def test_pending_of_null_keys_and_digests(spark, body):
+    box = spark.createDataFrame([(None, None, 1, None, 7), ("s", 1, 1, "a", 8)], "slug string, stage int, n int, digest string, page_id bigint")
+    box = box.withColumn("body", F.lit("{}")) if body else box
+    done = spark.createDataFrame([(None, None, 1, 200, None, 1)], "slug string, stage int, n int, status int, digest string, at int")
+    assert [r.page_id for r in publish.pending(box, done).collect()] == [8]
+
+
 def capture(page, seq, hour, body='{"data":[{"date":"d1","minPrice":5,"capacity":2}]}', url="https://h/api/bookabledates?id=1"):
     return (page, seq, url, 200, "application/json", body, datetime(2026, 1, 1, hour))
 
