@@ -36,11 +36,11 @@ def distinct_longer(items: Sql, n: int) -> Sql:
 
 def _by_key(items: Sql, key: Callable[[Sql], Sql], sign: str) -> Sql:
     def pick(a: Sql) -> Sql:
-        order = f"array_sort({each(a, lambda x, i: struct(k=key(x), i=f'{sign}{i}'))})"
+        order = f"sort_array({each(a, lambda x, i: struct(k=key(x), i=f'{sign}{i}'))})"
         kept = let(
             order, lambda s: keep(s, lambda x, i: f"({i} = 0 OR get({s}, {i} - 1).k <> {x}.k)")
         )
-        positions = f"array_sort({each(kept, lambda x: f'{sign}{x}.i')})"
+        positions = f"sort_array({each(kept, lambda x: f'{sign}{x}.i')})"
         return each(positions, lambda i: f"get({a}, {i})")
 
     return let(items, pick)

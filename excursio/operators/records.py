@@ -266,37 +266,40 @@ def plan_rules(settings: Settings) -> dict[str, Sql]:
     }
 
 
-def gallery_items(linked: bool = True) -> Sql:
-    """Gallery records of one page, in order, as an array.
+def gallery_shots() -> Sql:
+    """Pictures of one page that stay, in order, as they were captured.
 
-    Cover, hero, hero images, page gallery; first of each address wins. Not
-    ``linked`` takes the gallery's own base number as activity id.
+    Cover, hero, hero images, page gallery; first of each address wins.
     """
-    def item(url: Sql, alt: Sql, title: Sql, caption: Sql, kind: Sql) -> Sql:
-        shown = clean(fallback(alt, title, caption, "_shown"))
-        return struct(url=url, alt=shown, caption=clean(fallback(caption, alt)), kind=kind)
-
     def lead(url: Sql, suffix: str, kind: str) -> Sql:
         none = null("STRING")
         alt = f"concat(_shown, {quote(' - ' + suffix)})"
-        return f"array({item(url, alt, none, none, quote(kind))})"
+        return f"array({struct(url=url, alt=alt, title=none, caption=none, kind=quote(kind))})"
 
     def listed(images: Sql, kind: str) -> Sql:
         return each(
-            f"coalesce({images}, array())",
-            lambda i: item(f"{i}.url", f"{i}.alt", f"{i}.title", f"{i}.caption",
-                           fallback(f"{i}.type", quote(kind))),
+            usable_of(f"coalesce({images}, array())"),
+            lambda i: struct(url=f"{i}.url", alt=f"{i}.alt", title=f"{i}.title", caption=f"{i}.caption",
+                             kind=fallback(f"{i}.type", quote(kind))),
         )
 
+    def usable_of(images: Sql) -> Sql:
+        return keep(images, lambda i: usable(f"{i}.url", GALLERY_JUNK))
+
     chain = "concat(" + ", ".join((
-        lead("hero.coverImage", "Cover", "cover"),
-        lead("hero.heroImage", "Hero", "hero"),
+        usable_of(lead("hero.coverImage", "Cover", "cover")),
+        usable_of(lead("hero.heroImage", "Hero", "hero")),
         listed("hero.images", "hero_gallery"),
         listed("gallery", "gallery"),
     )) + ")"
-    kept = first_by_key(
-        keep(chain, lambda i: usable(f"{i}.url", GALLERY_JUNK)), lambda i: f"{i}.url"
-    )
+    return first_by_key(chain, lambda i: f"{i}.url")
+
+
+def gallery_items(linked: bool = True, shots: Sql = "_shots") -> Sql:
+    """Gallery records of one page out of its pictures, in order, as an array.
+
+    Not ``linked`` takes the gallery's own base number as activity id.
+    """
     tags = keep(
         f"array({clean('hero.category')}, {clean('hero.city')})", lambda t: f"{t} <> ''"
     )
@@ -313,6 +316,12 @@ def gallery_items(linked: bool = True) -> Sql:
         now="_now",
     )
 
+    def cleaned(p: Sql, i: Sql) -> Sql:
+        return struct(
+            url=f"{i}.url", alt=clean(fallback(f"{i}.alt", f"{i}.title", f"{i}.caption", f"{p}.shown")),
+            caption=clean(fallback(f"{i}.caption", f"{i}.alt")), kind=f"{i}.kind",
+        )
+
     def record(p: Sql, i: Sql, pos: Sql) -> Sql:
         return struct(
             id=f"{p}.base + {pos} + 1",
@@ -329,7 +338,7 @@ def gallery_items(linked: bool = True) -> Sql:
             updated_at=f"{p}.now",
         )
 
-    return let(page, lambda p: each(kept, lambda i, pos: record(p, i, pos)))
+    return let(page, lambda p: each(each(shots, lambda i: cleaned(p, i)), lambda i, pos: record(p, i, pos)))
 
 
 def _flat(rules: dict[str, Sql]) -> list:
@@ -351,7 +360,7 @@ def gallery(
     linked: bool = True,
 ) -> DataFrame:
     """Gallery images, one row each."""
-    items = prepare(raw, settings, custom_id).select(
+    items = prepare(raw, settings, custom_id).select("*", F.expr(gallery_shots()).alias("_shots")).select(
         "page_id", F.expr(gallery_items(linked)).alias("g")
     )
     # The plain generator would make the optimizer filter on size(g) first and
@@ -361,24 +370,22 @@ def gallery(
 
 def bundle(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql | None = None) -> DataFrame:
     """Activity, plans, gallery and metadata of each page, without a shuffle."""
-    prepared = prepare(raw, settings, custom_id).select(
-        "*", F.expr(gallery_items()).alias("_gallery"),
-        F.expr(f"array({struct(**plan_rules(settings))})").alias("_plans"),
-    )
+    prepared = prepare(raw, settings, custom_id).select("*", F.expr(gallery_shots()).alias("_shots"))
     meta = struct(
         provider=quote(settings.provider),
         source_url=text("url"),
         slug=text("slug"),
         scraped_at=fallback("metadata.scrapedAt", quote(settings.run_iso)),
         generated_at=quote(settings.run_iso),
-        total_plans="size(_plans)",
-        total_gallery_images="size(_gallery)",
+        # One plan to a page; counted before records are made, so that a count alone makes none.
+        total_plans="1",
+        total_gallery_images="size(_shots)",
     )
     return prepared.select(
         "page_id",
         F.expr(struct(**activity_rules(settings))).alias("activity"),
-        F.col("_plans").alias("plans"),
-        F.col("_gallery").alias("gallery"),
+        F.expr(f"array({struct(**plan_rules(settings))})").alias("plans"),
+        F.expr(gallery_items()).alias("gallery"),
         F.expr(meta).alias("metadata"),
     )
 

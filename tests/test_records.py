@@ -441,3 +441,11 @@ def test_responses_are_worked_out_once(spark, tmp_path, monkeypatch):
     build_catalogue(spark, PAGES, str(tmp_path / "out"), at)
     assert calls == [1]
     assert spark.read.parquet(str(tmp_path / "out" / "api_rejects")).count() == 1
+
+
+def test_bundle_metadata_makes_no_plans_and_images(spark):
+    """Counts come from what is captured; records nobody reads are not made."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    plan = bundles(spark, MUSEUM).select("metadata")._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "gallery:" not in plan and "-entry-ticket" not in plan
