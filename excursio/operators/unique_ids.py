@@ -12,6 +12,8 @@ from excursio.functions.sql import Sql
 from excursio.sources.scratch import kept
 
 FIRST, SPAN, PLAN_STEP = 1_000_000, 1_000_000_000, 100
+#: Rounds that keep to a range too narrow for its records.
+NARROW_ROUNDS = 6
 
 
 def candidate(attempt: int, span: int = SPAN) -> Sql:
@@ -38,15 +40,21 @@ def resolved_ids(pages: DataFrame, key: Sql = "url", span: int = SPAN, rounds: i
 
     A record is four numbers here, claims combine before the shuffle, and a round after the first
     reads of the settled ids only those that its few proposals meet. The range must hold
-    the records with room to spare: with a quarter of it taken, there is an error after ``rounds``.
+    the records with room to spare. If their ids fill more than half of ``span``, rounds would be
+    without end (pairs placed at random jam a range at 1 - e^-2 of it); from round ``NARROW_ROUNDS``
+    on proposals are then drawn from all ``SPAN`` ids. Records left after ``rounds`` are an error.
     """
     todo = pages.where("page_id IS NOT NULL").select("page_id", F.coalesce(F.expr(key).cast("string"), F.lit("")).alias("_key"))
     todo = todo.groupBy("page_id").agg(F.min("_key").alias("_key"))
     settled: list[DataFrame] = []
+    wide = span
     for attempt in range(rounds):
-        todo = kept(todo.select("page_id", "_key", F.expr(candidate(attempt, span)).alias("id")), "proposals")
+        drawn = candidate(attempt, span if attempt < NARROW_ROUNDS else wide)
+        todo = kept(todo.select("page_id", "_key", F.expr(drawn).alias("id")), "proposals")
         if todo.isEmpty():
             break
+        if attempt == 0 and 4 * todo.count() > span:
+            wide = max(span, SPAN)
         own = _claims(todo).select("slot", F.struct(F.lit(1).alias("late"), "page_id").alias("claim"))
         if settled:
             taken = reduce(DataFrame.unionByName, [_claims(s) for s in settled]).join(own.select("slot").distinct(), "slot", "left_semi")
