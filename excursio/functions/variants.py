@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from excursio.functions.sql import Sql, each, quote, struct, when
+from excursio.functions.sql import Sql, each, let, quote, struct, when
 
 _NESTED = "'^(OBJECT|ARRAY)'"
 
@@ -19,10 +19,6 @@ def kind(v: Sql, path: str = "$") -> Sql:
     return f"schema_of_variant({at(v, path)})"
 
 
-def is_object(v: Sql, path: str = "$") -> Sql:
-    return f"coalesce({kind(v, path)} LIKE 'OBJECT%', false)"
-
-
 def is_list(v: Sql, path: str = "$") -> Sql:
     return f"coalesce({kind(v, path)} LIKE 'ARRAY%', false)"
 
@@ -54,30 +50,37 @@ def listed(v: Sql, path: str = "$") -> Sql:
     return f"try_variant_get({v}, {quote(path)}, 'array<variant>')"
 
 
-def typed(v: Sql, path: str, to: T.DataType, own: dict[str, Sql] | None = None) -> Sql:
-    """What stands at a path, as a type; what does not fit counts as missing, its neighbours stay.
+def opened(v: Sql, names: list[str], kinds: dict[str, str] | None = None) -> Sql:
+    """Fields of an object as a struct, in one pass over it; null for anything else.
 
-    ``own`` has expressions for paths with rules of their own.
+    A field is a VARIANT unless ``kinds`` names another type; what does not fit that type is null.
     """
-    if own and path in own:
-        return own[path]
+    fields = ", ".join(f"`{n}`: {(kinds or {}).get(n, 'variant')}" for n in names)
+    return f"try_variant_get({v}, '$', {quote(f'struct<{fields}>')})"
+
+
+def typed(v: Sql, to: T.DataType) -> Sql:
+    """A VARIANT as a type; what does not fit counts as missing, its neighbours stay."""
     if isinstance(to, T.VariantType):
-        return at(v, path)
+        return v
     if isinstance(to, T.StringType):
-        return scalar(v, path)
+        return scalar(v)
     if isinstance(to, T.ArrayType):
         if isinstance(to.elementType, T.VariantType):
-            return listed(v, path)
-        return each(listed(v, path), lambda e: typed(e, "$", to.elementType))
+            return listed(v)
+        return each(listed(v), lambda e: typed(e, to.elementType))
     if isinstance(to, T.MapType):
-        whole = f"try_variant_get({v}, {quote(path)}, 'map<string,variant>')"
+        whole = f"try_variant_get({v}, '$', 'map<string,variant>')"
         if isinstance(to.valueType, T.VariantType):
             return whole
-        entries = each(f"map_entries({whole})", lambda e: struct(key=f"{e}.key", value=typed(f"{e}.value", "$", to.valueType)))
+        entries = each(f"map_entries({whole})", lambda e: struct(key=f"{e}.key", value=typed(f"{e}.value", to.valueType)))
         return f"map_from_entries({entries})"
     if isinstance(to, T.StructType):
-        fields = {f.name: typed(v, f"{path}.{f.name}", f.dataType, own) for f in to.fields}
-        return when(is_object(v, path), struct(**fields))
-    return f"try_variant_get({v}, {quote(path)}, {quote(to.simpleString())})"
+        return let(opened(v, to.fieldNames()), lambda o: typed_fields(o, to))
+    return f"try_variant_get({v}, '$', {quote(to.simpleString())})"
 
 
+def typed_fields(o: Sql, to: T.StructType, own: dict[str, Sql] | None = None) -> Sql:
+    """An object that is ``opened`` as a struct of types. ``own`` has expressions for fields with rules of their own."""
+    fields = {f.name: (own or {}).get(f.name) or typed(f"{o}.`{f.name}`", f.dataType) for f in to.fields}
+    return when(f"{o} IS NOT NULL", struct(**fields))

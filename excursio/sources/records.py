@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from excursio.functions.sql import Sql, all_of, case, coalesce, each, let, quote, some, struct, when
 from excursio.functions.text import json_or_null, repeated_keys
-from excursio.functions.variants import given, is_list, is_number, is_object, is_text, kind, listed, typed
+from excursio.functions.variants import given, is_list, is_number, is_text, kind, listed, opened, typed, typed_fields
 from excursio.schemas import API_RESPONSES, RAW, RAW_JSON, parsed
 
 
@@ -27,20 +27,14 @@ def _number(v: Sql) -> Sql:
 
 def _image(v: Sql) -> Sql:
     """An image is an object with an address or just the address."""
-    def get(field: str, kind: str = "string") -> Sql:
-        return f"try_variant_get({v}, '$.{field}', '{kind}')"
+    kinds = dict.fromkeys(("alt", "title", "caption", "type"), "string") | dict.fromkeys(("width", "height", "sequence"), "int")
 
-    def is_text(x: Sql) -> Sql:
-        return f"schema_of_variant({x}) = 'STRING'"
+    def build(o: Sql) -> Sql:
+        given = when(is_text(f"{o}.url"), f"try_variant_get({o}.url, '$', 'string')")
+        plain = when(is_text(v), f"try_variant_get({v}, '$', 'string')")
+        return struct(url=when(f"{o} IS NOT NULL", given, plain), **{k: f"{o}.{k}" for k in kinds})
 
-    url = f"variant_get({v}, '$.url')"
-    return struct(
-        url=when(
-            is_text(v), f"try_variant_get({v}, '$', 'string')", when(is_text(url), get("url"))
-        ),
-        alt=get("alt"), title=get("title"), caption=get("caption"), type=get("type"),
-        width=get("width", "int"), height=get("height", "int"), sequence=get("sequence", "int"),
-    )
+    return let(opened(v, ["url", *kinds], kinds), build)
 
 
 def settle(records: DataFrame) -> DataFrame:
@@ -95,21 +89,42 @@ _TEXTS = ("description.full", "timings.closedDays")
 _ELEMENTS = ("hero.images", "gallery", "nearbyAttractions")
 
 
+#: The object itself, and the names of its fields that are objects, opened.
+_OPENED = "_o"
+
+
+def _field(path: str) -> Sql:
+    """A field of a record as VARIANT, in the columns that ``_opened_records`` adds."""
+    outer, _, inner = path.rpartition(".")
+    return f"{_OPENED}_{outer}.`{inner}`" if outer else f"{_OPENED}.`{inner}`"
+
+
 def _refusal(v: Sql) -> Sql:
     """Why no record can be made of a JSON value; null if one can."""
-    rules = [(f"{v} IS NULL", "not JSON"), (f"NOT {is_object(v)}", "not an object")]
-    rules += [(f"{given(v, '$.' + f)} AND NOT {is_list(v, '$.' + f)}", f"{f} is not a list") for f in _LISTS]
-    rules += [(f"{given(v, '$.' + f)} AND NOT {is_text(v, '$.' + f)}", f"{f} is not a text") for f in _TEXTS]
-    rules += [(some(listed(v, "$." + f), lambda e: f"({e} IS NULL OR is_variant_null({e}))"), f"{f} holds null") for f in _ELEMENTS]
+    prices = _field("ticketPrices.prices")
+    rules = [(f"{v} IS NULL", "not JSON"), (f"{_OPENED} IS NULL", "not an object")]
+    rules += [(f"{given(_field(f))} AND NOT {is_list(_field(f))}", f"{f} is not a list") for f in _LISTS]
+    rules += [(f"{given(_field(f))} AND NOT {is_text(_field(f))}", f"{f} is not a text") for f in _TEXTS]
+    rules += [(some(listed(_field(f)), lambda e: f"({e} IS NULL OR is_variant_null({e}))"), f"{f} holds null") for f in _ELEMENTS]
+    details = _field("ticketPrices.packageDetails")
     rules += [
-        (some(listed(v, "$.terms"), lambda e: f"NOT {is_text(e)}"), "terms holds what is no text"),
-        (f"{is_text(v, '$.ticketPrices.packageDetails')} AND {given(v, '$.ticketPrices.packageDetails')}", "ticketPrices.packageDetails is not a list"),
-        (f"NOT {is_number(v, '$.ticketPrices.minPrice')} AND NOT coalesce({kind(v, '$.ticketPrices.prices[0]')} IN ('STRING', 'VOID'), true)",
+        (some(listed(_field("terms")), lambda e: f"NOT {is_text(e)}"), "terms holds what is no text"),
+        (f"{is_text(details)} AND {given(details)}", "ticketPrices.packageDetails is not a list"),
+        (f"NOT {is_number(_field('ticketPrices.minPrice'))} AND NOT coalesce({kind(prices, '$[0]')} IN ('STRING', 'VOID'), true)",
          "ticketPrices.prices[0] is not a text"),
     ]
     return case(*[(test, quote(reason)) for test, reason in rules])
 
 
+def _once(rows: DataFrame, value: Sql, name: str) -> DataFrame:
+    """Add a column that is worked out once a row.
+
+    The optimizer puts the expressions of plain columns wherever they are named, also into filters
+    that it moves below them; it does not do so with rows that a generator makes.
+    """
+    return rows.select("*", F.explode_outer(F.array(F.expr(value))).alias(name))
+
+
 def json_records(texts: DataFrame, need: tuple[str, ...] = ()) -> DataFrame:
     """Rows (value, page_id, ...) as records: the other columns, the fields as they stand in JSON, and ``reason``.
 
@@ -120,18 +135,25 @@ def json_records(texts: DataFrame, need: tuple[str, ...] = ()) -> DataFrame:
     """
     repeated_keys(texts.sparkSession)
     kept = [c for c in texts.columns if c != "value"]
-    whole = texts.select(*kept, F.expr(json_or_null("value")).alias("_v"))
+    types = parsed(RAW_JSON)
+    inner = [f for f in types.fields if isinstance(f.dataType, T.StructType)]
+    whole = _once(texts.select(*kept, F.col("value").alias("_text")), json_or_null("_text"), "_v").drop("_text")
+    # an object is opened in one pass, and so is each object in it
+    whole = whole.select("*", F.expr(opened("_v", types.fieldNames())).alias(_OPENED))
+    whole = whole.select("*", *[F.expr(opened(_field(f.name), f.dataType.fieldNames())).alias(f"{_OPENED}_{f.name}") for f in inner])
     reason = _refusal("_v")
     if need:
-        absent = all_of(f"coalesce({kind('_v', '$.' + f)}, 'VOID') = 'VOID'" for f in need)
+        absent = all_of(f"coalesce({kind(_field(f))}, 'VOID') = 'VOID'" for f in need)
         reason = coalesce(reason, when(absent, quote("no " + " and no ".join(need))))
+    whole = _once(whole, reason, "reason")
     # of a text in place of the list of prices, the first character counts
-    prices = "$.ticketPrices.prices"
-    first = when(is_text("_v", prices), f"array(left(try_variant_get(_v, {quote(prices)}, 'string'), 1))")
-    own = {prices: coalesce(first, typed("_v", prices, T.ArrayType(T.StringType())))}
-    fields = [F.expr(f"CAST({typed('_v', f'$.{f.name}', f.dataType, own)} AS {f.dataType.simpleString()})").alias(f.name)
-              for f in parsed(RAW_JSON).fields]
-    return whole.select(*kept, *fields, F.expr(reason).alias("reason"))
+    prices = _field("ticketPrices.prices")
+    first = when(is_text(prices), f"array(left(try_variant_get({prices}, '$', 'string'), 1))")
+    own = {"ticketPrices": {"prices": coalesce(first, typed(prices, T.ArrayType(T.StringType())))}}
+    fields = {f.name: typed(_field(f.name), f.dataType) for f in types.fields if f not in inner}
+    fields |= {f.name: typed_fields(f"{_OPENED}_{f.name}", f.dataType, own.get(f.name)) for f in inner}
+    return whole.select(
+        *kept, *[F.expr(f"CAST({fields[f.name]} AS {f.dataType.simpleString()})").alias(f.name) for f in types.fields], "reason")
 
 
 def json_files(spark: SparkSession, location: str) -> DataFrame:

@@ -449,3 +449,23 @@ def test_bundle_metadata_makes_no_plans_and_images(spark):
     plan = bundles(spark, MUSEUM).select("metadata")._jdf.queryExecution().optimizedPlan().toString()
     spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert "gallery:" not in plan and "-entry-ticket" not in plan
+
+
+def test_json_text_is_parsed_once(spark):
+    """Neither the fields nor the filter on the reason parse it anew."""
+    lines = spark.createDataFrame([(json.dumps(MUSEUM),)], "value string")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    plan = raw_from_json_text(lines)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("parseJson") == 1
+
+
+def test_json_fields_that_do_not_fit_leave_the_rest(spark):
+    """Wherever they stand: in the record, in an object of it, in a list, in an image."""
+    rec = {"slug": 7, "hero": {"name": ["x"], "rating": 4, "images": [{"url": 5, "width": "12", "height": "x"}, "u"]},
+           "seo": "none", "location": {"latitude": "1", "longitude": 2.5}, "faq": [{"question": 1, "answer": {"a": 1}}, 3]}
+    got = raw_from_json_text(spark.createDataFrame([(json.dumps(rec),)], "value string")).first()
+    assert (got.slug, got.hero.name, got.hero.rating, got.seo) == ("7", None, "4", None)
+    assert [(i.url, i.width, i.height) for i in got.hero.images] == [(None, 12, None), ("u", None, None)]
+    assert (got.location.latitude, got.location.longitude) == (None, 2.5)
+    assert [f and (f.question, f.answer) for f in got.faq] == [("1", None), None]
