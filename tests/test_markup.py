@@ -121,3 +121,42 @@ def test_slash_closes_foreign_elements_only():
 def test_template_content_is_no_part_of_the_page():
     t = PageTree("<p>a</p><template><p>x<template><b>y</b></template><script>'</template>'</script><i>z</i></template><p>b</p><template>open")
     assert t.tag.count("template") == 2 and not {"b", "i", "script"} & set(t.tag) and t.text == b"ab"
+
+
+def test_columns_of_several_pages_equal_their_trees():
+    import pyarrow as pa
+
+    from excursio.sources.pages import _emit, _trees
+
+    html = pa.array(["<ul><li a=1>x<li b>y</ul><p>é", "", "<svg><title>t<b>u</title><path/></svg><title>v</title>", "<h2>a</h2><p>b</p>"] * 2)
+    trees = _trees(html, 0)
+    rows = _emit(pa.record_batch({"page_id": list(range(8))}), ["page_id"], trees).to_pylist()
+    for t, row in zip(trees, rows):
+        names = {"size": t.size, "parent": t.parent, "depth": t.depth, "n_children": t.children, "prev_tag": t.prev_tag, "tag": t.tag,
+                 "t0": t.t0, "t1": t.t1, "pre": list(range(len(t.tag)))}
+        assert {k: [n[k] for n in row["nodes"]] for k in names} == names
+        assert [dict(n["attrs"]) for n in row["nodes"]] == t.attrs and row["page_text"] == t.text
+
+
+def test_no_search_for_cycles_while_pages_are_read():
+    import gc
+
+    import pyarrow as pa
+
+    from excursio.sources.pages import _trees
+
+    runs = []
+    gc.callbacks.append(lambda phase, info: runs.append(phase))
+    try:
+        _trees(pa.array(["<p a=1 b=2 c=3>x</p>" * 3000]), 0)
+    finally:
+        gc.callbacks.pop()
+    assert not runs and gc.isenabled()
+
+
+@pytest.mark.parametrize("html", ["<svg><title/><style/><p>a</svg><title>b<i></title><p>c", "<svg><title>x<b>y</b></title></svg>z", "<textarea/>a</textarea>b",
+                                  "a < b </ c> d </\n e <p>f", "a</\n>b<p x='>", "<template><svg></template><title>t</title>", "<script>a</SCRIPT x>b</script >c"])
+def test_raw_text_ends_where_it_should(html):
+    t = PageTree(html)
+    said = {"<svg><title/>": "ab<i>c", "<svg><title>x": "xyz", "<textarea/>a": "ab", "a < b": "a < b  d f", "a</": "ab", "<template>": "t", "<script>": "abc"}
+    assert t.text.decode() == next(v for k, v in said.items() if html.startswith(k))
