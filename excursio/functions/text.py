@@ -11,10 +11,10 @@ _WS_NO_BLANK = (
 )
 WS = f"[ {_WS_NO_BLANK}]"
 # The intersection turns other characters away with one comparison instead of one
-# per range; a single blank stays as it is, so ordinary prose is scanned, not rebuilt.
+# per range, and it stands first, so that a character is looked at once; a single blank
+# stays as it is, so ordinary prose is scanned, not rebuilt.
 _ANY = r"[\x{00}-\x{20}\x{A0}-\x{3000}\x{FEFF}&&" + WS + "]"
-_WIDE = r"[\x{A0}-\x{3000}\x{FEFF}&&[" + _WS_NO_BLANK + "]]"
-_WS_TO_FIX = rf"(?:[\x{{09}}-\x{{0D}}]|{_WIDE}| (?={_ANY})){_ANY}*"
+_WS_TO_FIX = rf"{_ANY}(?:(?<! )|(?={_ANY})){_ANY}*+"
 
 
 def text(x: Sql) -> Sql:

@@ -578,11 +578,9 @@ def report_bundles(spark, sf):
 )
 def publish_outbox(spark, sf):
     box = publish.outbox(records.bundle(raw_from_orders(spark, sf), S))
-    return box.select(
-        "page_id", "slug", "stage", F.col("n").cast("bigint").alias("n"), "url", "method",
-        F.expr("CAST(get_json_object(body, '$.id') AS BIGINT)").alias("id"),
-        F.expr("get_json_object(body, '$.created_at')").alias("created_at"),
-    )
+    said = F.from_json("body", "id BIGINT, created_at STRING").alias("said")
+    return box.select("page_id", "slug", "stage", F.col("n").cast("bigint").alias("n"), "url", "method", said).select(
+        "page_id", "slug", "stage", "n", "url", "method", "said.id", "said.created_at")
 
 
 # ---- JSON records ----------------------------------------------------------------------

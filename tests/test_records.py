@@ -469,3 +469,17 @@ def test_json_fields_that_do_not_fit_leave_the_rest(spark):
     assert [(i.url, i.width, i.height) for i in got.hero.images] == [(None, 12, None), ("u", None, None)]
     assert (got.location.latitude, got.location.longitude) == (None, 2.5)
     assert [f and (f.question, f.answer) for f in got.faq] == [("1", None), None]
+
+
+def test_request_bodies_are_cut_by_bytes(spark):
+    """Stamps are put behind what a body says, whatever characters it ends in; nothing counts its characters."""
+    import re
+
+    box = publish.outbox(bundles(spark, {**MUSEUM, "hero": {**MUSEUM["hero"], "name": "Café 漢字 😀"}}))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    plan = box._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert not re.search(r"(?<!octet_)length\(said", plan)
+    bodies = {(r.stage, r.n): json.loads(r.body) for r in box.collect()}
+    assert bodies[1, 1]["name"] == "Café 漢字 😀" and list(bodies[1, 1])[-2:] == ["created_at", "updated_at"]
+    assert bodies[3, 1]["title"] == "Café 漢字 😀 - Cover" and "created_at" not in bodies[2, 1]
