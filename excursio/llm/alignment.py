@@ -4,13 +4,14 @@ A text is read with a space before it, by a byte-level BPE (A) and a sentencepie
 offsets where tokens of both end cut the tokens into groups; the two tokens that end there
 are a link. A pair's count is the number of links of all texts that hold it.
 
-First pass: texts are aligned, and a task's links are added up by pair. The distinct pairs are
+First pass: texts are aligned once; their groups and links are written to the shared folder, with
+the rows. A task's links are added up by pair. The distinct pairs are
 dealt by hash to shards; each shard gets a minimal perfect hash (levels of bits: a key lives
 in the first level where no other key meets it, and its number is the rank of its bit). Counts
 are dense vectors indexed by that hash, made from slices of the first pass and summed as a
-tree. The key at each index is kept, so that a look-up is verified. Second pass: the texts are
-aligned anew and every link looks up its count. The vectors are broadcast up to HELD pairs
-(16 bytes each); beyond, texts are dealt into parts, and each part gets the counts of its own
+tree. The key at each index is kept, so that a look-up is verified. Second pass: every link of the
+written rows looks up its count. The vectors are broadcast up to HELD pairs
+(16 bytes each); beyond, rows are dealt into parts, and each part gets the counts of its own
 pairs by a join. Both ways give the same result.
 
 No token of either tokenizer crosses a single space between two characters that are no white
@@ -52,10 +53,15 @@ from excursio.llm.shared import fresh, ready, splitmix, stored
 HELD, SHARD, SLICE, FAN = 4 << 20, 1 << 17, 4, 8
 #: Pieces that a worker remembers in each of two generations, and their longest; pairs that a task adds up before it writes them.
 REMEMBERED, KEPT, PAIRS = 300_000, 64, 1 << 20
-#: Bytes of text in a part, where counts are not broadcast.
-PART = 32 << 20
+#: Links in a part, where counts are not broadcast, about; links that are looked up at a time.
+PART, LOOKED_UP = 16 << 20, 1 << 20
+
+#: Rows of the first pass are several times as long as their texts: a task holds few of them while it writes.
+WRITTEN = {"compression": "zstd", "parquet.block.size": str(8 << 20)}
 
 RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
+#: What the first pass finds in a text; links are the keys of 8 bytes in order.
+FOUND = "n_a long, n_b long, links binary, groups string"
 LINKS = "key long, hash long, n long"
 INDEX = "shard long, sizes binary, words binary, keys binary"
 
@@ -208,12 +214,6 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-@cache
-def links_known(path_a: str, path_b: str) -> Remembered:
-    """The links that this worker knows."""
-    return remembered_links(aligner(path_a, path_b))
-
-
 def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and their sums."""
     keys, at = np.unique(keys, return_inverse=True)
@@ -235,20 +235,28 @@ def remembered_links(own: Aligner) -> Remembered:
 
 def links_of(texts: Iterator[list[str]], known: Remembered) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked pairs and how often they occur, added up for as many texts as fit the bound."""
-    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for batch in texts:
-        for some, table in known.texts(batch):
-            times = Counter(chain.from_iterable(some))
-            links = [table[p] for p in times]
-            if None in links:
-                bad = {p for p, x in zip(times, links) if x is None}
-                times = Counter(chain.from_iterable(pieces for pieces in some if bad.isdisjoint(pieces)))
+
+    def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in texts:
+            for some, table in known.texts(batch):
+                times = Counter(chain.from_iterable(some))
                 links = [table[p] for p in times]
-            if not times:
-                continue
-            sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
-            count = np.repeat(np.fromiter(times.values(), np.int64, len(times)), sizes)
-            keys, n = _added(np.concatenate([keys, np.frombuffer(b"".join(links), np.int64)]), np.concatenate([n, count]))
+                if None in links:
+                    bad = {p for p, x in zip(times, links) if x is None}
+                    times = Counter(chain.from_iterable(pieces for pieces in some if bad.isdisjoint(pieces)))
+                    links = [table[p] for p in times]
+                if times:
+                    sizes = np.fromiter(map(len, links), np.int64, len(links)) // 8
+                    yield np.frombuffer(b"".join(links), np.int64), np.repeat(np.fromiter(times.values(), np.int64, len(times)), sizes)
+
+    return added_up(parts())
+
+
+def added_up(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys and the sums of their numbers, of as many parts as fit the bound."""
+    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for more, times in parts:
+        keys, n = _added(np.concatenate([keys, more]), np.concatenate([n, times]))
         if len(keys) >= PAIRS:
             yield keys, n
             keys, n = keys[:0], n[:0]
@@ -256,6 +264,15 @@ def links_of(texts: Iterator[list[str]], known: Remembered) -> Iterator[tuple[np
         yield keys, n
 
 
+def binaries(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all rows of a column of links, and how many each row has."""
+    rows = column.cast(pa.large_binary())
+    _, offsets, data = rows.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int64)
+    keys = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.int64) if offsets[-1] > offsets[0] else np.zeros(0, np.int64)
+    return keys, np.diff(offsets) // 8
+
+
 class PerfectHash:
     """Numbers 0 .. n - 1 for n distinct keys: levels of bits, and the rank of a key's bit among all."""
 
@@ -333,60 +350,88 @@ class SomeCounts:
         return self.counts[np.searchsorted(self.keys, keys)] if len(keys) else np.zeros(0, np.int64)
 
 
-def remembered_results(own: Aligner, counts: Counts | SomeCounts) -> Remembered:
-    """Results of pieces: n_a, n_b, n_links, number of best links, sum of counts, groups."""
+_COUNTS: dict[str, Counts] = {}
+
+
+def counts_known(name: str, sent: Broadcast) -> Counts:
+    """The counts of a run of that name; those of other runs are forgotten."""
+    if name not in _COUNTS:
+        _COUNTS.clear()
+        _COUNTS[name] = Counts(*sent.value)
+    return _COUNTS[name]
+
+
+def remembered_pieces(own: Aligner) -> Remembered:
+    """What the first pass finds in pieces."""
 
     def find(pieces: list[str]) -> dict[str, tuple]:
         x = own.aligned(pieces)
-        n = counts.of(x.links)
-        ends = np.cumsum(x.n_links)
-        starts = ends - x.n_links
-        best = np.append(0, np.cumsum(n == counts.best[x.links & 0xFFFFFFFF]))
-        sums = np.append(0, np.cumsum(n))
-        columns = (x.n_a, x.n_b, x.n_links, best[ends] - best[starts], sums[ends] - sums[starts])
-        return dict(zip(x.pieces, zip(*[c.tolist() for c in columns], x.groups, strict=True), strict=True))
+        ends = np.cumsum(x.n_links).tolist()
+        links = [x.links[lo:hi].tobytes() for lo, hi in zip([0, *ends], ends)]
+        return dict(zip(x.pieces, zip(x.n_a.tolist(), x.n_b.tolist(), links, x.groups, strict=True), strict=True))
 
     return Remembered(find)
 
 
-_RESULTS: dict[str, Remembered] = {}
-
-
-def results_known(name: str, paths: tuple[str, str], sent: Broadcast) -> Remembered:
-    """The results that this worker knows of a run of that name; those of other runs are forgotten."""
-    if name not in _RESULTS:
-        _RESULTS.clear()
-        _RESULTS[name] = remembered_results(aligner(*paths), Counts(*sent.value))
-    return _RESULTS[name]
+@cache
+def pieces_known(path_a: str, path_b: str) -> Remembered:
+    """The pieces that this worker knows."""
+    return remembered_pieces(aligner(path_a, path_b))
 
 
-def results(texts: list[str], known: Remembered) -> pa.StructArray:
-    """The result of each text."""
+def found_in(texts: list[str], known: Remembered) -> pa.StructArray:
+    """What the first pass finds in texts."""
     rows = []
     for some, table in known.texts(texts):
         for pieces in some:
             try:
-                n_a, n_b, n_links, best, sums, groups = zip(*map(table.__getitem__, pieces))
+                n_a, n_b, links, groups = zip(*map(table.__getitem__, pieces))
             except (TypeError, ValueError):  # a piece that its tokens do not spell (None), or no piece
-                rows.append((0, 0, 0, 0, 0, 0, ""))
+                rows.append((0, 0, b"", ""))
                 continue
-            links = sum(n_links)
-            rows.append((sum(n_a), sum(n_b), links, links, sum(best), sum(sums), ";".join(groups)))
-    kinds = [pa.int64()] * 6 + [pa.string()]
-    names = [x.split()[0] for x in RESULT.split(", ")]
-    columns = list(zip(*rows)) if rows else [[]] * 7
-    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            rows.append((sum(n_a), sum(n_b), b"".join(links), ";".join(groups)))
+    columns = list(zip(*rows)) if rows else [[]] * 4
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.string()))], _names(FOUND))
+
+
+def _names(kinds: str) -> list[str]:
+    return [x.split()[0] for x in kinds.split(", ")]
+
 
+def results(found: pa.StructArray, counts: Counts | SomeCounts) -> pa.StructArray:
+    """The result of each text, of what the first pass found in it."""
+    keys, n_links = binaries(found.field("links"))
+    sums, best = np.zeros(len(keys) + 1, np.int64), np.zeros(len(keys) + 1, np.int64)
+    for lo in range(0, len(keys), LOOKED_UP):
+        asked, at = np.unique(keys[lo : lo + LOOKED_UP], return_inverse=True)
+        n = counts.of(asked)
+        sums[lo + 1 : lo + 1 + len(at)] = n[at]
+        best[lo + 1 : lo + 1 + len(at)] = (n == counts.best[asked & 0xFFFFFFFF])[at]
+    ends = np.append(0, np.cumsum(n_links))
+    n_best, count_sum = (np.diff(np.cumsum(x)[ends]) for x in (best, sums))
+    columns = [found.field("n_a"), found.field("n_b"), *map(pa.array, (n_links, n_links, n_best, count_sum)), found.field("groups")]
+    return pa.StructArray.from_arrays(columns, _names(RESULT))
 
-def _first_pass(docs: DataFrame, text: str, paths: tuple[str, str]) -> DataFrame:
+
+def _first_pass(docs: DataFrame, text: str, paths: tuple[str, str], found: str, part: str) -> DataFrame:
+    """The rows, written, with what is found in their texts and a number by which rows can be dealt."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return found_in(texts.fill_null("").to_pylist(), pieces_known(*paths))
+
+    rows = docs.withColumns({found: arrow_udf(run, FOUND)(F.col(f"`{text}`")), part: F.xxhash64(F.monotonically_increasing_id())})
+    return stored(rows, "alignment-rows", **WRITTEN)
+
+
+def _pairs(rows: DataFrame, found: str) -> DataFrame:
     """Linked pairs of tasks with their numbers, and the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (batch.column(0).fill_null("").to_pylist() for batch in batches)
-        for keys, n in links_of(rows, links_known(*paths)):
+        parts = (np.unique(binaries(batch.column(0))[0], return_counts=True) for batch in batches)
+        for keys, n in added_up(parts):
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(shard_hash(keys)), pa.array(n)], ["key", "hash", "n"])
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, LINKS).withColumn("task", F.spark_partition_id())
+    return rows.select(F.col(f"`{found}`.links")).mapInArrow(run, LINKS).withColumn("task", F.spark_partition_id())
 
 
 def _index(keys: DataFrame) -> DataFrame:
@@ -445,20 +490,18 @@ def _best(index: DataFrame) -> DataFrame:
     return index.select("keys", "counts").mapInPandas(highest, "id long, most long").groupBy("id").agg(F.max("most").alias("most"))
 
 
-def _by_parts(docs: DataFrame, text: str, index: DataFrame, paths: tuple[str, str], best: np.ndarray, out: str) -> DataFrame:
-    """The second pass where the counts are too many to broadcast: each part of the texts gets the counts of its pairs."""
-    part = fresh(docs, "part")
-    n_parts = max(1, -(-(docs.agg(F.sum(F.octet_length(f"`{text}`"))).first()[0] or 0) // PART))
-    # copies of one text are dealt out as well: by row number, which is why the parts are written before they are used
-    dealt = stored(docs.withColumn(part, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_parts))), "alignment-parts")
-    columns = docs.columns
+def _by_parts(rows: DataFrame, found: str, part: str, index: DataFrame, best: np.ndarray, out: str) -> DataFrame:
+    """The second pass where the counts are too many to broadcast: each part of the rows gets the counts of its pairs."""
+    links = F.col(f"`{found}`.links")
+    n_parts = max(1, -(-(rows.agg(F.sum(F.octet_length(links))).first()[0] or 0) // (8 * PART)))
+    # copies of one text are dealt out as well
+    dealt = rows.withColumn(part, F.pmod(F.col(f"`{part}`"), F.lit(n_parts)))
 
-    def wanted(key: tuple, rows: pa.Table) -> pa.Table:
-        found = [k for k, _ in links_of(iter([rows.column(0).fill_null("").to_pylist()]), links_known(*paths))]
-        keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    def wanted(key: tuple, own: pa.Table) -> pa.Table:
+        keys = np.unique(np.concatenate([np.zeros(0, np.int64), *[binaries(c)[0] for c in own.column("links").chunks]]))
         return pa.table({"part": pa.array([key[0].as_py()] * len(keys), pa.int64()), "key": pa.array(keys)})
 
-    asked = dealt.select(F.col(f"`{text}`").alias("text"), F.col(part).alias("part")).groupBy("part").applyInArrow(wanted, "part long, key long")
+    asked = dealt.select(links.alias("links"), F.col(f"`{part}`").alias("part")).groupBy("part").applyInArrow(wanted, "part long, key long")
 
     def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -468,13 +511,16 @@ def _by_parts(docs: DataFrame, text: str, index: DataFrame, paths: tuple[str, st
     counts = index.select("keys", "counts").mapInPandas(pairs, "key long, count long")
     answers = stored(asked.join(counts, "key"), "alignment-counts")
 
-    def finish(rows: pa.Table, own: pa.Table) -> pa.Table:
-        known = SomeCounts(own.column("key").to_numpy(), own.column("count").to_numpy(), best)
-        found = results(rows.column(text).fill_null("").to_pylist(), remembered_results(aligner(*paths), known))
-        return pa.table([*[rows.column(c) for c in columns], found], names=[*columns, out])
+    fields = [f for f in rows.schema.fields if f.name not in (found, part)]
+    columns = [f.name for f in fields]
 
-    kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{out}` struct<{RESULT.replace(' ', ': ').replace(',:', ',')}>"])
-    return dealt.groupBy(part).cogroup(answers.groupBy(F.col("part").alias(part))).applyInArrow(finish, kinds)
+    def finish(own: pa.Table, answer: pa.Table) -> pa.Table:
+        known = SomeCounts(answer.column("key").to_numpy(), answer.column("count").to_numpy(), best)
+        done = pa.chunked_array([results(c, known) for c in own.column(found).chunks])
+        return pa.table([*[own.column(c) for c in columns], done], names=[*columns, out])
+
+    kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{out}` struct<{RESULT.replace(' ', ': ').replace(',:', ',')}>"])
+    return dealt.groupBy(F.col(f"`{part}`")).cogroup(answers.groupBy(F.col("part").alias(part))).applyInArrow(finish, kinds)
 
 
 def aligned(docs: DataFrame, text: str = "text", path_a: str | None = None, path_b: str | None = None, out: str = "alignment",
@@ -488,7 +534,9 @@ def aligned(docs: DataFrame, text: str = "text", path_a: str | None = None, path
     ready(spark)
     paths = (path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model"))
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()])
-    links = stored(_first_pass(docs, text, paths), "alignment-links")
+    found, part = fresh(docs, "found"), fresh(docs, "part")
+    rows = _first_pass(docs, text, paths, found, part)
+    links = stored(_pairs(rows, found), "alignment-links")
     keys = stored(links.groupBy("key", "hash").agg(F.count("*").alias("rows")), "alignment-keys")
     n_keys, n_rows = keys.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
     n_shards = max(1, -(-n_keys // shard))
@@ -496,17 +544,17 @@ def aligned(docs: DataFrame, text: str = "text", path_a: str | None = None, path
     index = stored(_index(keys.select("key", (F.col("hash") % n_shards).alias("shard"))), "alignment-index")
     slices = links.select("key", "n", (F.col("hash") % n_shards).alias("shard"), (F.col("task") % n_slices).cast("long").alias("slice"))
     counted = stored(index.join(_summed(slices, index, n_slices), "shard"), "alignment-counts")
-    rows = _best(counted).collect()
-    best = np.zeros(1 + max((r.id for r in rows), default=0), np.int64)
-    for r in rows:
+    highest = _best(counted).collect()
+    best = np.zeros(1 + max((r.id for r in highest), default=0), np.int64)
+    for r in highest:
         best[r.id] = r.most
     if n_keys > held:
-        return _by_parts(docs, text, counted, paths, best, out)
+        return _by_parts(rows, found, part, counted, best, out)
     whole = counted.select("shard", "sizes", "words", "keys", "counts").toArrow().to_pylist()
     sent = spark.sparkContext.broadcast(([tuple(bytes(v) if isinstance(v, (bytes, bytearray)) else v for v in r.values()) for r in whole], n_shards, best))
     name = uuid.uuid4().hex
 
-    def run(texts: pa.Array) -> pa.Array:
-        return results(texts.fill_null("").to_pylist(), results_known(name, paths, sent))
+    def run(found: pa.Array) -> pa.Array:
+        return results(found, counts_known(name, sent))
 
-    return docs.withColumn(out, arrow_udf(run, RESULT)(F.col(f"`{text}`")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], arrow_udf(run, RESULT)(F.col(f"`{found}`")).alias(out))

@@ -28,10 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
     return scratch_folder(spark)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """The same rows, written to the shared folder and read back: no lineage behind them, safe against lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -149,3 +149,26 @@ def test_bounded_memory_of_pieces(monkeypatch):
     assert all(len(p) <= alignment.KEPT for p in known.young)
     want = Counter(x for t in texts for x in brute(t)[3])
     assert {(int(k) >> 32, int(k) & 0xFFFFFFFF): int(n) for k, n in zip(*got[0])} == want
+
+
+def test_texts_are_aligned_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    for held in (1 << 22, 0):
+        read = alignment.aligned(docs, held=held).inputFiles()
+        assert any("/alignment-rows-" in f for f in read) and not any("documents.parquet" in f for f in read)
+
+
+def test_links_of_sliced_rows(monkeypatch):
+    monkeypatch.setattr(alignment, "LOOKED_UP", 3)
+    texts = ["a b", None, "", "c d e f", "▁", "a b"]
+    found = alignment.found_in([t or "" for t in texts], alignment.remembered_pieces(alignment.aligner(A, B)))
+    want = expected([t or "" for t in texts])
+    keys, n = alignment.binaries(found.field("links"))
+    assert n.tolist() == [w[3] for w in want]
+    keys, n = np.unique(keys, return_counts=True)
+    best = np.zeros(1 << 16, np.int64)
+    np.maximum.at(best, keys & 0xFFFFFFFF, n)
+    counts = alignment.SomeCounts(keys, n, best)
+    for lo, hi in ((0, 6), (1, 3), (2, 5), (3, 3)):
+        got = alignment.results(found.slice(lo, hi - lo), counts).to_pylist()
+        assert [tuple(r.values()) for r in got] == want[lo:hi]
