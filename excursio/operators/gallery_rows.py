@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from excursio.functions import ids
-from excursio.functions.sql import Sql, quote
+from excursio.functions.sql import Sql, coalesce, each, null, quote, struct
 from excursio.functions.text import clean, fallback, prefix
 from excursio.operators.images import usable
 from excursio.operators.linkage import join_children
@@ -37,16 +37,17 @@ def page_facts(raw: DataFrame, settings: Settings = Settings(), custom_id: Sql |
 
 def page_images(raw: DataFrame) -> DataFrame:
     """The images of raw records, in long form: page_id, part, pos, url, alt, title, caption, type."""
-    def lead(part: int, url: Sql) -> DataFrame:
-        return raw.select("page_id", F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("pos"), F.expr(url).alias("url"),
-                          *[F.lit(None).cast("string").alias(c) for c in _OF_IMAGE[1:]])
+    def image(part: int, pos: Sql, url: Sql, **rest: Sql) -> Sql:
+        return struct(part=str(part), pos=f"CAST({pos} AS BIGINT)", url=url, **{c: rest.get(c, null("STRING")) for c in _OF_IMAGE[1:]})
 
-    def listed(part: int, images: Sql) -> DataFrame:
-        rows = raw.select("page_id", F.posexplode_outer(F.expr(images)).alias("pos", "image")).where("pos IS NOT NULL")
-        return rows.select("page_id", F.lit(part).alias("part"), F.col("pos").cast("bigint").alias("pos"), *[f"image.{c}" for c in _OF_IMAGE])
+    def listed(part: int, images: Sql) -> Sql:
+        every = each(images, lambda x, i: image(part, i, **{c: f"{x}.{c}" for c in _OF_IMAGE}))
+        # a missing image in the list has no address
+        return coalesce(every, "array()")
 
-    parts = [lead(0, "hero.coverImage"), lead(1, "hero.heroImage"), listed(2, "hero.images"), listed(3, "gallery")]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    leads = f"array({image(0, '0', 'hero.coverImage')}, {image(1, '0', 'hero.heroImage')})"
+    images = f"concat({leads}, {listed(2, 'hero.images')}, {listed(3, 'gallery')})"
+    return raw.select("page_id", F.explode(F.expr(images)).alias("i")).select("page_id", "i.*")
 
 
 def ranked_images(images: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -188,3 +188,21 @@ def test_look_up_of_many_values_is_a_join(spark, monkeypatch):
     rows = spark.range(50).selectExpr("id AS page_id", "id % 10 AS slug")
     got = look_up(rows, spark.range(3), "slug")
     assert got.count() == 15 and got.columns == ["page_id", "slug"]
+
+
+def test_images_of_raw_records_are_read_in_one_pass(spark, tmp_path):
+    """Also of records without lists, of missing images in a list and of a list without any."""
+    kind = "page_id bigint, hero {H}, gallery array<{I}>"
+    image = "struct<url: string, alt: string, title: string, caption: string, type: string>"
+    kind = kind.format(H=f"struct<coverImage: string, heroImage: string, images: array<{image}>>", I=image)
+    a, b = ("u", "x", None, "c", "t"), ("v", None, "y", None, None)
+    rows = [(1, ("c", "h", [a, None]), [b, a]), (2, None, None), (3, (None, "h", []), [None])]
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "raw"))
+    images = gallery_rows.page_images(spark.read.parquet(str(tmp_path / "raw")))
+    none = (None,) * 5
+    want = [(1, 0, 0, "c", *none[1:]), (1, 1, 0, "h", *none[1:]), (1, 2, 0, *a), (1, 2, 1, *none), (1, 3, 0, *b), (1, 3, 1, *a),
+            (2, 0, 0, *none), (2, 1, 0, *none), (3, 0, 0, *none), (3, 1, 0, "h", *none[1:]), (3, 3, 0, *none)]
+    assert sorted(map(repr, map(tuple, images.collect()))) == sorted(map(repr, want))
+    assert images.dtypes[:3] == [("page_id", "bigint"), ("part", "int"), ("pos", "bigint")]
+    plan = images._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "Union" not in plan
