@@ -114,10 +114,11 @@ def _emit(batch: pa.RecordBatch, names: list[str], trees: list[PageTree]) -> pa.
     before[below[order[again + 1]]] = below[order[again]]
 
     attrs = list(flat("attrs"))
+    some = list(filter(None, attrs))
     attr_map = pa.MapArray.from_arrays(
         pa.array(offsets(np.fromiter(map(len, attrs), np.int32, total))),
-        pa.array(list(chain.from_iterable(attrs)), pa.string()),
-        pa.array(list(chain.from_iterable(a.values() for a in attrs)), pa.string()),
+        pa.array(list(chain.from_iterable(some)), pa.string()),
+        pa.array(list(chain.from_iterable(map(dict.values, some))), pa.string()),
     )
     # An element lies in all that began before it but for those that ended before it.
     place, size = np.arange(total), ints("size")

@@ -160,3 +160,13 @@ def test_raw_text_ends_where_it_should(html):
     t = PageTree(html)
     said = {"<svg><title/>": "ab<i>c", "<svg><title>x": "xyz", "<textarea/>a": "ab", "a < b": "a < b  d f", "a</": "ab", "<template>": "t", "<script>": "abc"}
     assert t.text.decode() == next(v for k, v in said.items() if html.startswith(k))
+
+
+def test_raw_elements_in_any_case_hold_no_elements():
+    from excursio.sources.markup import RAW
+
+    for name in RAW:
+        for tag in (name, name.upper(), name.title(), name[0].upper() + name[1:]):
+            t = PageTree(f"<body><{tag} a=1 A=2><b>x</b></{name}><i b='&amp;' b=2 c='&'>y</i><{tag}s>")
+            assert t.tag[3:] == [name, "i", f"{name}s"] and t.text == b"<b>x</b>y" and t.size[3] == 0
+            assert t.attrs[3:5] == [{"a": "1"}, {"b": "&", "c": "&"}]
