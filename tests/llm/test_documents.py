@@ -508,3 +508,37 @@ def test_trust_goes_on_until_nothing_is_labelled(spark):
     graph = spark.createDataFrame(rows, "pattern string, instance string, kind string")
     assert {(r.pattern, r.kind) for r in pii.trusted_patterns(graph).collect()} == {(f"p{k}", "email") for k in range(5)}
     assert pii.trusted_patterns(graph.limit(0)).count() == 0
+
+
+def test_lm_in_slices_of_few_bytes(spark, monkeypatch):
+    """How counts and texts are dealt changes no loss, and a pair's counts take a few bytes."""
+    import os
+    from urllib.parse import urlparse
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(rng.choice(words) for _ in range(200)) + f" only{k}", k % 3 == 0) for k in range(300)]
+    docs = spark.createDataFrame(rows + [(1000 + k, *rows[0][1:]) for k in range(20)], "doc_id bigint, text string, good boolean").repartition(4)
+    found = []
+    for slice_bytes, group_bytes in ((lm_scoring.SLICE, lm_scoring.GROUP), (1 << 14, 1 << 13)):
+        monkeypatch.setattr(lm_scoring, "SLICE", slice_bytes, raising=False)
+        monkeypatch.setattr(lm_scoring, "GROUP", group_bytes, raising=False)
+        models = lm_scoring.fitted(docs, F.col("good"))
+        found.append({r.doc_id: tuple(r.lm) for r in lm_scoring.scored(docs, models).collect()})
+        if slice_bytes > 1 << 20:
+            files = [urlparse(f).path for f in models.losses.inputFiles()]
+            assert sum(map(os.path.getsize, files)) < 6 * models.losses.count()
+        else:  # more text than the models' corpus
+            again = lm_scoring.scored(docs.union(docs).union(docs), models)
+            assert {r.doc_id: tuple(r.lm) for r in again.collect()} == found[1] and again.count() == 960
+    assert found[0] == found[1] and len(found[0]) == 320 and found[0][0] == found[0][1005]
+
+
+def test_lm_numbers_of_pairs_are_distinct():
+    words = np.sort(hash_words(np.frombuffer(b"abcdefgh", np.uint8), np.arange(8), np.arange(1, 9)))
+    frequent, text = words[1::2], np.concatenate([np.repeat(words, 8), np.tile(words, 8)]).reshape(2, -1).T.ravel()
+    first = np.append(np.arange(0, len(text), 2), len(text))
+    keys, short = lm_scoring.pair_keys(text, np.arange(len(text), dtype=np.uint64), first, frequent)
+    assert short[1::2].tolist() == [a in frequent and b in frequent for a, b in text.reshape(-1, 2)]
+    assert len(set(keys[1::2][short[1::2]])) == 16 and len(set(keys[::2][short[::2]])) == 4
+    packed = lm_scoring._packed_keys(np.sort(keys))
+    assert lm_scoring._unpacked_keys(packed).tolist() == sorted(keys.tolist())
