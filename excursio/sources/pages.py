@@ -9,6 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,6 @@ def page_rejects(pages: DataFrame) -> DataFrame:
 
 def page_nodes(pages: DataFrame) -> DataFrame:
     """Replace ``html`` by ``page_text`` and ``nodes``; other columns stay."""
-    pages = pages.filter(F.col("url").isNotNull() & F.col("html").isNotNull())
     kept = [f for f in pages.schema.fields if f.name != "html"]
     added = parsed(f"page_text BINARY, nodes {NODES}").fields
     schema = T.StructType(kept + added)
@@ -59,6 +59,10 @@ def page_nodes(pages: DataFrame) -> DataFrame:
 
     def to_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Left out here: Spark would move a filter below the making of the markup and the dealing
+            # of its rows, and so make all markup once more in the few tasks that read them.
+            url, html = (batch.column(batch.schema.get_field_index(n)) for n in ("url", "html"))
+            batch = batch.filter(pc.and_(url.is_valid(), html.is_valid()))
             html = batch.column(batch.schema.get_field_index("html"))
             begin = 0
             while begin < batch.num_rows:

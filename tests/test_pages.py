@@ -174,3 +174,14 @@ def test_own_address_is_the_printed_one(spark):
                                "page_id bigint, url string, html string")
     got = {r.page_id: (r.url, r.slug, r.metadata.pageUrl) for r in extract(page_nodes(df)).collect()}
     assert got == {1: ("https://h.example.com/", "", "https://h.example.com/"), 2: ("https://h/c", "c", "https://h/c"), 3: ("app:x", "", "app:x")}
+
+
+def test_markup_is_made_once(spark):
+    """Nothing of the markup is worked out before its rows are dealt; rows without it are left out."""
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(k, "http://a.b/") for k in range(8)], "page_id bigint, url string").repartition(3, "page_id")
+    made = rows.select("page_id", F.when(F.col("page_id") != 1, F.col("url")).alias("url"),
+                       F.when(F.col("page_id") != 2, F.concat(F.lit("<p>made "), F.col("page_id").cast("string"))).alias("html"))
+    found = page_nodes(made)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("<p>made ") == 1
+    assert {r.page_id: bytes(r.page_text).decode() for r in found.collect()} == {k: f"made {k}" for k in (0, 3, 4, 5, 6, 7)}
