@@ -90,7 +90,8 @@ def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
     A null slug is a slug like any other.
 
     What is decided is narrow. Requests without a ``body`` are joined to the last results
-    and read once. Those with one are filtered by the keys and digests that are left,
+    and read once. That join is a merge: rows that come out of lists are many more than Spark
+    expects by the size of the files, so it would send all last results to the driver. Those with one are filtered by the keys and digests that are left,
     which Spark broadcasts if they are few: they are read twice, so give a written table.
     """
     key = ["slug", "stage", "n"]
@@ -101,7 +102,7 @@ def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
     settled = last.where("NOT _last.failed").select("_key", F.col("_last.digest").alias("_said"), F.lit(True).alias("_settled"))
 
     def left(rows: DataFrame) -> DataFrame:
-        joined = rows.select("*", whole).join(settled, "_key", "left")
+        joined = rows.select("*", whole).join(settled.hint("merge"), "_key", "left")
         return joined.where("_settled IS NULL OR NOT _said <=> digest").select(*rows.columns)
 
     if "body" not in requests.columns:

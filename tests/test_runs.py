@@ -85,6 +85,18 @@ def test_pending_writes_and_moves_no_bodies(spark, monkeypatch):
     assert runs.publish_pending(spark, SF).count() > 0
 
 
+def test_pending_sends_no_results_to_the_driver(spark):
+    from excursio.workload import runs
+
+    df = runs.publish_pending(spark, SF)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("-1", "-1b")
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    box = spark.range(3).selectExpr("'s' AS slug", "1 AS stage", "id AS n", "'a' AS digest", "id AS page_id")
+    left = publish.pending(box, box.selectExpr("slug", "stage", "n", "digest", "IF(n = 2, 500, 200) AS status", "1 AS at"))
+    assert [r.page_id for r in left.collect()] == [2]
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("body", [False, True])
 def test_pending_of_null_keys_and_digests(spark, body):
     box = spark.createDataFrame([(None, None, 1, None, 7), ("s", 1, 1, "a", 8)], "slug string, stage int, n int, digest string, page_id bigint")
