@@ -542,3 +542,49 @@ def test_lm_numbers_of_pairs_are_distinct():
     assert len(set(keys[1::2][short[1::2]])) == 16 and len(set(keys[::2][short[::2]])) == 4
     packed = lm_scoring._packed_keys(np.sort(keys))
     assert lm_scoring._unpacked_keys(packed).tolist() == sorted(keys.tolist())
+
+
+def test_passage_of_repeated_shingles_on_the_diagonal_of_its_link():
+    """Other chains are as long as the unbroken one, but spread wider."""
+    line = [100, 101, 102]
+    a = [7, 6, 9, 4, 200, 201] + line * 3 + [100, 101, 3, 8, 1, 2] + line
+    b = [17, 19, 15, 18, 16] + line * 3 + [100, 101]
+    (lo, hi, to, upto, similarity), = substring_dedup.alike(np.array(a, np.uint64), np.array(b, np.uint64), [1], 12, 0.8)
+    assert (hi, upto) == (17, 15) and hi - lo >= 11 and upto - to >= 11 and similarity == pytest.approx(11 / 13)
+
+
+def test_no_chain_is_looked_for_where_few_shingles_meet(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "matched", lambda *a: pytest.fail("a chain is looked for"))
+    a, b = np.arange(300, dtype=np.uint64), np.arange(260, 560, dtype=np.uint64)
+    assert substring_dedup.alike(a, b, [260], 46, 0.8) == []
+    assert substring_dedup.alike(np.repeat(a[:1], 300), b, [0], 46, 0.8) == []
+
+
+@given(st.lists(st.integers(0, 9), max_size=30), st.lists(st.integers(0, 9), max_size=30))
+@settings(max_examples=150, deadline=None)
+def test_equal_shingles_meet_by_rank(a, b):
+    met = substring_dedup.meeting(np.array(a, np.uint64), np.array(b, np.uint64))
+    pairs, both = list(zip(met.i.tolist(), met.j.tolist())), Counter(a) & Counter(b)
+    assert [x for x, _ in pairs] == sorted({x for x, _ in pairs}) and len({y for _, y in pairs}) == len(pairs)
+    assert all(a[x] == b[y] and a[:x].count(a[x]) == b[:y].count(b[y]) for x, y in pairs) and Counter(a[x] for x, _ in pairs) == both
+    assert met.free.tolist() == [x not in b for x in a] and met.once == all(a.count(x) == b.count(x) == 1 for x in both)
+
+
+def test_shuffles_of_passages_are_dropped(spark):
+    import time
+    rng = random.Random(9)
+    words = [f"w{rng.randint(0, 10**6)}" for _ in range(90)]
+    df = spark.createDataFrame([(k, " ".join(words[k:] + [str(k)])) for k in range(9)], "doc_id bigint, text string").repartition(3)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in manager.getAllFiles().mkString("\n").split("\n") if f.endswith(".data") and "shuffle_" in f}
+
+    before = files()
+    found = substring_dedup.passages(df)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert found.count() > 0 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
