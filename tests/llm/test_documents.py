@@ -588,3 +588,23 @@ def test_shuffles_of_passages_are_dropped(spark):
         time.sleep(0.2)
     assert not files() - before
     assert found.count() > 0 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_links_are_verified_once(spark, monkeypatch):
+    import functools
+    verified = spark.sparkContext.accumulator(0)
+    arrow_udf = substring_dedup.arrow_udf
+
+    def counted(fn, returned):
+        @functools.wraps(fn)
+        def run(*columns):
+            if fn.__name__ == "verify":
+                verified.add(len(columns[0]))
+            return fn(*columns)
+        return arrow_udf(run, returned)
+
+    monkeypatch.setattr(substring_dedup, "arrow_udf", counted)
+    text = " ".join(f"w{k}" for k in range(80))
+    rows = substring_dedup.passages(spark.createDataFrame([(1, text), (2, text + " end")], "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.other_id, r.begin, r.end) for r in rows} == {(1, 2, 0, 80), (2, 1, 0, 80)}
+    assert verified.value == 1
